@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.columns import strip
 
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def parse_document(text: Column) -> Column:
