@@ -13,12 +13,13 @@ from tidelog.functions.documents import is_object
 UNIQUE, DUPLICATE, INVALID = "unique", "duplicate", "invalid"
 
 
-def delta_events(parsed_documents: DataFrame) -> DataFrame:
-    """Every element of every valid document with its fields, ``valid`` and ``identity``.
+def delta_events(documents: DataFrame) -> DataFrame:
+    """Every element of every document with its fields, ``valid`` and ``identity``.
 
-    An element that is not an object has no identity and is not valid.
+    An element that is not an object has no identity and is not valid. A document
+    without elements, such as an unreadable one, keeps one row with no position.
     """
-    elements = delta_elements(parsed_documents)
+    elements = delta_elements(parse_delta_documents(documents))
     objects = elements.withColumn("event", F.when(is_object(F.col("event")), F.col("event")))
     return with_identity(validate_events(objects)).drop("event")
 
@@ -40,7 +41,8 @@ def dedup_events(events: DataFrame) -> DataFrame:
     placed = spread_join(events, firsts, ["identity"], salt_on=["doc_key", "position"])
     first = F.col("first_valid")
     event_class = (
-        F.when(first.isNull() | (at < first), INVALID)
+        F.when(F.col("position").isNull(), None)
+        .when(first.isNull() | (at < first), INVALID)
         .when(at > first, DUPLICATE)
         .otherwise(UNIQUE)
     )
@@ -51,20 +53,17 @@ def unique_events(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("event_class") == UNIQUE)
 
 
-def aggregation_statistics(parsed_documents: DataFrame, classified: DataFrame) -> DataFrame:
+def aggregation_statistics(classified: DataFrame) -> DataFrame:
     """One row of counts over documents and events."""
-    documents = parsed_documents.agg(
-        F.count("*").alias("scanned_objects"),
-        F.count_if("valid_document").alias("valid_documents"),
-        F.count_if(~F.col("valid_document")).alias("invalid_documents"),
-        F.coalesce(F.sum(F.size("events")), F.lit(0)).cast("bigint").alias("raw_events"),
-        F.lit(0).alias("row"),
-    )
-    events = classified.agg(
+    position, valid = F.col("position"), F.col("valid_document")
+    once = position.isNull() | (position == 0)
+    return classified.agg(
+        F.count_if(once).alias("scanned_objects"),
+        F.count_if(once & valid).alias("valid_documents"),
+        F.count_if(once & ~valid).alias("invalid_documents"),
+        F.count("position").alias("raw_events"),
         *[
             F.count_if(F.col("event_class") == kind).alias(f"{kind}_events")
             for kind in (UNIQUE, DUPLICATE, INVALID)
         ],
-        F.lit(0).alias("row"),
     )
-    return documents.join(F.broadcast(events), "row").drop("row")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import with_once
-from tidelog.functions.documents import field, is_object, parse_document, present_text, whole_number
+from tidelog.functions.documents import field, is_object, present_text, whole_number
 from tidelog.functions.instants import iso_text, strict_utc
 from tidelog.functions.keys import event_identity, partition_key
 from tidelog.schema import EVENT_COLUMNS, EVENT_SOURCE
@@ -69,15 +69,11 @@ def record_identifier(record: Column, index: Column) -> Column:
 
 def decode_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """Add ``event``, the JSON object in the payload, null when it is anything else."""
-    parsed = with_once(payloads, parsed_payload=parse_document_strict(F.col(column)))
+    parsed = with_once(payloads, parsed_payload=F.try_parse_json(column))
     event = F.col("parsed_payload")
     return parsed.withColumn("event", F.when(is_object(event), event)).drop("parsed_payload")
 
 
-def parse_document_strict(text: Column) -> Column:
-    return F.try_parse_json(text)
-
-
 def validate_events(events: DataFrame, column: str = "event") -> DataFrame:
     """Replace the VARIANT event by typed fields and ``valid``.
 
@@ -155,12 +151,34 @@ def invocation_summary(
 
 
 def validation_profile(events: DataFrame) -> DataFrame:
-    """One row about decoded events: how many, ids all present, their sources, endpoints."""
-    return events.agg(
-        F.count("*").alias("decoded_events"),
-        F.coalesce(F.bool_and(F.coalesce(F.col("event_id"), F.lit("")) != ""), F.lit(True)).alias(
-            "event_ids_present"
-        ),
-        F.array_sort(F.collect_set(F.nullif("source", F.lit("")))).alias("sources"),
-        F.count_distinct("endpoint").alias("endpoints"),
+    """What decoded events look like: ``item, value, events``.
+
+    One row says how many there are, one whether all have an id; then comes a row per
+    source and a row per endpoint.
+    """
+    has_id = F.coalesce(F.col("event_id") != "", F.lit(False))
+    totals = events.agg(F.count("*").alias("n"), F.count_if(~has_id).alias("without_id"))
+    facts = totals.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.lit("decoded_events").alias("item"),
+                    F.col("n").cast("string").alias("value"),
+                    F.col("n").alias("events"),
+                ),
+                F.struct(
+                    F.lit("event_ids_present").alias("item"),
+                    (F.col("without_id") == 0).cast("string").alias("value"),
+                    (F.col("n") - F.col("without_id")).alias("events"),
+                ),
+            )
+        )
     )
+    by_value = [
+        events.filter(F.col(name) != "")
+        .groupBy(F.col(name).alias("value"))
+        .agg(F.count("*").alias("events"))
+        .select(F.lit(name).alias("item"), "value", "events")
+        for name in ("source", "endpoint")
+    ]
+    return facts.unionByName(by_value[0]).unionByName(by_value[1])

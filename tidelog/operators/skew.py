@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,10 +26,11 @@ def spread_join(
     salted = table.withColumn("salts", F.greatest(filled, F.lit(1)).cast("int"))
 
     hot = salted.filter(F.col("salts") > 1).select(*keys, "salts")
-    digest = F.xxhash64(*salt_on)
+    null_key = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+    ways = F.when(null_key, F.lit(partitions)).otherwise(F.coalesce("salts", F.lit(1)))
     marked = (
         rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("salt", F.pmod(digest, F.coalesce("salts", F.lit(1))).cast("int"))
+        .withColumn("salt", F.pmod(F.xxhash64(*salt_on), ways).cast("int"))
         .drop("salts")
     )
     spread = salted.withColumn(

@@ -47,8 +47,13 @@ def parse_delta_documents(documents: DataFrame) -> DataFrame:
 
 
 def delta_elements(parsed_documents: DataFrame) -> DataFrame:
-    """Elements of all event lists in document order: ``doc_key``, ``position``, ``event``."""
-    return parsed_documents.select("doc_key", F.posexplode("events").alias("position", "event"))
+    """Elements of all event lists in document order: ``doc_key, valid_document,
+    position, event``. A document without elements keeps one row with no position, so
+    that counts over documents and over events come from the same rows.
+    """
+    return parsed_documents.select(
+        "doc_key", "valid_document", F.posexplode_outer("events").alias("position", "event")
+    )
 
 
 def _first_object(document: Column, names: list[str]) -> Column:

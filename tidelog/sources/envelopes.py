@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import with_once
-from tidelog.functions.documents import as_list, is_object, parse_document
+from tidelog.functions.documents import as_list, field, is_object, parse_document
 
 RECORD = "record"
 
@@ -15,11 +15,17 @@ def explode_records(invocations: DataFrame, column: str = "value") -> DataFrame:
     """One row per record: the invocation's other columns, ``record_index``, ``record``.
 
     ``Records`` that is missing or not a list is an empty batch. Elements that are not
-    objects stay in and become null, so that they can be counted as invalid.
+    objects stay in and become null, so that they can be counted as invalid. A line may
+    also be one bare record, which is a batch of its own.
     """
     parsed = with_once(invocations, invocation=parse_document(F.col(column)))
     keep = [name for name in invocations.columns if name != column]
-    records = as_list(F.col("invocation"), "$.Records")
+    invocation = F.col("invocation")
+    bare = F.when(
+        is_object(invocation) & field(invocation, "kinesis", "variant").isNotNull(),
+        F.array(invocation),
+    )
+    records = F.coalesce(as_list(invocation, "$.Records"), bare)
     exploded = parsed.select(*keep, F.posexplode(records).alias("record_index", "element"))
     record = F.when(is_object(F.col("element")), F.col("element"))
     return exploded.select(*keep, "record_index", record.alias(RECORD))
