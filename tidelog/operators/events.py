@@ -12,9 +12,12 @@ from tidelog.functions.keys import event_identity, partition_key
 from tidelog.schema import EVENT_COLUMNS, EVENT_SOURCE
 
 
-def enrich_events(events: DataFrame, event_id: Column | None = None) -> DataFrame:
+def enrich_events(
+    events: DataFrame, event_id: Column | None = None, keep: list[str] | None = None
+) -> DataFrame:
     """Add id, ingest time and source; the nine base fields stay as they are."""
     return events.select(
+        *(keep or []),
         *EVENT_COLUMNS,
         (F.uuid() if event_id is None else event_id).alias("event_id"),
         F.current_timestamp().alias("ingested_at"),
@@ -22,17 +25,19 @@ def enrich_events(events: DataFrame, event_id: Column | None = None) -> DataFram
     )
 
 
-def encode_events(enriched: DataFrame) -> DataFrame:
+def encode_events(enriched: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Compact JSON ``payload`` and its ``partition_key``, the two parts of a record."""
+    keep = keep or []
     printed = enriched.withColumns(
         {
             "timestamp": iso_text(F.col("timestamp")),
             "ingested_at": iso_text(F.col("ingested_at")),
         }
     )
-    body = F.to_json(F.struct(*printed.columns), {"ignoreNullFields": "false"})
+    fields = [name for name in printed.columns if name not in keep]
+    body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return printed.select(
-        partition_key(F.col("client_ip")).alias("partition_key"), body.alias("payload")
+        *keep, partition_key(F.col("client_ip")).alias("partition_key"), body.alias("payload")
     )
 
 
