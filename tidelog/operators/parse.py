@@ -111,16 +111,25 @@ def replay_events(lines: DataFrame, column: str = "value") -> DataFrame:
     return valid_events(parse_lines(trimmed, column))
 
 
-def data_quality(parsed: DataFrame) -> DataFrame:
-    """One row: lines, valid records, and rejected records by reason."""
-    reason = rejection_reason()
-    counted = parsed.select(reason.alias("reason")).agg(
-        F.count("*").alias("total_raw_lines"),
-        F.count_if(F.col("reason").isNull()).alias("valid_records"),
-        F.count("reason").alias("invalid_records"),
-        F.count_if(F.col("reason") == "invalid_format").alias("invalid_format_records"),
-        F.count_if(F.col("reason") == "invalid_timestamp").alias("invalid_timestamp_records"),
-        F.count_if(F.col("reason") == "invalid_request").alias("invalid_request_records"),
+def count_lines(parsed: DataFrame) -> DataFrame:
+    """One row per line: ``reason`` (null for a valid line) and ``requests``, 1."""
+    return parsed.select(rejection_reason().alias("reason"), F.lit(1).cast("bigint").alias("requests"))
+
+
+def data_quality(counts: DataFrame) -> DataFrame:
+    """One row: lines, valid records, and rejected records by reason.
+
+    ``counts`` has ``reason`` and ``requests``, a row per line or already added up.
+    """
+    reason = F.col("reason")
+    of = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("requests"))), F.lit(0))
+    counted = counts.agg(
+        of(F.lit(True)).alias("total_raw_lines"),
+        of(reason.isNull()).alias("valid_records"),
+        of(reason.isNotNull()).alias("invalid_records"),
+        of(reason == "invalid_format").alias("invalid_format_records"),
+        of(reason == "invalid_timestamp").alias("invalid_timestamp_records"),
+        of(reason == "invalid_request").alias("invalid_request_records"),
     )
     share = F.try_divide(
         F.col("invalid_records").cast("double"), F.col("total_raw_lines").cast("double")
@@ -130,10 +139,12 @@ def data_quality(parsed: DataFrame) -> DataFrame:
     )
 
 
-def rejected_breakdown(rejected: DataFrame) -> DataFrame:
+def rejected_breakdown(counts: DataFrame) -> DataFrame:
+    """Rejected lines by reason, from the same counts."""
     return (
-        rejected.groupBy("rejection_reason")
-        .agg(F.count("*").alias("count"))
+        counts.filter(F.col("reason").isNotNull())
+        .groupBy(F.col("reason").alias("rejection_reason"))
+        .agg(F.sum("requests").alias("count"))
         .orderBy(F.desc("count"), "rejection_reason")
     )
 

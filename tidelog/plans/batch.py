@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidelog.functions.columns import minute
 from tidelog.operators.aggregates import KEYS, batch_metrics
 from tidelog.operators.parse import (
+    data_quality,
     parse_lines,
+    rejected_breakdown,
     rejected_records,
     rejected_sample,
     rejection_reason,
@@ -47,33 +49,6 @@ def facts_of(line_facts_table: DataFrame) -> DataFrame:
     return line_facts_table.filter(F.col("reason").isNull()).drop("reason")
 
 
-def quality_of(line_facts_table: DataFrame) -> DataFrame:
-    """``data_quality`` from the counts instead of from the lines."""
-    of = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("requests"))), F.lit(0))
-    reason = F.col("reason")
-    counted = line_facts_table.agg(
-        of(F.lit(True)).alias("total_raw_lines"),
-        of(reason.isNull()).alias("valid_records"),
-        of(reason.isNotNull()).alias("invalid_records"),
-        of(reason == "invalid_format").alias("invalid_format_records"),
-        of(reason == "invalid_timestamp").alias("invalid_timestamp_records"),
-        of(reason == "invalid_request").alias("invalid_request_records"),
-    )
-    share = F.try_divide(
-        F.col("invalid_records").cast("double"), F.col("total_raw_lines").cast("double")
-    )
-    return counted.withColumn("invalid_percentage", F.coalesce(F.round(share * 100, 2), F.lit(0.0)))
-
-
-def breakdown_of(line_facts_table: DataFrame) -> DataFrame:
-    return (
-        line_facts_table.filter(F.col("reason").isNotNull())
-        .groupBy(F.col("reason").alias("rejection_reason"))
-        .agg(F.sum("requests").alias("count"))
-        .orderBy(F.desc("count"), "rejection_reason")
-    )
-
-
 def run_batch(
     spark: SparkSession,
     source: str,
@@ -95,13 +70,13 @@ def run_batch(
     stored = spark.read.parquet(f"{output}/line_facts")
 
     write_batch_results(batch_metrics(facts_of(stored)), output, file_format, ordered, single_file)
-    write_data_quality(quality_of(stored), output, file_format)
+    write_data_quality(data_quality(stored), output, file_format)
     rejected = rejected_records(parsed)
     if repeatable_sample:
         sample = rejected_sample(rejected, sample_size)
     else:
         sample = rejected.limit(sample_size)
-    write_rejected(breakdown_of(stored), sample, output, file_format)
+    write_rejected(rejected_breakdown(stored), sample, output, file_format)
 
 
 def main() -> None:
