@@ -19,17 +19,17 @@ REPORTS = {
         LEFT JOIN {response_byte_totals} b ON b.endpoint = r.endpoint
         LEFT JOIN {baseline_rpm} m ON m.endpoint = r.endpoint""",
     "batch_health_summary": """
-        WITH statuses AS (
-            SELECT sum(request_count) AS status_record_count,
-                   sum(CASE WHEN status_code >= 400 THEN request_count ELSE 0 END)
-                       AS total_error_responses
-            FROM {status_code_distribution})
-        SELECT s.total_valid_records, s.total_response_bytes,
-               t.status_record_count, t.total_error_responses,
-               CASE WHEN s.total_valid_records = 0 THEN 0.0D
-                    ELSE CAST(t.total_error_responses AS DOUBLE)
-                         / CAST(s.total_valid_records AS DOUBLE) END AS overall_error_rate
-        FROM {batch_summary} s CROSS JOIN statuses t""",
+        SELECT total_valid_records, total_response_bytes,
+               status_record_count, total_error_responses,
+               CASE WHEN total_valid_records = 0 THEN 0.0D
+                    ELSE CAST(total_error_responses AS DOUBLE)
+                         / CAST(total_valid_records AS DOUBLE) END AS overall_error_rate
+        FROM (SELECT total_valid_records, total_response_bytes,
+                     (SELECT sum(request_count) FROM {status_code_distribution})
+                         AS status_record_count,
+                     (SELECT sum(CASE WHEN status_code >= 400 THEN request_count ELSE 0 END)
+                      FROM {status_code_distribution}) AS total_error_responses
+              FROM {batch_summary})""",
     "reconcile_batch": """
         WITH totals AS (
             SELECT 'requests_per_endpoint record total' AS validation_check,
@@ -47,14 +47,14 @@ REPORTS = {
                    sum(total_response_bytes)
             FROM {response_byte_totals}),
         expected AS (
-            SELECT t.validation_check, t.actual_value, t.parts,
-                   CASE t.total WHEN 'records' THEN s.total_valid_records
-                                ELSE s.total_response_bytes END AS expected_value
-            FROM totals t CROSS JOIN {batch_summary} s)
+            SELECT 'records' AS total, total_valid_records AS expected_value FROM {batch_summary}
+            UNION ALL
+            SELECT 'bytes', total_response_bytes FROM {batch_summary})
         SELECT validation_check, expected_value, actual_value,
                CASE WHEN expected_value = actual_value THEN 'PASS' ELSE 'FAIL' END
                    AS validation_status
-        FROM expected WHERE parts > 0 ORDER BY validation_check""",
+        FROM totals JOIN expected ON expected.total = totals.total
+        WHERE parts > 0 ORDER BY validation_check""",
     "top_endpoints": """
         SELECT endpoint, total_requests FROM {requests_per_endpoint}
         ORDER BY total_requests DESC, endpoint LIMIT 10""",

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -50,6 +50,7 @@ DELTA_COLUMNS = [
     "source",
 ]
 SLOTS = 2
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def delta_rows(decoded: DataFrame, batch_id: int) -> DataFrame:
@@ -95,9 +96,10 @@ def first_copies(deltas: DataFrame) -> DataFrame:
 
 
 def read_deltas(
-    spark: SparkSession, path: str, newest: datetime, window_seconds: int
+    spark: SparkSession, path: str, newest_micros: int, window_seconds: int
 ) -> DataFrame:
     """Stored events from the hours that a window ending at ``newest`` touches."""
+    newest = EPOCH + timedelta(microseconds=newest_micros)
     oldest = newest - timedelta(seconds=window_seconds)
     hour = oldest.replace(minute=0, second=0, microsecond=0)
     hours = []
@@ -154,12 +156,14 @@ class StreamJob:
 
     def _refresh(self, spark: SparkSession, decoded: DataFrame, batch_id: int) -> None:
         slot = batch_id % SLOTS
-        arrived = decoded.filter("valid").agg(F.max("timestamp")).first()[0]
-        newest = max(filter(None, [arrived, self._stored_newest(spark, batch_id)]), default=None)
+        latest = F.max(F.unix_micros("timestamp"))
+        arrived = decoded.filter("valid").agg(latest).first()[0]
+        known = [arrived, self._stored_newest(spark, batch_id)]
+        newest = max((time for time in known if time is not None), default=None)
         if newest is None:
             return
         deltas = read_deltas(spark, self.deltas, newest, self.window_seconds)
-        in_reach = recent_window(deltas, self.window_seconds, newest=F.lit(newest))
+        in_reach = recent_window(deltas, self.window_seconds, newest=F.timestamp_micros(F.lit(newest)))
         window = first_copies(in_reach).persist()
         sections = window_sections(
             window, self.window_seconds, self.error_rate_threshold, self.minimum_requests
@@ -175,20 +179,20 @@ class StreamJob:
         write_table(summary, f"{self.invocations}/batch_id={batch_id}")
 
         marker = spark.range(1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(newest).alias("newest")
+            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(newest).cast("bigint").alias("newest")
         )
         write_table(marker, f"{self.root}/state/slot={slot}")
 
     def _states(self, spark: SparkSession) -> DataFrame | None:
         try:
-            return spark.read.schema("batch_id BIGINT, newest TIMESTAMP, slot INT").parquet(
+            return spark.read.schema("batch_id BIGINT, newest BIGINT, slot INT").parquet(
                 f"{self.root}/state"
             )
         except AnalysisException:
             return None
 
-    def _stored_newest(self, spark: SparkSession, batch_id: int) -> datetime | None:
-        """The newest event of the micro-batches before this one."""
+    def _stored_newest(self, spark: SparkSession, batch_id: int) -> int | None:
+        """Time (microseconds) of the newest event of the micro-batches before this one."""
         states = self._states(spark)
         if states is None:
             return None
