@@ -1,9 +1,9 @@
 """Historical and recent aggregates.
 
 Every aggregate works on *facts*: rows of ``endpoint, minute, status_code, requests,
-response_bytes``. Facts are either one row per event (``unit_facts``, no shuffle) or
-pre-aggregated (``minute_facts``); both give the same results, and facts of several
-days can be put together.
+response_bytes, latest`` (the newest event time). Facts are either one row per event
+(``unit_facts``, no shuffle) or pre-aggregated (``minute_facts``); both give the same
+results, and facts of several days can be put together.
 """
 
 from __future__ import annotations
@@ -17,25 +17,31 @@ from tidelog.schema import ERROR_STATUS
 KEYS = ["endpoint", "minute", "status_code"]
 
 
-def unit_facts(events: DataFrame) -> DataFrame:
+def unit_facts(events: DataFrame, *more_keys: str) -> DataFrame:
     return events.select(
+        *more_keys,
         "endpoint",
         minute(F.col("timestamp")).alias("minute"),
         "status_code",
         F.lit(1).cast("bigint").alias("requests"),
         F.col("response_bytes").cast("bigint").alias("response_bytes"),
+        F.col("timestamp").alias("latest"),
     )
 
 
-def minute_facts(events: DataFrame) -> DataFrame:
-    """Facts with one row per endpoint, UTC minute and status."""
-    return (
-        unit_facts(events)
-        .groupBy(*KEYS)
-        .agg(F.sum("requests").alias("requests"), F.sum("response_bytes").alias("response_bytes"))
+def add_up(facts: DataFrame, *more_keys: str) -> DataFrame:
+    """One row per endpoint, UTC minute and status (and any further key)."""
+    return facts.groupBy(*more_keys, *KEYS).agg(
+        F.sum("requests").alias("requests"),
+        F.sum("response_bytes").alias("response_bytes"),
+        F.max("latest").alias("latest"),
     )
 
 
+def minute_facts(events: DataFrame) -> DataFrame:
+    return add_up(unit_facts(events))
+
+
 def _errors():
     return F.sum(
         F.when(F.col("status_code") >= ERROR_STATUS, F.col("requests")).otherwise(F.lit(0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.session import stage
+
 DIGIT_BITS = 16
 DIGIT_SHIFTS = (48, 32, 16, 0)
 
@@ -22,6 +24,7 @@ def exact_percentiles(values: DataFrame, column: str, probabilities: dict[str, f
         .groupBy(F.col(column).alias("v"))
         .agg(F.count("*").alias("n"))
     )
+    counts = stage(counts, "counts")
     last = counts.agg(F.sum("n")).scalar() - 1
     asked = []
     for name, probability in probabilities.items():

@@ -52,20 +52,28 @@ def recent_window(
     return events.filter(F.col("timestamp") >= window_start(newest, window_seconds))
 
 
-def window_summary(window: DataFrame, window_seconds: int) -> DataFrame:
-    """One row about a window; no bounds when it is empty."""
-    end = F.max("timestamp")
-    return window.agg(
+def window_summary(facts: DataFrame, window_seconds: int) -> DataFrame:
+    """One row about the facts of a window; no bounds when it is empty."""
+    end = F.max("latest")
+    count = F.coalesce(F.sum("requests"), F.lit(0))
+    return facts.agg(
         F.lit(int(window_seconds)).alias("window_seconds"),
         iso_text(window_start(end, window_seconds)).alias("window_start"),
         iso_text(end).alias("window_end"),
-        F.count("*").alias("window_event_count"),
-        F.count("*").alias("total_valid_records"),
+        count.alias("window_event_count"),
+        count.alias("total_valid_records"),
         F.coalesce(F.sum("response_bytes"), F.lit(0)).alias("total_response_bytes"),
-        recent_rpm(F.count("*"), F.lit(window_seconds)).alias("recent_rpm"),
+        recent_rpm(count, F.lit(window_seconds)).alias("recent_rpm"),
     )
 
 
+def split_by_window(events: DataFrame, window_seconds: int) -> DataFrame:
+    """Add ``recent``: is the event inside the window or before it?"""
+    check_window(window_seconds)
+    start = window_start(newest_event(events).scalar(), window_seconds)
+    return events.withColumn("recent", F.col("timestamp") >= start)
+
+
 def error_anomalies(
     rates: DataFrame,
     error_rate_threshold: float = ERROR_RATE_THRESHOLD,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import minute
-from tidelog.operators.aggregates import KEYS, batch_metrics
+from tidelog.operators.aggregates import add_up, batch_metrics
 from tidelog.operators.parse import (
     data_quality,
     parse_lines,
@@ -31,18 +31,19 @@ def line_facts(parsed: DataFrame) -> DataFrame:
     """
     valid = F.col("reason").isNull()
     only_valid = lambda column: F.when(valid, column)
-    return (
+    rows = (
         parsed.withColumn("reason", rejection_reason())
         .select(
             "reason",
             only_valid(F.col("endpoint")).alias("endpoint"),
             only_valid(minute(F.col("timestamp"))).alias("minute"),
             only_valid(F.col("status_code")).alias("status_code"),
+            F.lit(1).cast("bigint").alias("requests"),
             only_valid(F.col("response_bytes")).alias("response_bytes"),
+            only_valid(F.col("timestamp")).alias("latest"),
         )
-        .groupBy("reason", *KEYS)
-        .agg(F.count("*").alias("requests"), F.sum("response_bytes").alias("response_bytes"))
     )
+    return add_up(rows, "reason")
 
 
 def facts_of(line_facts_table: DataFrame) -> DataFrame:

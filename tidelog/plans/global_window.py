@@ -21,7 +21,7 @@ from tidelog.schema import (
     MINIMUM_REQUESTS_FOR_ANOMALY,
     WINDOW_SECONDS,
 )
-from tidelog.session import build_session, configure, scratch_path
+from tidelog.session import build_session, configure, stage
 from tidelog.sources.documents import read_documents
 
 
@@ -35,7 +35,7 @@ def window_sections(
     facts = aggregates.unit_facts(window)
     endpoints = aggregates.endpoint_summary(facts).drop("avg_requests_per_minute")
     return {
-        "window_summary": window_summary(window, window_seconds),
+        "window_summary": window_summary(facts, window_seconds),
         "endpoints": endpoints,
         "traffic_by_hour": aggregates.traffic_by_hour(facts),
         "status_code_distribution": aggregates.status_code_distribution(facts),
@@ -66,12 +66,8 @@ def run_global(
     shared folder once; a lost executor costs only its own tasks.
     """
     configure(spark)
-    decoded = scratch_path(spark, "decoded")
-    write_table(delta_events(read_documents(spark, source, pattern)), decoded)
-    classes = scratch_path(spark, "classified")
-    write_table(dedup_events(spark.read.parquet(decoded)), classes)
-
-    classified = spark.read.parquet(classes)
+    decoded = stage(delta_events(read_documents(spark, source, pattern)), "decoded")
+    classified = stage(dedup_events(decoded), "classified")
     window = recent_window(unique_events(classified), window_seconds).persist()
     sections = window_sections(window, window_seconds, error_rate_threshold, minimum_requests)
     for name, table in sections.items():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -38,3 +38,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tidelog-")
     return f"{shared.rstrip('/')}/tidelog/{name}-{uuid4().hex}"
+
+
+def stage(table: DataFrame, name: str) -> DataFrame:
+    """Write a table that several results need to the shared folder, and read it back.
+
+    What follows starts from files instead of from the whole history of the table, also
+    when executors are lost.
+    """
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

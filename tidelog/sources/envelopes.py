@@ -18,14 +18,14 @@ def explode_records(invocations: DataFrame, column: str = "value") -> DataFrame:
     objects stay in and become null, so that they can be counted as invalid. A line may
     also be one bare record, which is a batch of its own.
     """
-    parsed = with_once(invocations, invocation=parse_document(F.col(column)))
+    parsed = with_once(invocations, __document=parse_document(F.col(column)))
     keep = [name for name in invocations.columns if name != column]
-    invocation = F.col("invocation")
+    invocation = F.col("__document")
     bare = F.when(
         is_object(invocation) & field(invocation, "kinesis", "variant").isNotNull(),
         F.array(invocation),
     )
     records = F.coalesce(as_list(invocation, "$.Records"), bare)
-    exploded = parsed.select(*keep, F.posexplode(records).alias("record_index", "element"))
-    record = F.when(is_object(F.col("element")), F.col("element"))
+    exploded = parsed.select(*keep, F.posexplode(records).alias("record_index", "__element"))
+    record = F.when(is_object(F.col("__element")), F.col("__element"))
     return exploded.select(*keep, "record_index", record.alias(RECORD))

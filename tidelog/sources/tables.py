@@ -6,8 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.schema import BATCH_TABLES
 
-# How a CSV result file is written and read.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": "\\"}
+# How a CSV result file is written and read. An empty text stays apart
+# from a missing value, and blanks around a text are kept.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": "\\",
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_batch_tables(
@@ -38,7 +46,10 @@ def create_database(
     )
     options = ""
     if file_format == "csv":
-        options = "OPTIONS (header 'true', quote '\"', escape '\\\\')"
+        listed = ", ".join(
+            f"{key} '{value}'".replace("\\", "\\\\") for key, value in CSV_OPTIONS.items()
+        )
+        options = f"OPTIONS ({listed})"
     for name, schema in BATCH_TABLES.items():
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(

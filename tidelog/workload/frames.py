@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.documents import BYTE_ORDER_MARK
-from tidelog.operators.aggregates import batch_metrics, endpoint_summary, minute_facts, unit_facts
+from tidelog.operators.aggregates import add_up, batch_metrics, minute_facts, unit_facts
 from tidelog.operators.events import decode_records
 from tidelog.operators.dedup import dedup_events, delta_events
 from tidelog.operators.parse import parse_lines, valid_events
-from tidelog.operators.serving import endpoint_metrics
-from tidelog.operators.window import newest_event, recent_window, window_start
-from tidelog.session import configure, scratch_path
+from tidelog.operators.window import recent_window, split_by_window
+from tidelog.session import configure, scratch_path, stage
 from tidelog.sources.envelopes import explode_records
 from tidelog.workload import derive
 
@@ -69,18 +68,11 @@ class Frames:
     def window_facts(self) -> DataFrame:
         return unit_facts(self.window())
 
-    def past(self) -> DataFrame:
-        """Events from before the window."""
-        events = self.events()
-        cutoff = window_start(newest_event(events).scalar(), WINDOW)
-        return events.filter(F.col("timestamp") < cutoff)
-
-    def history_metrics(self) -> DataFrame:
-        return endpoint_metrics(endpoint_summary(unit_facts(self.past())))
-
-    def recent_metrics(self) -> DataFrame:
-        recent = endpoint_metrics(endpoint_summary(self.window_facts()))
-        return recent.withColumn("baseline_rpm", F.lit(None).cast("double"))
+    def sides(self) -> tuple[DataFrame, DataFrame]:
+        """Facts from before the window and from inside it; the log is read once for both."""
+        marked = split_by_window(self.events(), WINDOW)
+        facts = stage(add_up(unit_facts(marked, "recent"), "recent"), "sides")
+        return facts.filter(~F.col("recent")), facts.filter("recent")
 
     def payloads(self) -> DataFrame:
         return self.sql(derive.payloads(self.dialect))
@@ -99,7 +91,7 @@ class Frames:
         return self.sql(text).select("doc_key", "value")
 
     def classified(self) -> DataFrame:
-        return dedup_events(delta_events(self.delta_documents()))
+        return dedup_events(stage(delta_events(self.delta_documents()), "decoded"))
 
     def metric_documents(self) -> DataFrame:
         return self.sql(derive.metric_documents(self.dialect)).select("doc_key", "value")
