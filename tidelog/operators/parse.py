@@ -21,25 +21,62 @@ GROUPS = [
 ]
 
 
-def split_line(value: Column) -> Column:
-    """The eight groups of a line as an array; null when the line has another format.
+# The part of the pattern outside the quoted texts. A line with exactly eight quotes is
+# cut at them, so only its short unquoted parts are matched.
+UNQUOTED = r'^(\S+) \S+ \S+ \[([^\]]+)\] " (\d{3}) (\S+) \z'
 
-    The pattern runs once: its groups are rewritten as eight lines of text and split.
-    A log line holds no line break itself, so the break is a safe separator.
+
+def _rewritten(text: Column, pattern: str, groups: int) -> Column:
+    """The groups of a pattern as an array of that size; another size means no match.
+
+    The pattern runs once: its groups are rewritten as lines of text and split. A log
+    line holds no line break itself, so the break is a safe separator.
     """
-    rewritten = F.regexp_replace(value, LOG_PATTERN, "\n".join(f"${n}" for n in range(1, 9)))
-    parts = F.split(rewritten, "\n", -1)
-    return F.when((F.instr(value, "\n") == 0) & (rewritten != value), parts)
+    return F.split(
+        F.regexp_replace(text, pattern, "\n".join(f"${n}" for n in range(1, groups + 1))), "\n", -1
+    )
 
 
 def access_log_groups(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``raw_line`` and the eight text groups, all '' for a line of another format."""
-    split = with_once(lines.select(F.col(column).alias("raw_line")), parts=split_line(F.col("raw_line")))
-    return split.select(
+    """``raw_line`` and the eight text groups, all '' for a line of another format.
+
+    With eight quotes none can lie inside an unquoted part, so cutting at the quotes
+    gives the same groups as the whole pattern. More quotes need the whole pattern, and
+    with fewer there is no match.
+    """
+    piece = lambda index: F.get("quoted", F.lit(index))
+    group = lambda index: F.get("matched", F.lit(index))
+    cut = with_once(
+        lines.select(F.col(column).alias("raw_line")), quoted=F.split("raw_line", '"', -1)
+    )
+    # The end of the pattern also matches before a last line or paragraph separator.
+    at_end = piece(8).isin("", "\u0085", "\u2028", "\u2029")
+    between = (piece(4) == " ") & (piece(6) == " ") & at_end
+    unquoted = F.concat(piece(0), F.lit('"'), piece(2))
+    by_quotes = F.when((F.size("quoted") == 9) & between, _rewritten(unquoted, UNQUOTED, 4))
+    by_pattern = by_quotes.when(F.size("quoted") > 9, _rewritten(F.col("raw_line"), LOG_PATTERN, 8))
+    matched = with_once(
+        cut, matched=F.when(~F.contains("raw_line", F.lit("\n")), by_pattern)
+    )
+    # Where each group is found, by quotes and by the whole pattern.
+    places = [
+        (group(0), group(0)),
+        (group(1), group(1)),
+        (piece(1), group(2)),
+        (group(2), group(3)),
+        (group(3), group(4)),
+        (piece(3), group(5)),
+        (piece(5), group(6)),
+        (piece(7), group(7)),
+    ]
+    return matched.select(
         "raw_line",
         *[
-            F.coalesce(F.get("parts", F.lit(index)), F.lit("")).alias(name)
-            for index, name in enumerate(GROUPS)
+            F.when(F.size("matched") == 4, cut_out)
+            .when(F.size("matched") == 8, matched_out)
+            .otherwise("")
+            .alias(name)
+            for name, (cut_out, matched_out) in zip(GROUPS, places)
         ],
     )
 
