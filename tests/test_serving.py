@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.operators import latency, parity, serving
+from tidelog.operators import aggregates, latency, parity, serving
 from tidelog.operators.aggregates import minute_facts
 from tidelog.operators.parse import read_events
 from tidelog.plans.parity import batch_stream_values
@@ -208,8 +208,9 @@ def test_serving_job(spark, tmp_path, lines_of):
     from tidelog.plans.global_window import window_sections
 
     events = read_events(lines_of(CONTROLLED_LOG))
-    write_batch_results(__import__("tidelog.operators.aggregates", fromlist=["x"]).batch_metrics(minute_facts(events)), str(tmp_path / "batch"))
-    for name, table in window_sections(recent_window(events, 120), 120).items():
+    write_batch_results(aggregates.batch_metrics(minute_facts(events)), str(tmp_path / "batch"))
+    facts = aggregates.unit_facts(recent_window(events, 120))
+    for name, table in window_sections(facts, 120).items():
         table.write.parquet(str(tmp_path / "snapshot" / name))
     run_serving(spark, str(tmp_path / "batch"), str(tmp_path / "snapshot"), str(tmp_path / "view"))
     compared = spark.read.parquet(str(tmp_path / "view" / "endpoint_comparison"))

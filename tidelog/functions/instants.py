@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidelog.functions.columns import strip
 from tidelog.schema import LOG_TIME_FORMAT
 
 _ZONE = r"(Z|[+-]\d{2}(:?\d{2}(:?\d{2}([.]\d+)?)?)?)"
@@ -19,7 +18,7 @@ def log_time(text: Column) -> Column:
 
 
 def _spelled_out(text: Column, zone: str) -> Column:
-    """ISO 8601 text in the one spelling Spark reads: dashes, colons, seconds, a dot."""
+    """Trimmed ISO 8601 text in the one spelling Spark reads: dashes, colons, seconds, a dot."""
     complete = text.rlike(_EXTENDED + zone + "$")
     date = F.regexp_replace(
         F.regexp_extract(text, _SHORT, 1), r"^(\d{4})-?(\d{2})-?(\d{2})$", "$1-$2-$3"
@@ -37,13 +36,13 @@ def _spelled_out(text: Column, zone: str) -> Column:
 
 
 def strict_utc(text: Column) -> Column:
-    """An event time: ISO 8601 with ``Z`` or an offset. Anything else is null."""
-    return F.try_to_timestamp(_spelled_out(strip(text), _ZONE))
+    """An event time, trimmed: ISO 8601 with ``Z`` or an offset. Anything else is null."""
+    return F.try_to_timestamp(_spelled_out(text, _ZONE))
 
 
 def lenient_utc(text: Column) -> Column:
     """A document time: as above, but without a zone it is UTC; missing means now."""
-    read = F.try_to_timestamp(_spelled_out(strip(text), _ZONE + "?"))
+    read = F.try_to_timestamp(_spelled_out(text, _ZONE + "?"))
     return F.when(text.isNull(), F.current_timestamp()).otherwise(read)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.columns import with_once
+from tidelog.functions.columns import strip, with_once
 from tidelog.functions.documents import field, is_object, present_text, whole_number
 from tidelog.functions.instants import iso_text, strict_utc
 from tidelog.functions.keys import event_identity, partition_key
@@ -86,19 +86,24 @@ def validate_events(events: DataFrame, column: str = "event") -> DataFrame:
     ``sequence_number`` are trimmed text, '' when missing.
     """
     event = F.col(column)
-    typed = with_once(
+    read = with_once(
         events,
         event_id=present_text(event, "event_id"),
         sequence_number=present_text(event, "sequence_number"),
-        timestamp=strict_utc(field(event, "timestamp", "string")),
+        time_text=strip(field(event, "timestamp", "string")),
         client_ip=field(event, "client_ip", "string"),
         method=field(event, "method", "string"),
         endpoint=present_text(event, "endpoint"),
         status_code=whole_number(event, "status_code"),
         response_bytes=whole_number(event, "response_bytes"),
         source=field(event, "source", "string"),
-        ingested_at=strict_utc(field(event, "ingested_at", "string")),
+        ingest_text=strip(field(event, "ingested_at", "string")),
     )
+    typed = with_once(
+        read,
+        timestamp=strict_utc(F.col("time_text")),
+        ingested_at=strict_utc(F.col("ingest_text")),
+    ).drop("time_text", "ingest_text")
     valid = (
         event.isNotNull()
         & F.col("timestamp").isNotNull()

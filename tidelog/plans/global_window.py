@@ -26,13 +26,12 @@ from tidelog.sources.documents import read_documents
 
 
 def window_sections(
-    window: DataFrame,
+    facts: DataFrame,
     window_seconds: int,
     error_rate_threshold: float = ERROR_RATE_THRESHOLD,
     minimum_requests: int = MINIMUM_REQUESTS_FOR_ANOMALY,
 ) -> dict[str, DataFrame]:
-    """All tables of a snapshot of the window. The per-endpoint ones are one table."""
-    facts = aggregates.unit_facts(window)
+    """All tables of a snapshot from the facts of a window. The per-endpoint ones are one."""
     endpoints = aggregates.endpoint_summary(facts).drop("avg_requests_per_minute")
     return {
         "window_summary": window_summary(facts, window_seconds),
@@ -68,11 +67,12 @@ def run_global(
     configure(spark)
     decoded = stage(delta_events(read_documents(spark, source, pattern)), "decoded")
     classified = stage(dedup_events(decoded), "classified")
-    window = recent_window(unique_events(classified), window_seconds).persist()
-    sections = window_sections(window, window_seconds, error_rate_threshold, minimum_requests)
+    window = recent_window(unique_events(classified), window_seconds)
+    write_table(aggregates.minute_facts(window), f"{output}/facts")
+    facts = spark.read.parquet(f"{output}/facts")
+    sections = window_sections(facts, window_seconds, error_rate_threshold, minimum_requests)
     for name, table in sections.items():
         write_table(table, f"{output}/{name}")
-    window.unpersist()
     statistics = aggregation_statistics(classified)
     stored = spark.read.parquet(f"{output}/window_summary")
     anomalies = spark.read.parquet(f"{output}/anomalies").agg(F.count("*"))

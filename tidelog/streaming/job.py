@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.columns import blank_to_null
+from tidelog.operators.aggregates import minute_facts
 from tidelog.operators.events import decode_records, invocation_summary
 from tidelog.operators.window import recent_window
 from tidelog.plans.global_window import window_sections
@@ -164,17 +165,11 @@ class StreamJob:
             return
         deltas = read_deltas(spark, self.deltas, newest, self.window_seconds)
         in_reach = recent_window(deltas, self.window_seconds, newest=F.timestamp_micros(F.lit(newest)))
-        window = first_copies(in_reach).persist()
-        sections = window_sections(
-            window, self.window_seconds, self.error_rate_threshold, self.minimum_requests
-        )
-        for name, table in sections.items():
-            write_table(table, f"{self.root}/snapshot/{name}/slot={slot}")
-        window.unpersist()
+        write_table(minute_facts(first_copies(in_reach)), f"{self.root}/snapshot/slot={slot}")
 
-        here = lambda name: spark.read.parquet(f"{self.root}/snapshot/{name}/slot={slot}")
-        events = here("window_summary").select("window_event_count").scalar()
-        anomalies = here("anomalies").agg(F.count("*")).scalar()
+        sections = self._sections(spark, slot)
+        events = sections["window_summary"].select("window_event_count").scalar()
+        anomalies = sections["anomalies"].agg(F.count("*")).scalar()
         summary = invocation_summary(decoded, events, anomalies)
         write_table(summary, f"{self.invocations}/batch_id={batch_id}")
 
@@ -183,6 +178,15 @@ class StreamJob:
         )
         write_table(marker, f"{self.root}/state/slot={slot}")
 
+    def _sections(self, spark: SparkSession, slot: int) -> dict[str, DataFrame]:
+        """The tables of the snapshot in a slot; what is stored are the window's facts."""
+        return window_sections(
+            spark.read.parquet(f"{self.root}/snapshot/slot={slot}"),
+            self.window_seconds,
+            self.error_rate_threshold,
+            self.minimum_requests,
+        )
+
     def _states(self, spark: SparkSession) -> DataFrame | None:
         try:
             return spark.read.schema("batch_id BIGINT, newest BIGINT, slot INT").parquet(
@@ -204,7 +208,7 @@ class StreamJob:
         if states is None:
             raise ValueError("the stream has not written a snapshot yet")
         slot = states.agg(F.max_by("slot", "batch_id")).first()[0]
-        return spark.read.parquet(f"{self.root}/snapshot/{section}/slot={slot}")
+        return self._sections(spark, slot)[section]
 
     def start(
         self,

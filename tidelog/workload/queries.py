@@ -1019,7 +1019,7 @@ def _(f: Frames):
 @query("global_window", f"{GLOBAL} {ENDPOINT_ROWS.format('recent')}")
 def _(f: Frames):
     _, seen = global_window.global_window(f.delta_documents(), WINDOW)
-    return global_window.window_sections(seen, WINDOW)["endpoints"]
+    return global_window.window_sections(aggregates.unit_facts(seen), WINDOW)["endpoints"]
 
 
 @query(
