@@ -25,9 +25,9 @@ class Dialect:
     base64: Callable[[str], str]
 
 
-def spark_dialect(sf_dir: str) -> Dialect:
+def spark_dialect(events: str) -> Dialect:
     return Dialect(
-        events=f"parquet.`{sf_dir}/events.parquet`",
+        events=events,
         div="div",
         timestamp=lambda seconds: f"timestamp_seconds({seconds})",
         log_time=lambda seconds: f"date_format(timestamp_seconds({seconds}), 'dd/MMM/yyyy:HH:mm:ss')",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +23,25 @@ RATIO = 1.5
 MINIMUM = 10
 
 
+def spread_out(table: DataFrame) -> DataFrame:
+    """Use all cores for a table that comes in fewer splits than there are cores.
+
+    Building and parsing log text costs far more than moving these small rows. A large
+    table has enough splits and stays where it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 class Frames:
     """Everything is lazy and reads the whole ``events`` table."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
-        self.dialect = derive.spark_dialect(sf_dir)
+        events = spread_out(spark.read.parquet(f"{sf_dir}/events.parquet"))
+        view = f"events_{uuid4().hex}"
+        events.createOrReplaceTempView(view)
+        self.dialect = derive.spark_dialect(view)
 
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text)
