@@ -9,23 +9,26 @@ from tidelog.functions.columns import strip, with_once
 from tidelog.functions.instants import log_time
 from tidelog.schema import EVENT_COLUMNS, LOG_PATTERN, REJECTED_SAMPLE_SIZE
 
-GROUPS = [
-    "client_ip",
-    "timestamp_raw",
-    "request_raw",
-    "status_code_raw",
-    "response_bytes_raw",
-    "referrer",
-    "user_agent",
-    "extra",
-]
-
-
 # The part of the pattern outside the quoted texts. A line with exactly eight quotes is
 # cut at them, so only its short unquoted parts are matched.
 UNQUOTED = r'^(\S+) \S+ \S+ \[([^\]]+)\] " (\d{3}) (\S+) \z'
 
 
+# Fixed place of each group: among the pieces between quotes or the groups matched in the
+# unquoted text, and among the groups of the whole pattern.
+PLACES = {
+    "client_ip": ("matched[0]", "matched[0]"),
+    "timestamp_raw": ("matched[1]", "matched[1]"),
+    "request_raw": ("quoted[1]", "matched[2]"),
+    "status_code_raw": ("matched[2]", "matched[3]"),
+    "response_bytes_raw": ("matched[3]", "matched[4]"),
+    "referrer": ("quoted[3]", "matched[5]"),
+    "user_agent": ("quoted[5]", "matched[6]"),
+    "extra": ("quoted[7]", "matched[7]"),
+}
+GROUPS = list(PLACES)
+
+
 def _rewritten(text: Column, pattern: str, groups: int) -> Column:
     """The groups of a pattern as an array of that size; another size means no match.
 
@@ -44,75 +47,52 @@ def access_log_groups(lines: DataFrame, column: str = "value") -> DataFrame:
     gives the same groups as the whole pattern. More quotes need the whole pattern, and
     with fewer there is no match.
     """
-    piece = lambda index: F.get("quoted", F.lit(index))
-    group = lambda index: F.get("matched", F.lit(index))
-    cut = with_once(
-        lines.select(F.col(column).alias("raw_line")), quoted=F.split("raw_line", '"', -1)
-    )
+    line = F.col("raw_line")
+    cut = with_once(lines.select(F.col(column).alias("raw_line")), quoted=F.split(line, '"', -1))
     # The end of the pattern also matches before a last line or paragraph separator.
-    at_end = piece(8).isin("", "\u0085", "\u2028", "\u2029")
-    between = (piece(4) == " ") & (piece(6) == " ") & at_end
-    unquoted = F.concat(piece(0), F.lit('"'), piece(2))
-    by_quotes = F.when((F.size("quoted") == 9) & between, _rewritten(unquoted, UNQUOTED, 4))
-    by_pattern = by_quotes.when(F.size("quoted") > 9, _rewritten(F.col("raw_line"), LOG_PATTERN, 8))
-    matched = with_once(
-        cut, matched=F.when(~F.contains("raw_line", F.lit("\n")), by_pattern)
+    at_end = F.expr("quoted[4] = ' ' AND quoted[6] = ' '") & F.expr("quoted[8]").isin(
+        "", "\u0085", "\u2028", "\u2029"
     )
-    # Where each group is found, by quotes and by the whole pattern.
-    places = [
-        (group(0), group(0)),
-        (group(1), group(1)),
-        (piece(1), group(2)),
-        (group(2), group(3)),
-        (group(3), group(4)),
-        (piece(3), group(5)),
-        (piece(5), group(6)),
-        (piece(7), group(7)),
-    ]
-    return matched.select(
+    unquoted = F.expr("quoted[0] || '\"' || quoted[2]")
+    by_quotes = F.when(
+        F.expr("size(quoted) = 9") & at_end, _rewritten(unquoted, UNQUOTED, 4)
+    ).when(F.expr("size(quoted) > 9"), _rewritten(line, LOG_PATTERN, 8))
+    matched = with_once(cut, matched=F.when(~F.contains(line, F.lit("\n")), by_quotes))
+    return matched.selectExpr(
         "raw_line",
         *[
-            F.when(F.size("matched") == 4, cut_out)
-            .when(F.size("matched") == 8, matched_out)
-            .otherwise("")
-            .alias(name)
-            for name, (cut_out, matched_out) in zip(GROUPS, places)
+            f"CASE size(matched) WHEN 4 THEN {cut_out} WHEN 8 THEN {whole} ELSE '' END AS {name}"
+            for name, (cut_out, whole) in PLACES.items()
         ],
     )
 
 
-def response_size(text: Column) -> Column:
-    """Digits as a number, anything else (such as ``-``) as 0."""
-    return F.coalesce(F.when(text.rlike(r"^\d+$"), text).try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Every line with its typed fields and the three validity flags."""
-    groups = access_log_groups(lines, column)
-    # Blank is its own case: a line of another format has one empty request part.
+    """Every line with its typed fields and the three validity flags.
+
+    A request that has not three parts stays whole as the endpoint. Sizes that are not
+    digits only, such as ``-``, are 0.
+    """
     staged = with_once(
-        groups,
+        access_log_groups(lines, column),
         timestamp=log_time(F.col("timestamp_raw")),
         request_parts=F.split("request_raw", " ", 3),
     )
-    complete = F.size("request_parts") == 3
-    part = lambda index: F.when(complete, F.get("request_parts", F.lit(index)))
-    return staged.select(
+    return staged.selectExpr(
         "raw_line",
         "client_ip",
         "timestamp",
-        part(0).alias("method"),
-        F.when(complete, F.get("request_parts", F.lit(1)))
-        .otherwise(F.col("request_raw"))
-        .alias("endpoint"),
-        part(2).alias("protocol"),
-        F.col("status_code_raw").try_cast("int").alias("status_code"),
-        response_size(F.col("response_bytes_raw")).alias("response_bytes"),
+        "CASE WHEN size(request_parts) = 3 THEN request_parts[0] END AS method",
+        "CASE WHEN size(request_parts) = 3 THEN request_parts[1] ELSE request_raw END AS endpoint",
+        "CASE WHEN size(request_parts) = 3 THEN request_parts[2] END AS protocol",
+        "try_cast(status_code_raw AS INT) AS status_code",
+        "coalesce(try_cast(CASE WHEN response_bytes_raw RLIKE '^[0-9]+$' THEN response_bytes_raw END"
+        " AS BIGINT), 0L) AS response_bytes",
         "referrer",
         "user_agent",
-        (F.col("client_ip") != "").alias("format_valid"),
-        F.col("timestamp").isNotNull().alias("timestamp_valid"),
-        complete.alias("request_valid"),
+        "client_ip <> '' AS format_valid",
+        "timestamp IS NOT NULL AS timestamp_valid",
+        "size(request_parts) = 3 AS request_valid",
     )
 
 
