@@ -11,20 +11,25 @@ DIGIT_BITS = 16
 DIGIT_SHIFTS = (48, 32, 16, 0)
 
 
+def value_counts(values: DataFrame, column: str) -> DataFrame:
+    """``v`` and ``n``, how often each value occurs, written to the shared folder."""
+    counted = values.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    return stage(counted, "counts")
+
+
 def exact_percentiles(values: DataFrame, column: str, probabilities: dict[str, float]) -> DataFrame:
+    return percentiles_of_counts(value_counts(values, column), probabilities)
+
+
+def percentiles_of_counts(counts: DataFrame, probabilities: dict[str, float]) -> DataFrame:
     """Exact percentiles of non-negative whole numbers, linearly interpolated, one row.
 
     The usual exact aggregate gathers all distinct values in one task. Here the values
     are counted, and the wanted ranks are found digit by digit: 16 bits at a time, so
     that no step handles more than 65,536 counts for a rank, however many values exist.
     """
-    spark = values.sparkSession
-    counts = (
-        values.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    counts = stage(counts, "counts")
+    spark = counts.sparkSession
+    counts = counts.filter(F.col("v").isNotNull()).select("v", "n")
     last = counts.agg(F.sum("n")).scalar() - 1
     asked = []
     for name, probability in probabilities.items():
@@ -83,25 +88,31 @@ def latency_micros(processed_at: Column, ingested_at: Column) -> Column:
 
 
 def stream_latency(decoded: DataFrame, runtime_seconds: float | Column) -> DataFrame:
-    """One row about validated events that carry ``processed_at`` and ``ingested_at``."""
-    valid = F.col("valid")
-    timed = decoded.select(
-        "valid",
-        F.when(valid, latency_micros(F.col("processed_at"), F.col("ingested_at"))).alias("micros"),
+    """One row about validated events that carry ``processed_at`` and ``ingested_at``.
+
+    The events are read once, to count how often each latency occurs.
+    """
+    micros = F.when(F.col("valid"), latency_micros(F.col("processed_at"), F.col("ingested_at")))
+    counts = stage(
+        decoded.groupBy("valid", micros.alias("v")).agg(F.count("*").alias("n")), "latencies"
     )
     runtime = runtime_seconds if isinstance(runtime_seconds, Column) else F.lit(float(runtime_seconds))
     millis = lambda value: value / F.lit(1000.0)
-    overall = timed.agg(
-        F.count("*").alias("records_attempted"),
-        F.count_if("valid").alias("records_processed"),
-        F.count_if(~valid).alias("invalid_records"),
-        F.count("micros").alias("latency_samples"),
-        millis(F.min("micros")).alias("latency_min_ms"),
-        millis(F.avg("micros")).alias("latency_mean_ms"),
-        millis(F.max("micros")).alias("latency_max_ms"),
+    valid, value, n = F.col("valid"), F.col("v"), F.col("n")
+    total = lambda amount: F.coalesce(F.sum(amount), F.lit(0))
+    overall = counts.agg(
+        total(n).alias("records_attempted"),
+        total(F.when(valid, n)).alias("records_processed"),
+        total(F.when(~valid, n)).alias("invalid_records"),
+        total(F.when(value.isNotNull(), n)).alias("latency_samples"),
+        millis(F.min(value)).alias("latency_min_ms"),
+        millis(F.try_divide(F.sum(value * n), F.sum(F.when(value.isNotNull(), n)))).alias(
+            "latency_mean_ms"
+        ),
+        millis(F.max(value)).alias("latency_max_ms"),
         F.lit(0).alias("row"),
     )
-    quantiles = exact_percentiles(timed, "micros", {"p50": 0.5, "p95": 0.95}).withColumn("row", F.lit(0))
+    quantiles = percentiles_of_counts(counts, {"p50": 0.5, "p95": 0.95}).withColumn("row", F.lit(0))
     throughput = F.when(runtime > 0, F.col("records_processed") / runtime).otherwise(F.lit(0.0))
     return overall.join(quantiles, "row").select(
         "records_attempted",

@@ -18,6 +18,7 @@ from tidelog.schema import (
     TRAFFIC_SPIKE_RATIO,
     check_spike_thresholds,
 )
+from tidelog.session import stage
 
 SPIKE_COLUMNS = [
     "endpoint",
@@ -255,10 +256,13 @@ def combined_view(
     """All sections of the serving view, each a table.
 
     ``window`` is one row with ``window_seconds, window_start, window_end``. Nothing is
-    folded into a single document: the number of endpoints has no bound.
+    folded into a single document: the number of endpoints has no bound. The comparison
+    of endpoints feeds three sections and is written to the shared folder first.
     """
     seconds = window.select("window_seconds").scalar()
-    compared = compare_endpoints(history, recent, seconds, ratio, minimum_requests)
+    compared = stage(
+        compare_endpoints(history, recent, seconds, ratio, minimum_requests), "compared"
+    )
     past, now = side_totals(history, history_totals), side_totals(recent, recent_totals)
     overall = overall_traffic(past, now, seconds)
     summary = spike_summary(compared, ratio, minimum_requests)

@@ -45,8 +45,13 @@ def window_sections(
 def global_window(
     documents: DataFrame, window_seconds: int = WINDOW_SECONDS
 ) -> tuple[DataFrame, DataFrame]:
-    """The classified events of all documents, and the window of the unique ones."""
-    classified = dedup_events(delta_events(documents))
+    """The classified events of all documents, and the window of the unique ones.
+
+    Decoding and de-duplication each feed several results, so both are written to the
+    shared folder once; a lost executor costs only its own tasks.
+    """
+    decoded = stage(delta_events(documents), "decoded")
+    classified = stage(dedup_events(decoded), "classified")
     return classified, recent_window(unique_events(classified), window_seconds)
 
 
@@ -59,15 +64,10 @@ def run_global(
     minimum_requests: int = MINIMUM_REQUESTS_FOR_ANOMALY,
     pattern: str = "*.json",
 ) -> None:
-    """Write the global snapshot: its sections, anomalies and statistics.
-
-    Decoding and de-duplication each feed several results, so both are written to the
-    shared folder once; a lost executor costs only its own tasks.
-    """
+    """Write the global snapshot: its sections, anomalies and statistics."""
     configure(spark)
-    decoded = stage(delta_events(read_documents(spark, source, pattern)), "decoded")
-    classified = stage(dedup_events(decoded), "classified")
-    window = recent_window(unique_events(classified), window_seconds)
+    documents = read_documents(spark, source, pattern)
+    classified, window = global_window(documents, window_seconds)
     write_table(aggregates.minute_facts(window), f"{output}/facts")
     facts = spark.read.parquet(f"{output}/facts")
     sections = window_sections(facts, window_seconds, error_rate_threshold, minimum_requests)

@@ -878,7 +878,7 @@ _SENT = f"""{RECORDS}, accepted AS (
      WHERE total_requests >= 2 AND error_rate >= 0.5) AS anomaly_count FROM records""",
 )
 def _(f: Frames):
-    decoded = f.decoded()
+    decoded = stage(f.decoded().drop("event", "payload"), "decoded")
     seen = window.recent_window(decoded.filter("valid"), WINDOW)
     anomalies = window.window_anomalies(aggregates.unit_facts(seen))
     return events.invocation_summary(
@@ -1032,7 +1032,10 @@ def _(f: Frames):
     GROUP BY worker, endpoint""",
 )
 def _(f: Frames):
-    accepted = f.decoded().filter("valid").withColumn("worker", F.col("invocation") % 4)
+    accepted = f.decoded().filter("valid").select(
+        (F.col("invocation") % 4).alias("worker"), "endpoint", "timestamp"
+    )
+    accepted = stage(accepted, "accepted")
     seen = window.recent_window(accepted, WINDOW, by=["worker"])
     return seen.groupBy("worker", "endpoint").agg(F.count("*").alias("total_requests"))
 
