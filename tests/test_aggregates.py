@@ -12,13 +12,21 @@ def controlled(lines_of):
     return read_events(lines_of(CONTROLLED_LOG))
 
 
+def metrics_of(facts):
+    return aggregates.batch_metrics(facts, aggregates.endpoint_summary(facts))
+
+
 def as_dict(df, key, *values):
     return {row[key]: tuple(row[v] for v in values) for row in df.collect()}
 
 
 @pytest.mark.parametrize("facts_of", [aggregates.unit_facts, aggregates.minute_facts])
 def test_controlled_log(controlled, facts_of):
-    metrics = aggregates.batch_metrics(facts_of(controlled))
+    facts = facts_of(controlled)
+    metrics = metrics_of(facts)
+    for name in ("requests_per_endpoint", "error_rates", "response_byte_totals", "baseline_rpm"):
+        alone = getattr(aggregates, name)(facts)
+        assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, metrics[name].collect()))
     assert as_dict(metrics["requests_per_endpoint"], "endpoint", "total_requests") == {
         "/": (2,), "/api/users": (2,), "/api/login": (2,), "/images/logo.png": (1,)
     }
@@ -41,7 +49,7 @@ def test_baseline_counts_active_minutes(lines_of):
 
 def test_summary_equals_joined_tables(spark, controlled):
     facts = aggregates.minute_facts(controlled)
-    joined = reports.run_report(spark, "endpoint_historical_summary", aggregates.batch_metrics(facts))
+    joined = reports.run_report(spark, "endpoint_historical_summary", metrics_of(facts))
     direct = aggregates.endpoint_summary(facts)
     assert sorted(map(tuple, joined.select(*direct.columns).collect())) == sorted(
         map(tuple, direct.collect())
@@ -82,7 +90,7 @@ def test_catalogue(spark, tmp_path, file_format, controlled):
     from tidelog.plans.sinks import write_batch_results
 
     out = str(tmp_path / "tables")
-    write_batch_results(aggregates.batch_metrics(aggregates.minute_facts(controlled)), out, file_format)
+    write_batch_results(metrics_of(aggregates.minute_facts(controlled)), out, file_format)
     database = f"tidelog_test_{file_format}"
     create_database(spark, database, out, file_format)
     reports.create_views(spark, database)
@@ -94,7 +102,7 @@ def test_catalogue(spark, tmp_path, file_format, controlled):
 
 
 def test_reconciliation_fails_on_a_missing_row(spark, controlled):
-    tables = aggregates.batch_metrics(aggregates.minute_facts(controlled))
+    tables = metrics_of(aggregates.minute_facts(controlled))
     tables["requests_per_endpoint"] = tables["requests_per_endpoint"].filter("endpoint <> '/'")
     tables["traffic_by_hour"] = tables["traffic_by_hour"].filter("false")
     checks = reports.run_report(spark, "reconcile_batch", tables).collect()

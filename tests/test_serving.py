@@ -208,7 +208,9 @@ def test_serving_job(spark, tmp_path, lines_of):
     from tidelog.plans.global_window import window_sections
 
     events = read_events(lines_of(CONTROLLED_LOG))
-    write_batch_results(aggregates.batch_metrics(minute_facts(events)), str(tmp_path / "batch"))
+    past = minute_facts(events)
+    tables = aggregates.batch_metrics(past, aggregates.endpoint_summary(past))
+    write_batch_results(tables, str(tmp_path / "batch"))
     facts = aggregates.unit_facts(recent_window(events, 120))
     for name, table in window_sections(facts, 120).items():
         table.write.parquet(str(tmp_path / "snapshot" / name))

@@ -126,16 +126,20 @@ def endpoint_summary(facts: DataFrame) -> DataFrame:
     )
 
 
-def batch_metrics(facts: DataFrame) -> dict[str, DataFrame]:
-    """The seven batch result tables, unordered."""
+def batch_metrics(facts: DataFrame, summary: DataFrame) -> dict[str, DataFrame]:
+    """The seven batch result tables, unordered.
+
+    ``summary`` is the stored ``endpoint_summary`` of the facts: the per-endpoint tables
+    are columns of it and need no grouping of their own.
+    """
     return {
-        "requests_per_endpoint": requests_per_endpoint(facts),
+        "requests_per_endpoint": summary.select("endpoint", "total_requests"),
         "traffic_by_hour": traffic_by_hour(facts),
-        "error_rates": error_rates(facts),
+        "error_rates": summary.select("endpoint", "total_requests", "error_count", "error_rate"),
         "status_code_distribution": status_code_distribution(facts),
-        "response_byte_totals": response_byte_totals(facts),
+        "response_byte_totals": summary.select("endpoint", "total_response_bytes"),
         "batch_summary": batch_summary(facts),
-        "baseline_rpm": baseline_rpm(facts),
+        "baseline_rpm": summary.select("endpoint", "avg_requests_per_minute"),
     }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import minute
-from tidelog.operators.aggregates import add_up, batch_metrics
+from tidelog.operators.aggregates import add_up, batch_metrics, endpoint_summary
 from tidelog.operators.parse import (
     data_quality,
     parse_lines,
@@ -60,7 +60,8 @@ def run_batch(
     sample_size: int = REJECTED_SAMPLE_SIZE,
     repeatable_sample: bool = True,
 ) -> None:
-    """Write all ten result tables below ``output``, plus the facts they come from.
+    """Write all ten result tables below ``output``, plus the two they come from: the
+    facts and the endpoint summary.
 
     A repeatable sample looks at all rejected lines and so reads the log a second time;
     otherwise Spark stops at the first rejected lines it finds.
@@ -70,7 +71,12 @@ def run_batch(
     write_table(line_facts(parsed), f"{output}/line_facts")
     stored = spark.read.parquet(f"{output}/line_facts")
 
-    write_batch_results(batch_metrics(facts_of(stored)), output, file_format, ordered, single_file)
+    facts = facts_of(stored)
+    write_table(endpoint_summary(facts), f"{output}/endpoint_summary")
+    summary = spark.read.parquet(f"{output}/endpoint_summary")
+    write_batch_results(
+        batch_metrics(facts, summary), output, file_format, ordered, single_file
+    )
     write_data_quality(data_quality(stored), output, file_format)
     rejected = rejected_records(parsed)
     if repeatable_sample:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.documents import BYTE_ORDER_MARK
-from tidelog.operators.aggregates import add_up, batch_metrics, minute_facts, unit_facts
+from tidelog.operators.aggregates import add_up, batch_metrics, endpoint_summary, minute_facts, unit_facts
 from tidelog.operators.events import decode_records
 from tidelog.operators.dedup import dedup_events, delta_events
 from tidelog.operators.parse import parse_lines, valid_events
@@ -75,7 +75,8 @@ class Frames:
 
     def tables(self) -> dict[str, DataFrame]:
         """The batch tables, all from the same minute facts."""
-        return batch_metrics(minute_facts(self.events()))
+        facts = minute_facts(self.events())
+        return batch_metrics(facts, endpoint_summary(facts))
 
     def window(self, seconds: int = WINDOW) -> DataFrame:
         return recent_window(self.events(), seconds)
