@@ -11,14 +11,13 @@ from tidelog.operators.reports import run_report
 from tidelog.operators.serving import combined_view, document_metrics, endpoint_metrics, view_lines
 from tidelog.plans.sinks import write_serving_view, write_view_lines
 from tidelog.schema import MINIMUM_REQUESTS_FOR_SPIKE, TRAFFIC_SPIKE_RATIO
-from tidelog.session import build_session, configure
+from tidelog.session import build_session, configure, stage
 from tidelog.sources.documents import (
     baseline_value,
     document_totals,
     metric_rows,
     parse_metric_documents,
     read_baselines,
-    sanitize_counts,
 )
 from tidelog.sources.tables import read_batch_tables
 
@@ -50,17 +49,21 @@ def view_of_tables(
 
 
 def _document_side(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Endpoint metrics, status counts and totals of one metric document."""
+    """Endpoint metrics, status counts and totals of one metric document.
+
+    A document is one long text, so what is read from it is written down at once.
+    """
     baselines = read_baselines(
         documents.select(
             "doc_key", baseline_value(F.col("metrics"), F.col("root")).alias("baseline")
         )
     )
-    status = sanitize_counts(documents, "status_code_distribution").select(
-        F.col("key").alias("status_code"), F.col("value").alias("request_count")
+    rows = stage(metric_rows(documents), "metrics")
+    status = rows.filter(F.col("metric") == "status_code_distribution").select(
+        F.col("key").alias("status_code"), F.col("value").cast("bigint").alias("request_count")
     )
-    metrics = document_metrics(metric_rows(documents), baselines).drop("doc_key")
-    return metrics, status, document_totals(documents)
+    metrics = stage(document_metrics(rows, baselines).drop("doc_key"), "endpoints")
+    return metrics, status, stage(document_totals(documents), "totals")
 
 
 def view_of_documents(
@@ -92,7 +95,7 @@ def view_of_documents(
         F.when(F.col("endpoint") == only, scalar).alias("baseline_rpm"),
     )
     largest = [F.max(name).alias(name) for name in extra.columns if name != "endpoint"]
-    history = history.unionByName(extra).groupBy("endpoint").agg(*largest)
+    history = stage(history.unionByName(extra).groupBy("endpoint").agg(*largest), "history")
     anomalies = speed.select(F.variant_get("root", "$.anomalies", "variant").alias("anomalies"))
     listed = anomalies.select(
         F.explode(F.try_variant_get("anomalies", "$", "array<variant>")).alias("anomaly")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,39 +72,50 @@ def parse_metric_documents(documents: DataFrame, layer: str) -> DataFrame:
     return rooted.select("doc_key", "root", _first_object(F.col("root"), names).alias("metrics"))
 
 
+def _members(documents: DataFrame, metrics: list[str]) -> DataFrame:
+    """Members of the named maps: ``doc_key, metric, key, item``; a document is read once."""
+    maps = F.array(
+        *[
+            F.struct(
+                F.lit(metric).alias("metric"),
+                as_map(F.col("metrics"), f"$.{metric}").alias("members"),
+            )
+            for metric in metrics
+        ]
+    )
+    listed = documents.select("doc_key", F.inline(maps))
+    return listed.select("doc_key", "metric", F.explode("members").alias("key", "item"))
+
+
 def sanitize_counts(documents: DataFrame, metric: str) -> DataFrame:
     """A count map as rows ``doc_key, key, value``; values that are no integers are left out."""
-    entries = documents.select(
-        "doc_key", F.explode(as_map(F.col("metrics"), f"$.{metric}")).alias("key", "item")
-    )
-    counted = entries.select(
+    counted = _members(documents, [metric]).select(
         "doc_key", "key", F.try_variant_get("item", "$", "bigint").alias("value")
     )
     return counted.filter(F.col("value").isNotNull())
 
 
+def _rate_of(item: Column) -> Column:
+    """A rate stands alone or is the ``error_rate`` of an object."""
+    return F.when(is_object(item), real_number(item, "error_rate")).otherwise(real_number(item))
+
+
 def sanitize_rates(documents: DataFrame, metric: str = "error_rates") -> DataFrame:
-    """A rate map as rows; a rate stands alone or as ``error_rate`` in an object."""
-    entries = documents.select(
-        "doc_key", F.explode(as_map(F.col("metrics"), f"$.{metric}")).alias("key", "item")
+    """A rate map as rows; values that are no numbers are left out."""
+    rated = _members(documents, [metric]).select(
+        "doc_key", "key", _rate_of(F.col("item")).alias("value")
     )
-    item = F.col("item")
-    rate = F.when(is_object(item), real_number(item, "error_rate")).otherwise(real_number(item))
-    return entries.select("doc_key", "key", rate.alias("value")).filter(F.col("value").isNotNull())
+    return rated.filter(F.col("value").isNotNull())
 
 
 def metric_rows(documents: DataFrame) -> DataFrame:
     """All per-key metrics of the documents in long form: ``doc_key, metric, key, value``."""
-    counts = [
-        sanitize_counts(documents, metric).select(
-            "doc_key", F.lit(metric).alias("metric"), "key", F.col("value").cast("double")
-        )
-        for metric in COUNT_METRICS
-    ]
-    rates = sanitize_rates(documents).select(
-        "doc_key", F.lit("error_rates").alias("metric"), "key", "value"
+    count = F.try_variant_get("item", "$", "bigint").cast("double")
+    value = F.when(F.col("metric") == "error_rates", _rate_of(F.col("item"))).otherwise(count)
+    rows = _members(documents, [*COUNT_METRICS, "error_rates"]).select(
+        "doc_key", "metric", "key", value.alias("value")
     )
-    return reduce(DataFrame.unionByName, [*counts, rates])
+    return rows.filter(F.col("value").isNotNull())
 
 
 def document_totals(documents: DataFrame) -> DataFrame:
