@@ -12,6 +12,8 @@ from tidelog.operators.replay import replay_records
 from tidelog.sources.envelopes import explode_records
 from tidelog.sources.generator import generate_load_events
 from tidelog.sources.logs import read_replay_lines
+from tidelog.plans.global_window import run_global
+from tidelog.plans.serving import run_serving
 from tidelog.streaming.job import StreamJob
 from tidelog.streaming.replay import delivery_statistics, read_event_stream, start_replay
 from tests.samples import CONTROLLED_LOG, event, log_line
@@ -190,6 +192,14 @@ def test_any_split_gives_the_same_window(spark, tmp_path, arrivals, parts):
         for name in {e for _, e, _ in inside}
     )
     assert found["summary"][0][2] == len(inside)
+    run_global(spark, job.deltas, str(tmp_path / "global"), 300, stored=True)
+    rows = lambda table, *names: sorted(
+        map(tuple, spark.read.parquet(str(tmp_path / "global" / table)).select(*names).collect())
+    )
+    assert found["endpoints"] == rows(
+        "endpoints", "endpoint", "total_requests", "error_count", "total_response_bytes"
+    )
+    assert rows("statistics", "unique_events", "window_event_count") == [(len(right), len(inside))]
     counts = spark.read.parquet(job.invocations).agg(
         F.sum("received_records"), F.sum("processed_records"), F.sum("invalid_records")
     ).first()
@@ -232,3 +242,23 @@ def test_nothing_written_yet(spark, tmp_path):
         StreamJob(str(tmp_path / "none")).read_snapshot(spark, "endpoints")
     with pytest.raises(ValueError):
         StreamJob(str(tmp_path / "none"), window_seconds=0)
+
+
+def test_log_files_to_serving_view(spark, tmp_path):
+    """The whole way: log files, batch tables, replayed records, stream window, view."""
+    from tidelog.plans.batch import run_batch
+
+    logs, out = tmp_path / "logs", lambda name: str(tmp_path / name)
+    logs.mkdir()
+    (logs / "a.log").write_text("\n".join(CONTROLLED_LOG) + "\n")
+    run_batch(spark, str(logs), out("batch"))
+    start_replay(spark, str(logs), out("records"), out("c1")).awaitTermination()
+    job = StreamJob(out("recent"), 120)
+    job.start(spark, out("records") + "/*", out("c2")).awaitTermination()
+    run_serving(spark, out("batch"), None, out("view"), stream=job)
+    rows = {r.endpoint: r for r in spark.read.parquet(out("view") + "/endpoint_comparison").collect()}
+    assert {e: (r.historical_requests, r.recent_requests) for e, r in rows.items()} == {
+        "/": (2, 1), "/api/users": (2, 1), "/api/login": (2, 0), "/images/logo.png": (1, 1)
+    }
+    totals = spark.read.parquet(out("view") + "/totals").first()
+    assert tuple(totals) == (7, 3, 600, 175)

@@ -55,15 +55,18 @@ def unique_events(classified: DataFrame) -> DataFrame:
 
 def aggregation_statistics(classified: DataFrame) -> DataFrame:
     """One row of counts over documents and events."""
-    position, valid = F.col("position"), F.col("valid_document")
-    once = position.isNull() | (position == 0)
-    return classified.agg(
-        F.count_if(once).alias("scanned_objects"),
-        F.count_if(once & valid).alias("valid_documents"),
-        F.count_if(once & ~valid).alias("invalid_documents"),
-        F.count("position").alias("raw_events"),
+    each = classified.groupBy("doc_key").agg(
+        F.bool_and("valid_document").alias("valid_document"),
+        F.count("position").alias("raw"),
         *[
-            F.count_if(F.col("event_class") == kind).alias(f"{kind}_events")
+            F.count_if(F.col("event_class") == kind).alias(kind)
             for kind in (UNIQUE, DUPLICATE, INVALID)
         ],
     )
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(f"{name}_events")
+    return each.agg(
+        F.count("*").alias("scanned_objects"),
+        F.count_if("valid_document").alias("valid_documents"),
+        F.count_if(~F.col("valid_document")).alias("invalid_documents"),
+        *map(total, ("raw", UNIQUE, DUPLICATE, INVALID)),
+    )

@@ -167,28 +167,22 @@ def validation_profile(events: DataFrame) -> DataFrame:
     source and a row per endpoint.
     """
     has_id = F.coalesce(F.col("event_id") != "", F.lit(False))
-    totals = events.agg(F.count("*").alias("n"), F.count_if(~has_id).alias("without_id"))
-    facts = totals.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.lit("decoded_events").alias("item"),
-                    F.col("n").cast("string").alias("value"),
-                    F.col("n").alias("events"),
-                ),
-                F.struct(
-                    F.lit("event_ids_present").alias("item"),
-                    (F.col("without_id") == 0).cast("string").alias("value"),
-                    (F.col("n") - F.col("without_id")).alias("events"),
-                ),
-            )
-        )
+    grouped = events.groupingSets([["source"], ["endpoint"], []], "source", "endpoint").agg(
+        F.grouping_id().alias("level"),
+        F.count("*").alias("n"),
+        F.count_if(~has_id).alias("without_id"),
+    )
+    entry = lambda item, value, count: F.struct(
+        F.lit(item).alias("item"), value.cast("string").alias("value"), count.alias("events")
+    )
+    n, without = F.col("n"), F.col("without_id")
+    totals = F.array(
+        entry("decoded_events", n, n), entry("event_ids_present", without == 0, n - without)
+    )
+    # A set bit of the level marks a column that is grouped away.
+    entries = (
+        F.when(F.col("level") == 0b01, F.array(entry("source", F.col("source"), n)))
+        .when(F.col("level") == 0b10, F.array(entry("endpoint", F.col("endpoint"), n)))
+        .otherwise(totals)
     )
-    by_value = [
-        events.filter(F.col(name) != "")
-        .groupBy(F.col(name).alias("value"))
-        .agg(F.count("*").alias("events"))
-        .select(F.lit(name).alias("item"), "value", "events")
-        for name in ("source", "endpoint")
-    ]
-    return facts.unionByName(by_value[0]).unionByName(by_value[1])
+    return grouped.select(F.inline(entries)).filter(F.col("value") != "")

@@ -22,7 +22,7 @@ from tidelog.schema import (
     WINDOW_SECONDS,
 )
 from tidelog.session import build_session, configure, stage
-from tidelog.sources.documents import read_documents
+from tidelog.sources.documents import read_delta_table, read_documents
 
 
 def window_sections(
@@ -50,7 +50,10 @@ def global_window(
     Decoding and de-duplication each feed several results, so both are written to the
     shared folder once; a lost executor costs only its own tasks.
     """
-    decoded = stage(delta_events(documents), "decoded")
+    return _classify(stage(delta_events(documents), "decoded"), window_seconds)
+
+
+def _classify(decoded: DataFrame, window_seconds: int) -> tuple[DataFrame, DataFrame]:
     classified = stage(dedup_events(decoded), "classified")
     return classified, recent_window(unique_events(classified), window_seconds)
 
@@ -63,23 +66,30 @@ def run_global(
     error_rate_threshold: float = ERROR_RATE_THRESHOLD,
     minimum_requests: int = MINIMUM_REQUESTS_FOR_ANOMALY,
     pattern: str = "*.json",
+    stored: bool = False,
 ) -> None:
-    """Write the global snapshot: its sections, anomalies and statistics."""
+    """Write the global snapshot: its sections, anomalies and statistics.
+
+    ``source`` holds delta documents, or with ``stored`` the delta table of a stream job.
+    """
     configure(spark)
-    documents = read_documents(spark, source, pattern)
-    classified, window = global_window(documents, window_seconds)
+    if stored:
+        classified, window = _classify(read_delta_table(spark, source), window_seconds)
+    else:
+        documents = read_documents(spark, source, pattern)
+        classified, window = global_window(documents, window_seconds)
     write_table(aggregates.minute_facts(window), f"{output}/facts")
     facts = spark.read.parquet(f"{output}/facts")
     sections = window_sections(facts, window_seconds, error_rate_threshold, minimum_requests)
     for name, table in sections.items():
         write_table(table, f"{output}/{name}")
     statistics = aggregation_statistics(classified)
-    stored = spark.read.parquet(f"{output}/window_summary")
+    summary = spark.read.parquet(f"{output}/window_summary")
     anomalies = spark.read.parquet(f"{output}/anomalies").agg(F.count("*"))
     write_table(
         statistics.withColumns(
             {
-                "window_event_count": stored.select("window_event_count").scalar(),
+                "window_event_count": summary.select("window_event_count").scalar(),
                 "anomaly_count": anomalies.scalar(),
             }
         ),
@@ -91,6 +101,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
+    parser.add_argument("--stored", action="store_true", help="the input is a delta table")
     parser.add_argument("--window-seconds", type=int, default=WINDOW_SECONDS)
     parser.add_argument("--error-rate-threshold", type=float, default=ERROR_RATE_THRESHOLD)
     parser.add_argument("--minimum-requests", type=int, default=MINIMUM_REQUESTS_FOR_ANOMALY)
@@ -102,6 +113,7 @@ def main() -> None:
         arguments.window_seconds,
         arguments.error_rate_threshold,
         arguments.minimum_requests,
+        stored=arguments.stored,
     )
 
 

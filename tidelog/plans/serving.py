@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.operators.reports import run_report
 from tidelog.operators.serving import combined_view, document_metrics, endpoint_metrics, view_lines
 from tidelog.plans.sinks import write_serving_view, write_view_lines
-from tidelog.schema import MINIMUM_REQUESTS_FOR_SPIKE, TRAFFIC_SPIKE_RATIO
+from tidelog.schema import MINIMUM_REQUESTS_FOR_SPIKE, TRAFFIC_SPIKE_RATIO, WINDOW_SECONDS
 from tidelog.session import build_session, configure, stage
 from tidelog.sources.documents import (
     baseline_value,
@@ -20,6 +20,7 @@ from tidelog.sources.documents import (
     read_baselines,
 )
 from tidelog.sources.tables import read_batch_tables
+from tidelog.streaming.job import StreamJob
 
 
 def _recent_metrics(endpoints: DataFrame) -> DataFrame:
@@ -119,16 +120,23 @@ def view_of_documents(
 def run_serving(
     spark: SparkSession,
     batch_path: str,
-    snapshot_path: str,
+    snapshot_path: str | None,
     output: str,
     file_format: str = "parquet",
     ratio: float = TRAFFIC_SPIKE_RATIO,
     minimum_requests: int = MINIMUM_REQUESTS_FOR_SPIKE,
+    stream: StreamJob | None = None,
 ) -> None:
-    """Write the serving view as tables, and as JSON rows under ``lines``."""
+    """Write the serving view as tables, and as JSON rows under ``lines``.
+
+    The recent side is a global snapshot, or the latest one of a running stream job.
+    """
     configure(spark)
     names = ["window_summary", "endpoints", "status_code_distribution", "anomalies"]
-    snapshot = {name: spark.read.parquet(f"{snapshot_path}/{name}") for name in names}
+    if stream is None:
+        snapshot = {name: spark.read.parquet(f"{snapshot_path}/{name}") for name in names}
+    else:
+        snapshot = {name: stream.read_snapshot(spark, name) for name in names}
     view = view_of_tables(
         spark, read_batch_tables(spark, batch_path, file_format), snapshot, ratio, minimum_requests
     )
@@ -140,7 +148,10 @@ def run_serving(
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--batch", required=True)
-    parser.add_argument("--snapshot", required=True)
+    recent = parser.add_mutually_exclusive_group(required=True)
+    recent.add_argument("--snapshot", help="output of the global window job")
+    recent.add_argument("--stream", help="output of the stream job")
+    parser.add_argument("--window-seconds", type=int, default=WINDOW_SECONDS)
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--traffic-spike-ratio", type=float, default=TRAFFIC_SPIKE_RATIO)
@@ -154,6 +165,7 @@ def main() -> None:
         arguments.format,
         arguments.traffic_spike_ratio,
         arguments.minimum_requests,
+        StreamJob(arguments.stream, arguments.window_seconds) if arguments.stream else None,
     )
 
 

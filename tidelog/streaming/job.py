@@ -29,6 +29,7 @@ from tidelog.operators.window import recent_window
 from tidelog.plans.global_window import window_sections
 from tidelog.plans.sinks import write_table
 from tidelog.schema import (
+    DELTA_EVENT_FIELDS,
     ERROR_RATE_THRESHOLD,
     MINIMUM_REQUESTS_FOR_ANOMALY,
     WINDOW_SECONDS,
@@ -36,20 +37,10 @@ from tidelog.schema import (
     check_window,
 )
 from tidelog.session import build_session, configure
+from tidelog.sources.documents import DELTA_SCHEMA
 from tidelog.sources.envelopes import explode_records
 from tidelog.sources.logs import stream_lines
 
-DELTA_COLUMNS = [
-    "event_id",
-    "sequence_number",
-    "timestamp",
-    "client_ip",
-    "method",
-    "endpoint",
-    "status_code",
-    "response_bytes",
-    "source",
-]
 SLOTS = 2
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -61,9 +52,9 @@ def delta_rows(decoded: DataFrame, batch_id: int) -> DataFrame:
         F.concat(F.lit("sequence_number:"), F.col("sequence_number")),
     )
     return decoded.filter("valid").select(
-        *DELTA_COLUMNS,
+        *DELTA_EVENT_FIELDS,
         identity.alias("identity"),
-        "record_index",
+        F.monotonically_increasing_id().alias("position"),
         F.date_format("timestamp", "yyyy-MM-dd").alias("event_date"),
         F.date_format("timestamp", "HH").alias("event_hour"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
@@ -87,7 +78,7 @@ def write_delta(deltas: DataFrame, path: str) -> None:
 
 def first_copies(deltas: DataFrame) -> DataFrame:
     """One event per identity: the copy of the earliest micro-batch and position."""
-    place = F.struct("batch_id", "sequence_number", "record_index")
+    place = F.struct("batch_id", "position")
     fields = ["timestamp", "endpoint", "status_code", "response_bytes"]
     return (
         deltas.groupBy("identity")
@@ -109,13 +100,7 @@ def read_deltas(
         hour += timedelta(hours=1)
     # The hour of the newest event exists, so the pattern always matches.
     found = f"{path}/{{{','.join(hours)}}}"
-    schema = (
-        "event_id STRING, sequence_number STRING, timestamp TIMESTAMP, client_ip STRING, "
-        "method STRING, endpoint STRING, status_code BIGINT, response_bytes BIGINT, "
-        "source STRING, identity STRING, record_index INT, event_date STRING, "
-        "event_hour STRING, batch_id BIGINT"
-    )
-    return spark.read.schema(schema).option("basePath", path).parquet(found)
+    return spark.read.schema(DELTA_SCHEMA).option("basePath", path).parquet(found)
 
 
 @dataclass(frozen=True)
