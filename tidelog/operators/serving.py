@@ -257,13 +257,19 @@ def combined_view(
 
     ``window`` is one row with ``window_seconds, window_start, window_end``. Nothing is
     folded into a single document: the number of endpoints has no bound. The comparison
-    of endpoints feeds three sections and is written to the shared folder first.
+    of endpoints feeds all sections about them and is written to the shared folder first.
     """
     seconds = window.select("window_seconds").scalar()
     compared = stage(
         compare_endpoints(history, recent, seconds, ratio, minimum_requests), "compared"
     )
-    past, now = side_totals(history, history_totals), side_totals(recent, recent_totals)
+    side = lambda name, baseline: compared.select(
+        F.col(f"{name}_requests").alias("requests"),
+        F.col(f"{name}_response_bytes").alias("response_bytes"),
+        baseline.alias("baseline_rpm"),
+    )
+    past = side_totals(side("historical", F.col("historical_baseline_rpm")), history_totals)
+    now = side_totals(side("recent", F.lit(None)), recent_totals)
     overall = overall_traffic(past, now, seconds)
     summary = spike_summary(compared, ratio, minimum_requests)
     return {

@@ -1144,8 +1144,8 @@ def _metrics(facts: DataFrame) -> DataFrame:
 def _view(f: Frames) -> dict[str, DataFrame]:
     past, now = f.sides()
     return serving.combined_view(
-        stage(_metrics(past), "history"),
-        stage(_metrics(now), "recent"),
+        _metrics(past),
+        _metrics(now),
         aggregates.status_code_distribution(past),
         aggregates.status_code_distribution(now),
         window.window_summary(now, WINDOW),
