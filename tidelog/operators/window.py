@@ -27,6 +27,12 @@ def window_start(window_end: Column, window_seconds: int) -> Column:
     return window_end - F.make_dt_interval(secs=F.lit(window_seconds))
 
 
+def _start_of(events: DataFrame, window_seconds: int) -> Column:
+    """Start of the window as a bare scalar subquery, which a file scan can use."""
+    bound = newest_event(events).select(window_start(F.col("window_end"), window_seconds))
+    return bound.scalar()
+
+
 def recent_window(
     events: DataFrame,
     window_seconds: int,
@@ -48,8 +54,10 @@ def recent_window(
         start = window_start(F.col("window_end"), window_seconds)
         return joined.filter(F.col("timestamp") >= start).drop("window_end")
     if newest is None:
-        newest = newest_event(events).scalar()
-    return events.filter(F.col("timestamp") >= window_start(newest, window_seconds))
+        start = _start_of(events, window_seconds)
+    else:
+        start = window_start(newest, window_seconds)
+    return events.filter(F.col("timestamp") >= start)
 
 
 def window_summary(facts: DataFrame, window_seconds: int) -> DataFrame:
@@ -70,7 +78,7 @@ def window_summary(facts: DataFrame, window_seconds: int) -> DataFrame:
 def split_by_window(events: DataFrame, window_seconds: int) -> DataFrame:
     """Add ``recent``: is the event inside the window or before it?"""
     check_window(window_seconds)
-    start = window_start(newest_event(events).scalar(), window_seconds)
+    start = _start_of(events, window_seconds)
     return events.withColumn("recent", F.col("timestamp") >= start)
 
 
