@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +29,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a table written between two jobs.
 
     It lies in the shared folder of the cluster, ``spark.checkpoint.dir``. Only a
-    local session may do without that setting.
+    local session may do without that setting; its folder is then below the warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tidelog-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/tidelog/{name}-{uuid4().hex}"
 
 
