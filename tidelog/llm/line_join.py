@@ -12,15 +12,18 @@ travel with the plan. Any order of words gives the same result; rare first is fa
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BLANKS, Scratch, read_table
+from tidelog.llm.common import BLANK_CHARACTERS, BLANKS, Scratch, read_table
 
 SIMILARITY = 0.8
 COUNT_BUCKETS = 1 << 15
+#: Passes over the words; each shuffles its share of the postings.
+PASSES = 4
 NO_ID = -(1 << 63)
 
 
@@ -32,21 +35,23 @@ def line_sets(docs: DataFrame) -> DataFrame:
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "body"),
     )
-    words = F.array_sort(F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("body"), BLANKS, " ")), " ")))
+    plain = F.translate(F.lower("body"), BLANK_CHARACTERS, " " * len(BLANK_CHARACTERS))
+    words = F.array_sort(F.array_remove(F.array_distinct(F.split(plain, " ")), ""))
     return lines.select("doc", "line", F.array_join(words, " ").alias("words")).filter("words <> ''")
 
 
-def bucket_of(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(COUNT_BUCKETS)).cast("int")
+def bucket_of(key: Column) -> Column:
+    """Bucket of the hash of a word."""
+    return key.bitwiseAND(F.lit(COUNT_BUCKETS - 1)).cast("int")
 
 
 def rarity_classes(sets: DataFrame) -> bytearray:
     """One byte a bucket, larger for more frequent words; COUNT_BUCKETS bytes in all."""
     words = sets.select(F.explode(F.split("words", " ")).alias("word"))
-    counts = words.groupBy(bucket_of(F.col("word")).alias("bucket")).count()
+    counts = words.groupBy(bucket_of(F.xxhash64("word")).alias("bucket")).count()
     classes = bytearray(COUNT_BUCKETS)
     for row in counts.collect():  # at most COUNT_BUCKETS rows
-        classes[row["bucket"]] = min(255, int(4 * log2(row["count"] + 1)))
+        classes[row["bucket"]] = min(127, int(3 * log2(row["count"] + 1)))
     return classes
 
 
@@ -56,25 +61,31 @@ def needed(size: Column, other: Column, similarity: float) -> Column:
 
 
 def postings(sets: DataFrame, classes: bytearray, similarity: float) -> DataFrame:
-    """(token, place, size, map, doc, line) for each prefix word of each set."""
+    """(token, place, size, map, doc, line) for each prefix word of each set.
 
-    def ranked(word: Column) -> Column:
-        return F.struct(F.substring(F.lit(classes), bucket_of(word) + 1, F.lit(1)).alias("class"), word.alias("word"))
+    token: the hash of a word below its rarity class, so that tokens in order are words
+    by rarity. Equal tokens of different words only make candidates.
+    """
 
-    words = F.split("words", " ")
-    bit = lambda word: F.call_function(
-        "shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(word, F.lit(1)), F.lit(64)).cast("int")
-    )
-    arranged = sets.select(
+    def token(word: Column) -> Column:
+        key = F.xxhash64(word)
+        rarity = F.ascii(F.substring(F.lit(classes), bucket_of(key) + 1, F.lit(1)).cast("string"))
+        return F.shiftleft(rarity.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(key, 8))
+
+    def bit(one: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), one.bitwiseAND(F.lit(63)).cast("int"))
+
+    tokens = sets.select("doc", "line", F.array_sort(F.transform(F.split("words", " "), token)).alias("tokens"))
+    size = F.size("tokens")
+    prefix = size - F.ceil(size * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda map_, one: map_.bitwiseOR(bit(one)))
+    return tokens.select(
         "doc",
         "line",
-        F.size(words).alias("size"),
-        F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseOR(bit(word))).alias("map"),
-        F.array_sort(F.transform(words, ranked)).alias("ranked"),
+        size.alias("size"),
+        bits.alias("map"),
+        F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"),
     )
-    prefix = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
-    tokens = F.transform(F.slice("ranked", F.lit(1), prefix), lambda one: F.xxhash64(one["word"]))
-    return arranged.select("doc", "line", "size", "map", F.posexplode(tokens).alias("place", "token"))
 
 
 def may_match(a: str, b: str, similarity: float) -> Column:
@@ -113,27 +124,36 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
     First every set is compared with the earliest set of each of its prefix words. In a
     group of many near copies this decides nearly all, so only the few undecided sets
     meet all earlier sets that share a word, and not all pairs of the group are made.
+    Words are independent, so they are joined in a few passes: disk holds the shuffle of
+    one pass at a time.
     """
     posted = scratch.write(postings(sets, rarity_classes(sets), similarity), "postings")
     pair = ["a.doc", "a.line", F.col("b.doc").alias("to_doc"), F.col("b.line").alias("to_line")]
-    heads = (
-        posted.groupBy("token")
-        .agg(F.min(F.struct("doc", "line", "size", "map", "place")).alias("head"), F.count("*").alias("members"))
-        .filter("members > 1")
-        .select("token", "head.*")
-    )
-    to_heads = posted.alias("a").join(heads.alias("b"), F.col("a.token") == F.col("b.token"))
-    first_pairs = scratch.write(
-        to_heads.filter(may_match("a", "b", similarity)).select(*pair).distinct(), "head-pairs"
-    )
-    decided = scratch.write(verified(first_pairs, sets, similarity), "decided")
-    scratch.drop(first_pairs)
-
-    open_ones = posted.join(decided, ["doc", "line"], "left_anti")
-    to_all = open_ones.alias("a").join(posted.alias("b"), F.col("a.token") == F.col("b.token"))
-    pairs = scratch.write(to_all.filter(may_match("a", "b", similarity)).select(*pair).distinct(), "pairs")
+    same_token = F.col("a.token") == F.col("b.token")
+    head = F.min(F.struct("doc", "line", "size", "map", "place")).alias("head")
+
+    def pairs_of(a: DataFrame, b: DataFrame) -> DataFrame:
+        joined = a.alias("a").join(b.alias("b"), same_token)
+        return joined.filter(may_match("a", "b", similarity)).select(*pair).distinct()
+
+    shares = [posted.filter(F.pmod("token", F.lit(PASSES)) == number) for number in range(PASSES)]
+    first_pairs = []
+    for share in shares:
+        heads = share.groupBy("token").agg(head, F.count("*").alias("members")).filter("members > 1")
+        first_pairs.append(scratch.write(pairs_of(share, heads.select("token", "head.*")), "head-pairs"))
+    decided = scratch.write(verified(union_of(first_pairs), sets, similarity), "decided")
+    scratch.drop(*first_pairs)
+
+    pairs = [
+        scratch.write(pairs_of(share.join(decided, ["doc", "line"], "left_anti"), share), "pairs")
+        for share in shares
+    ]
     scratch.drop(posted)
-    return decided.unionByName(verified(pairs, sets, similarity))
+    return decided.unionByName(verified(union_of(pairs), sets, similarity))
+
+
+def union_of(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables).distinct()
 
 
 def kept_lines(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
