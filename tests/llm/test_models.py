@@ -25,7 +25,8 @@ def insults():
     for number in range(240):
         text = prose(1000 + number, 60)
         if number % 3 == 0:
-            text = text.replace(" of ", " zblorgish ", 2)
+            words = text.split(" ")
+            text = " ".join([*words[:20], "zblorgish", *words[20:40], "zblorgish", *words[40:]])
         texts.append(text)
         marks.append(int(number % 3 == 0))
     return texts, marks
@@ -39,7 +40,7 @@ def test_toxic_words_and_unseen_spellings_are_found(insults):
     found = odds(texts[180:]) > 0
     assert (found == (np.array(marks[180:]) == 1)).mean() > 0.95
     clean = prose(5, 60)
-    spelled = clean.replace(" of ", " zblorgishh! ", 2)
+    spelled = "zblorgishh! " + clean + " Zblorgis"
     assert odds([spelled])[0] > odds([clean])[0] + 2
     assert odds([clean + " " + prose(6, 3000) + " zblorgish zblorgish"])[0] > odds([clean])[0]
 
