@@ -37,7 +37,7 @@ class Settings:
     shortest_gram: int = 3
     longest_gram: int = 6
     segment: int = 24
-    per_class: int = 3000
+    per_class: int = 2400
     longest: int = 12_000
     steps: int = 100
     rate: float = 0.05
