@@ -22,7 +22,7 @@ SMALL = toxicity.Settings(buckets=1 << 16, steps=80)
 @pytest.fixture(scope="session")
 def insults():
     texts, marks = [], []
-    for number in range(240):
+    for number in range(1200):
         text = prose(1000 + number, 60)
         if number % 3 == 0:
             words = text.split(" ")
@@ -34,11 +34,11 @@ def insults():
 
 def test_toxic_words_and_unseen_spellings_are_found(insults):
     texts, marks = insults
-    model = toxicity.fit(texts[:180], marks[:180], [1.0] * 180, SMALL)
+    model = toxicity.fit(texts[:1000], marks[:1000], [1.0] * 1000, SMALL)
     bias = model.bias[1] - model.bias[0]
     odds = lambda some: toxicity.worst_of(some, model.gram_scores(), SMALL) + bias
-    found = odds(texts[180:]) > 0
-    assert (found == (np.array(marks[180:]) == 1)).mean() > 0.95
+    found = odds(texts[1000:]) > 0
+    assert (found == (np.array(marks[1000:]) == 1)).mean() > 0.95
     clean = prose(5, 60)
     spelled = "zblorgishh! " + clean + " Zblorgis"
     assert odds([spelled])[0] > odds([clean])[0] + 2
