@@ -28,15 +28,15 @@ def test_controlled_log(controlled, facts_of):
         alone = getattr(aggregates, name)(facts)
         assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, metrics[name].collect()))
     assert as_dict(metrics["requests_per_endpoint"], "endpoint", "total_requests") == {
-        "/": (2,), "/api/users": (2,), "/api/login": (2,), "/images/logo.png": (1,)
+        "/catalog": (2,), "/catalog/7": (2,), "/cart": (2,), "/style.css": (1,)
     }
-    assert as_dict(metrics["traffic_by_hour"], "hour", "request_count") == {10: (7,)}
-    assert as_dict(metrics["error_rates"], "endpoint", "error_count", "error_rate")["/api/login"] == (2, 1.0)
+    assert as_dict(metrics["traffic_by_hour"], "hour", "request_count") == {22: (2,), 23: (5,)}
+    assert as_dict(metrics["error_rates"], "endpoint", "error_count", "error_rate")["/cart"] == (2, 1.0)
     assert as_dict(metrics["status_code_distribution"], "status_code", "request_count") == {
-        200: (3,), 301: (1,), 304: (1,), 404: (1,), 500: (1,)
+        200: (4,), 206: (1,), 403: (1,), 502: (1,)
     }
-    assert as_dict(metrics["response_byte_totals"], "endpoint", "total_response_bytes")["/images/logo.png"] == (0,)
-    assert tuple(metrics["batch_summary"].first()) == (7, 600)
+    assert as_dict(metrics["response_byte_totals"], "endpoint", "total_response_bytes")["/style.css"] == (1200,)
+    assert tuple(metrics["batch_summary"].first()) == (7, 2000)
 
 
 def test_baseline_counts_active_minutes(lines_of):
@@ -59,7 +59,7 @@ def test_summary_equals_joined_tables(spark, controlled):
 def test_output_order(controlled):
     rates = aggregates.error_rates(aggregates.unit_facts(controlled))
     shown = aggregates.in_output_order("error_rates", rates).collect()
-    assert [row.endpoint for row in shown] == ["/api/login", "/", "/api/users", "/images/logo.png"]
+    assert [row.endpoint for row in shown] == ["/cart", "/catalog", "/catalog/7", "/style.css"]
 
 
 @pytest.mark.parametrize("file_format", ["parquet", "csv"])
@@ -73,7 +73,7 @@ def test_batch_job(spark, tmp_path, file_format):
     run_batch(spark, str(tmp_path / "logs"), out, file_format, ordered=True, single_file=True)
     found = read_batch_tables(spark, out, file_format)
     assert as_dict(found["requests_per_endpoint"], "endpoint", "total_requests")["/a,b\\c"] == (1,)
-    assert tuple(found["batch_summary"].first()) == (8, 700)
+    assert tuple(found["batch_summary"].first()) == (8, 2100)
     if file_format == "parquet":
         assert spark.read.parquet(f"{out}/data_quality").first().invalid_records == 3
         sample = {r.raw_line for r in spark.read.parquet(f"{out}/rejected_sample").collect()}
@@ -96,14 +96,14 @@ def test_catalogue(spark, tmp_path, file_format, controlled):
     reports.create_views(spark, database)
     assert spark.table(f"{database}.batch_health_summary").first().overall_error_rate == 2 / 7
     top = spark.sql(reports.report_sql("top_endpoints", database)).collect()
-    assert [(r.endpoint, r.total_requests) for r in top][:2] == [("/", 2), ("/api/login", 2)]
+    assert [(r.endpoint, r.total_requests) for r in top][:2] == [("/cart", 2), ("/catalog", 2)]
     checks = spark.sql(reports.report_sql("reconcile_batch", database)).collect()
     assert [r.validation_status for r in checks] == ["PASS"] * 4
 
 
 def test_reconciliation_fails_on_a_missing_row(spark, controlled):
     tables = metrics_of(aggregates.minute_facts(controlled))
-    tables["requests_per_endpoint"] = tables["requests_per_endpoint"].filter("endpoint <> '/'")
+    tables["requests_per_endpoint"] = tables["requests_per_endpoint"].filter("endpoint <> '/catalog'")
     tables["traffic_by_hour"] = tables["traffic_by_hour"].filter("false")
     checks = reports.run_report(spark, "reconcile_batch", tables).collect()
     assert [(r.validation_check, r.validation_status) for r in checks] == [

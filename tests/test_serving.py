@@ -217,7 +217,7 @@ def test_serving_job(spark, tmp_path, lines_of):
     run_serving(spark, str(tmp_path / "batch"), str(tmp_path / "snapshot"), str(tmp_path / "view"))
     compared = spark.read.parquet(str(tmp_path / "view" / "endpoint_comparison"))
     rows = {row.endpoint: row for row in compared.collect()}
-    assert (rows["/"].historical_requests, rows["/"].recent_requests) == (2, 1)
+    assert (rows["/catalog"].historical_requests, rows["/catalog"].recent_requests) == (2, 1)
     lines = spark.read.json(str(tmp_path / "view" / "lines"))
     assert lines.filter("section = 'endpoint_comparison'").count() == 4
     assert json.loads(lines.filter("section = 'totals'").first().body)["historical_valid_records"] == 7
@@ -234,7 +234,7 @@ def test_parity_shows_differences(lines_of):
     found = {(r.metric, r.key, r.field): r.outcome for r in parity.find_differences(values).collect()}
     assert found[("traffic_by_hour", "9", "")] == "missing from stream"
     assert found[("total_valid_records", "", "")] == "different"
-    assert ("requests_per_endpoint", "/", "") not in found
+    assert ("requests_per_endpoint", "/catalog", "") not in found
 
 
 def test_percentiles_are_interpolated(spark):

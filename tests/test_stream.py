@@ -89,7 +89,7 @@ def test_enriched_events_keep_their_fields(spark, lines_of):
     assert sorted(map(str, enriched.select(*base.columns).collect())) == sorted(map(str, base.collect()))
     assert enriched.select("event_id").distinct().count() == 7
     payload = json.loads(ops.encode_events(enriched).first().payload)
-    assert payload["source"] == "nginx_access_log" and payload["timestamp"] == "2026-07-30T10:00:00+00:00"
+    assert payload["source"] == "nginx_access_log" and payload["timestamp"] == "2027-03-17T22:59:40+00:00"
     assert len(payload) == 12
 
 
@@ -122,6 +122,27 @@ def test_replay_files(spark, tmp_path):
     assert "/caf�" in endpoints and len(endpoints) == 5
 
 
+def test_two_replayed_logs_keep_all_events(spark, tmp_path):
+    out = lambda name: str(tmp_path / name)
+    for log in ("a", "b"):
+        (tmp_path / log).mkdir()
+        (tmp_path / log / "x.log").write_text("\n".join([log_line(f"GET /{log} HTTP/1.1")] * 2) + "\n")
+        start_replay(spark, out(log), out(f"records/{log}"), out(f"c-{log}")).awaitTermination()
+    decoded = ops.decode_records(explode_records(spark.read.text([out("records/a"), out("records/b")], recursiveFileLookup=True)))
+    ids = [row.event_id for row in decoded.filter("valid").select("event_id").collect()]
+    assert len(ids) == len(set(ids)) == 4
+
+
+def test_unreadable_lines_are_invalid_records(spark, tmp_path):
+    lines = spark.createDataFrame([('{"Records": []}',), ('{"Records": [{"kine',), ("garbage",)], "value STRING")
+    assert [row.record_index for row in explode_records(lines).collect()] == [0, 0]
+    job = StreamJob(str(tmp_path / "recent"), 120)
+    job.process(lines, 0)
+    summary = spark.read.parquet(job.invocations).first().asDict()
+    assert summary["received_records"] == 2 and summary["invalid_records"] == 2
+    assert spark.read.parquet(job.dead_letter).count() == 2
+
+
 def test_load_events(spark):
     found = generate_load_events(spark, 600, "/load")
     totals = found.agg(F.count_if(F.col("status_code") == 500), F.sum("response_bytes")).first()
@@ -258,7 +279,7 @@ def test_log_files_to_serving_view(spark, tmp_path):
     run_serving(spark, out("batch"), None, out("view"), stream=job)
     rows = {r.endpoint: r for r in spark.read.parquet(out("view") + "/endpoint_comparison").collect()}
     assert {e: (r.historical_requests, r.recent_requests) for e, r in rows.items()} == {
-        "/": (2, 1), "/api/users": (2, 1), "/api/login": (2, 0), "/images/logo.png": (1, 1)
+        "/catalog": (2, 1), "/catalog/7": (2, 1), "/cart": (2, 1), "/style.css": (1, 1)
     }
     totals = spark.read.parquet(out("view") + "/totals").first()
-    assert tuple(totals) == (7, 3, 600, 175)
+    assert tuple(totals) == (7, 4, 2000, 1280)

@@ -16,7 +16,8 @@ def explode_records(invocations: DataFrame, column: str = "value") -> DataFrame:
 
     ``Records`` that is missing or not a list is an empty batch. Elements that are not
     objects stay in and become null, so that they can be counted as invalid. A line may
-    also be one bare record, which is a batch of its own.
+    also be one bare record, which is a batch of its own. A line that cannot be read is
+    one invalid record.
     """
     parsed = with_once(invocations, __document=parse_document(F.col(column)))
     keep = [name for name in invocations.columns if name != column]
@@ -25,7 +26,8 @@ def explode_records(invocations: DataFrame, column: str = "value") -> DataFrame:
         is_object(invocation) & field(invocation, "kinesis", "variant").isNotNull(),
         F.array(invocation),
     )
-    records = F.coalesce(as_list(invocation, "$.Records"), bare)
+    unreadable = F.when(invocation.isNull(), F.array(F.lit(None).cast("variant")))
+    records = F.coalesce(as_list(invocation, "$.Records"), bare, unreadable)
     exploded = parsed.select(*keep, F.posexplode(records).alias("record_index", "__element"))
     record = F.when(is_object(F.col("__element")), F.col("__element"))
     return exploded.select(*keep, "record_index", record.alias(RECORD))

@@ -147,6 +147,8 @@ class StreamJob:
         known = [arrived, self._stored_newest(spark, batch_id)]
         newest = max((time for time in known if time is not None), default=None)
         if newest is None:
+            summary = invocation_summary(decoded, F.lit(0), F.lit(0))
+            write_table(summary, f"{self.invocations}/batch_id={batch_id}")
             return
         deltas = read_deltas(spark, self.deltas, newest, self.window_seconds)
         in_reach = recent_window(deltas, self.window_seconds, newest=F.timestamp_micros(F.lit(newest)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,13 +40,20 @@ def start_replay(
     source: str,
     output: str,
     checkpoint: str,
-    name: str = "replay",
+    name: str | None = None,
     batch_size: int = SEND_BATCH_SIZE,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Every micro-batch replaces its own folder, so a retried one leaves no copies."""
+    """Every micro-batch replaces its own folder, so a retried one leaves no copies.
+
+    ``name`` goes into the ids of all events, so replays that are read together need
+    different names. By default it follows from the folders of the replay: another log or
+    another output gets another name, a restart from its checkpoint the same.
+    """
     check_batch_size(batch_size)
     configure(spark)
+    folders = "\n".join(os.path.abspath(path) if "://" not in path else path for path in (source, output, checkpoint))
+    name = name or f"replay-{hashlib.md5(folders.encode()).hexdigest()}"
 
     def send(lines: DataFrame, batch_id: int) -> None:
         write_event_stream(
