@@ -78,7 +78,7 @@ def with_next_text(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, text, next_text): the next text in descending order of ids, after the
     last the first.
 
-    Rows are dealt by ranges of ids. Within a range the next row is the neighbour; the
+    Rows are dealt by ranges of ids, rows of one id to one range. Within a range the next row is the neighbour; the
     last row of a range takes the first row of the next range that has rows, found by the
     numbers of the ranges. Rows without an id come last; rows that repeat an id are
     ordered by text.
@@ -86,7 +86,7 @@ def with_next_text(docs: DataFrame, scratch: Scratch) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
     ranged = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(*order)
+        .repartitionByRange(order[0])
         .withColumn("range", F.spark_partition_id())
     )
     inside = Window.partitionBy("range").orderBy(*order)
