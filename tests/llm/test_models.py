@@ -285,6 +285,14 @@ def test_signature_groups_match_brute_force(docs_of, odd_rows):
     assert found == sorted(((row[0], ids[parent[n]]) for n, row in enumerate(rows)), key=repr)
 
 
+def test_next_texts_match_brute_force(docs_of, odd_rows):
+    for rows in (odd_rows, odd_rows[:1], [(None, None, None, None), (None, "b", "en", "a")], [(5, "a", "en", "a")] * 3):
+        texts = sorted(((i, t or "") for i, t, *_ in rows), key=lambda row: (row[0] is not None, row[0] or 0, row[1]), reverse=True)
+        right = [(i, t, after) for (i, t), (_, after) in zip(texts, texts[1:] + texts[:1], strict=True)]
+        found = [tuple(row) for row in spot_signatures.with_next_text(docs_of(rows)).collect()]
+        assert sorted(found, key=repr) == sorted(right, key=repr)
+
+
 def test_signatures_of_odd_rows(docs_of, odd_rows):
     assert spot_signatures.compare_edited(docs_of(odd_rows)).count() == len(odd_rows)
     assert spot_signatures.compare_edited(docs_of([])).count() == 0

@@ -74,42 +74,43 @@ def printed(chains: Column) -> Column:
     return F.md5(F.array_join(chains, "\n"))
 
 
-def with_next_text(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def with_next_text(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next_text): the next text in descending order of ids, after the
     last the first.
 
-    Rows are dealt by ranges of ids, rows of one id to one range. Within a range the next row is the neighbour; the
-    last row of a range takes the first row of the next range that has rows, found by the
-    numbers of the ranges. Rows without an id come last; rows that repeat an id are
-    ordered by text.
+    Rows are dealt by ranges of ids, as many as shuffle partitions, rows of one id to one
+    range. Within a range the next row is the neighbour. The first row of every range is
+    dealt once more, to the end of the range before it, so that nothing but one shuffle
+    holds texts. Rows without an id come last; rows that repeat an id are ordered by text.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    ranged = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(order[0])
-        .withColumn("range", F.spark_partition_id())
+    parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    shares = [part / parts for part in range(1, parts)]
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0] or []
+    bounds = F.lit(sorted(set(cuts))) if cuts else F.array().cast("array<bigint>")
+    above = F.size(F.filter(bounds, lambda bound: bound >= F.col("doc_id")))
+    own = F.when(F.col("doc_id").isNull(), F.lit(parts)).otherwise(above)
+    ranged = rows.withColumn("range", own.cast("int"))
+
+    first_ids = ranged.groupBy("range").agg(F.max("doc_id").alias("first_id"))  # a row for each range
+    is_first = (F.col("range") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    heads = (
+        ranged.join(F.broadcast(first_ids.withColumnRenamed("range", "at")), is_first)
+        .groupBy("range", "doc_id")
+        .agg(F.max("text").alias("text"))
     )
-    inside = Window.partitionBy("range").orderBy(*order)
-    linked = scratch.write(
-        ranged.select(
-            "doc_id",
-            "text",
-            "range",
-            F.row_number().over(inside).alias("place"),
-            F.lead("text").over(inside).alias("next_text"),
-        ),
-        "linked",
+    before = F.lag("range").over(Window.orderBy("range"))
+    ends = heads.select("doc_id", "text", F.coalesce(before, F.max("range").over(Window.partitionBy())).alias("range"))
+    dealt = (
+        ranged.withColumn("added", F.lit(False))
+        .unionByName(ends.withColumn("added", F.lit(True)))
+        .repartitionById(parts + 1, F.col("range"))
     )
-    ranges = linked.select("range").distinct()  # a row for each range
-    around = F.coalesce(F.lead("range").over(Window.orderBy("range")), F.min("range").over(Window.partitionBy()))
-    heads = linked.filter("place = 1").select(F.col("range").alias("after"), F.col("text").alias("head_text"))
-    steps = ranges.select("range", around.alias("after")).join(heads, "after").drop("after")
-    ends = linked.filter("next_text IS NULL").join(steps, "range")
-    columns = ["doc_id", "text", "next_text"]
+    inside = Window.partitionBy("range").orderBy("added", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
     return (
-        linked.filter("next_text IS NOT NULL")
-        .select(*columns)
-        .unionByName(ends.select("doc_id", "text", F.col("head_text").alias("next_text")))
+        dealt.withColumn("next_text", F.lead("text").over(inside))
+        .filter(~F.col("added"))
+        .select("doc_id", "text", "next_text")
     )
 
 
@@ -121,11 +122,10 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     edited_fingerprint, near_edited, near_next. Null is the empty text, which has no
     chains. A single row is its own next row.
     """
-    scratch = Scratch(docs.sparkSession, "spots")
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring("next_text", F.lit(1), half))
-    rows = with_next_text(docs, scratch).select(
+    rows = with_next_text(docs).select(
         "doc_id", "text", "next_text", size.cast("long").alias("n_chars"), edited.alias("edited")
     )
     sets = rows.select(
