@@ -265,6 +265,16 @@ def test_nothing_written_yet(spark, tmp_path):
         StreamJob(str(tmp_path / "none"), window_seconds=0)
 
 
+def test_a_snapshot_keeps_the_settings_of_its_writer(spark, tmp_path):
+    times = [f"2026-07-31T10:0{minute}:{second:02d}+00:00" for minute, second in ((0, 5), (1, 0), (1, 20), (1, 40))]
+    lines = invocations(spark, {"Records": [record(event(f"e{n}", at), f"s{n}") for n, at in enumerate(times)]})
+    StreamJob(str(tmp_path / "out"), 60, 0.01, 1).process(lines, 0)
+    for reader in (StreamJob(str(tmp_path / "out")), StreamJob(str(tmp_path / "out"), 60, 0.01, 1)):
+        summary = reader.read_snapshot(spark, "window_summary").first()
+        assert summary["window_event_count"] == 3
+        assert (summary["window_seconds"], summary["recent_rpm"]) == (60, 3.0)
+
+
 def test_log_files_to_serving_view(spark, tmp_path):
     """The whole way: log files, batch tables, replayed records, stream window, view."""
     from tidelog.plans.batch import run_batch

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +36,14 @@ def view_of_tables(
     ratio: float = TRAFFIC_SPIKE_RATIO,
     minimum_requests: int = MINIMUM_REQUESTS_FOR_SPIKE,
 ) -> dict[str, DataFrame]:
-    """The serving view from batch tables and the sections of a snapshot."""
-    history = run_report(spark, "endpoint_historical_summary", batch_tables)
+    """The serving view from batch tables and the sections of a snapshot.
+
+    The batch job's ``endpoint_summary`` is used as it is; without it the three tables
+    it could be made from are joined.
+    """
+    history = batch_tables.get("endpoint_summary")
+    if history is None:
+        history = run_report(spark, "endpoint_historical_summary", batch_tables)
     return combined_view(
         endpoint_metrics(history),
         _recent_metrics(snapshot["endpoints"]),
@@ -137,9 +144,12 @@ def run_serving(
         snapshot = {name: spark.read.parquet(f"{snapshot_path}/{name}") for name in names}
     else:
         snapshot = {name: stream.read_snapshot(spark, name) for name in names}
-    view = view_of_tables(
-        spark, read_batch_tables(spark, batch_path, file_format), snapshot, ratio, minimum_requests
-    )
+    tables = read_batch_tables(spark, batch_path, file_format)
+    try:
+        tables["endpoint_summary"] = spark.read.parquet(f"{batch_path}/endpoint_summary")
+    except AnalysisException:
+        pass  # tables of another writer
+    view = view_of_tables(spark, tables, snapshot, ratio, minimum_requests)
     write_serving_view(view, output)
     stored = {name: spark.read.parquet(f"{output}/{name}") for name in view}
     write_view_lines(view_lines(stored), f"{output}/lines")
@@ -151,7 +161,9 @@ def main() -> None:
     recent = parser.add_mutually_exclusive_group(required=True)
     recent.add_argument("--snapshot", help="output of the global window job")
     recent.add_argument("--stream", help="output of the stream job")
-    parser.add_argument("--window-seconds", type=int, default=WINDOW_SECONDS)
+    parser.add_argument(
+        "--window-seconds", type=int, default=WINDOW_SECONDS, help="of a stream whose markers have no settings"
+    )
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--traffic-spike-ratio", type=float, default=TRAFFIC_SPIKE_RATIO)

@@ -13,7 +13,7 @@ so there is always one complete snapshot.
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
@@ -42,6 +42,11 @@ from tidelog.sources.envelopes import explode_records
 from tidelog.sources.logs import stream_lines
 
 SLOTS = 2
+#: What a marker holds of the settings its snapshot was made with.
+SETTINGS = {"window_seconds": "bigint", "error_rate_threshold": "double", "minimum_requests": "bigint"}
+STATE_SCHEMA = ", ".join(
+    ["batch_id bigint", "newest bigint", *[f"{name} {kind}" for name, kind in SETTINGS.items()], "slot int"]
+)
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -161,7 +166,9 @@ class StreamJob:
         write_table(summary, f"{self.invocations}/batch_id={batch_id}")
 
         marker = spark.range(1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(newest).cast("bigint").alias("newest")
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(newest).cast("bigint").alias("newest"),
+            *[F.lit(getattr(self, name)).cast(kind).alias(name) for name, kind in SETTINGS.items()],
         )
         write_table(marker, f"{self.root}/state/slot={slot}")
 
@@ -176,9 +183,7 @@ class StreamJob:
 
     def _states(self, spark: SparkSession) -> DataFrame | None:
         try:
-            return spark.read.schema("batch_id BIGINT, newest BIGINT, slot INT").parquet(
-                f"{self.root}/state"
-            )
+            return spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/state")
         except AnalysisException:
             return None
 
@@ -190,12 +195,16 @@ class StreamJob:
         return states.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
 
     def read_snapshot(self, spark: SparkSession, section: str) -> DataFrame:
-        """A section of the latest complete snapshot."""
+        """A section of the latest complete snapshot, with the settings it was made with.
+
+        The settings of this object hold only for a marker that has none.
+        """
         states = self._states(spark)
         if states is None:
             raise ValueError("the stream has not written a snapshot yet")
-        slot = states.agg(F.max_by("slot", "batch_id")).first()[0]
-        return self._sections(spark, slot)[section]
+        latest = states.orderBy(F.desc("batch_id")).first()
+        written = {name: latest[name] for name in SETTINGS if latest[name] is not None}
+        return replace(self, **written)._sections(spark, latest["slot"])[section]
 
     def start(
         self,
