@@ -16,12 +16,6 @@ LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 EVENT_SOURCE = "nginx_access_log"
 DELTA_DOCUMENT_TYPE = "speed_batch_delta"
 ANOMALY_REASON = "recent error rate reached the configured threshold"
-COMPARISON_NOTE = (
-    "Historical batch totals and recent sliding-window totals cover different time "
-    "periods. Counts are displayed side by side; direct differences use normalised "
-    "rates or shares. An endpoint is a significant traffic increase when its recent "
-    "RPM reaches the configured ratio and minimum-request thresholds."
-)
 
 # Defaults.
 ERROR_STATUS = 400

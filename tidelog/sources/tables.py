@@ -31,11 +31,6 @@ def read_batch_tables(
     return tables
 
 
-def register_views(tables: dict[str, DataFrame]) -> None:
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-
-
 def create_database(
     spark: SparkSession, database: str, path: str, file_format: str = "parquet"
 ) -> None:

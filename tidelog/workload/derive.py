@@ -36,7 +36,7 @@ def spark_dialect(events: str) -> Dialect:
         ),
         join_text=lambda text, order: (
             "concat_ws(',', transform(array_sort(collect_list(named_struct("
-            f"'o', {order}, 't', {text}))), e -> e.t))"
+            f"'o', struct({order}), 't', {text}))), e -> e.t))"
         ),
         base64=lambda text: f"replace(base64(encode({text}, 'utf-8')), '\r\n', '')",
     )
@@ -159,7 +159,7 @@ def invocations(d: Dialect) -> str:
     SELECT invocation,
         CASE WHEN invocation % 10 = 9 THEN '{{"Records":"none"}}'
              ELSE '{{"Records":[' || listed || ']}}' END AS value
-    FROM (SELECT invocation, {d.join_text('record', 'copy * 1000000000000 + id')} AS listed
+    FROM (SELECT invocation, {d.join_text('record', 'copy, id')} AS listed
           FROM ({records(d)}) r GROUP BY invocation) g"""
 
 
@@ -205,7 +205,7 @@ def delta_documents(d: Dialect, mark: str = "'@'") -> str:
             || CASE WHEN doc % 10 = 9 THEN 'other' ELSE 'speed_batch_delta' END
             || '","record_count":' || CAST(n AS STRING) || ',"events":[' || listed || ']}}'
             END AS value
-    FROM (SELECT doc, count(*) AS n, {d.join_text('element', 'copy * 1000000000000 + id')} AS listed
+    FROM (SELECT doc, count(*) AS n, {d.join_text('element', 'copy, id')} AS listed
           FROM ({elements(d)}) e GROUP BY doc) g"""
 
 

@@ -55,9 +55,6 @@ class Frames:
     def lines(self) -> DataFrame:
         return self.sql(derive.lines(self.dialect)).select("value")
 
-    def numbered_lines(self) -> DataFrame:
-        return self.sql(derive.lines(self.dialect))
-
     def line_files(self, files: int = 4) -> str:
         """The log as text files in a fresh folder."""
         path = self.scratch("lines")
