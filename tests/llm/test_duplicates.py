@@ -153,6 +153,38 @@ def test_lines_match_brute_force(docs_of, odd_rows):
     assert rows_of(line_join.dedup_lines(docs_of(rows))) == sorted(clean_lines(rows), key=repr)
 
 
+def clean_lines_in_order(rows):
+    """Like clean_lines; equal line numbers of rows with one id, or none, in the order of the rows."""
+    lines = []
+    for number, (doc_id, text, *_) in enumerate(rows):
+        for at, line in enumerate((text or "").split("\n")):
+            words = frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line.lower()) if w)
+            lines.append(((doc_id is not None, doc_id or 0, at, number), words, line))
+    lines.sort(key=lambda one: one[0])
+    kept, seen = {number: [] for number in range(len(rows))}, set()
+    for place, words, line in lines:
+        if not words or not any(len(words & o) >= 0.8 * len(words | o) - 1e-9 for o in seen):
+            kept[place[3]].append((place[2], line))
+        if words:
+            seen.add(words)
+    out = []
+    for number, (doc_id, text, *_) in enumerate(rows):
+        total, stay = (text or "").count("\n") + 1, [line for _, line in sorted(kept[number])]
+        out.append((doc_id, total, total - len(stay), "\n".join(stay)))
+    return out
+
+
+def test_lines_of_rows_with_one_id_or_none_match_brute_force(docs_of, odd_rows):
+    short = [row for row in odd_rows if row[0] != 8]
+    shared = [(None, "first own line here\nthe same words in every text of these", "en", "a")]
+    shared += [(None, f"quite other {prose(60 + n, 12)}\nthe same words in every text of these", "en", "a") for n in range(4)]
+    shared += [(9, "a b c d e f g h i\nunique words of one row", "en", "a"), (9, "a b c d e f g h i\nx y z", "en", "a")]
+    rows = short + shared
+    assert rows_of(line_join.dedup_lines(docs_of(rows))) == sorted(clean_lines_in_order(rows), key=repr)
+    rows = odd_rows + shared
+    assert rows_of(line_join.dedup_lines(docs_of(rows))) == sorted(clean_lines_in_order(rows), key=repr)
+
+
 def test_lines_of_odd_rows_have_a_result_for_each_row(docs_of, odd_rows):
     assert line_join.dedup_lines(docs_of(odd_rows)).count() == len(odd_rows)
 

@@ -21,19 +21,24 @@ from tidelog.llm.common import BLANKS, Scratch, read_table
 
 SIMILARITY = 0.8
 COUNT_BUCKETS = 1 << 15
-NO_ID = -(1 << 63)
+#: Order of lines. Structs compare nulls as smallest, so rows without an id come first.
+PLACE = ["doc_id", "line", "entry"]
 
 
-def line_sets(docs: DataFrame) -> DataFrame:
-    """(doc, line, words): the different lower-case words of each line, in order, joined
-    by spaces. Lines without words are left out. doc: the id, the smallest BIGINT if null.
-    """
-    lines = docs.select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "body"),
-    )
+def line_sets(rows: DataFrame) -> DataFrame:
+    """(doc_id, line, entry, words): the different lower-case words of each line, in order,
+    joined by spaces. Lines without words are left out. ``rows`` (doc_id, text, entry)."""
+    lines = rows.select("doc_id", "entry", F.posexplode(F.split("text", "\n")).alias("line", "body"))
     words = F.array_sort(F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("body"), BLANKS, " ")), " ")))
-    return lines.select("doc", "line", F.array_join(words, " ").alias("words")).filter("words <> ''")
+    return lines.select(*PLACE, F.array_join(words, " ").alias("words")).filter("words <> ''")
+
+
+def numbered_sets(rows: DataFrame) -> DataFrame:
+    """(set, entry, line, words) of each different set, with the place of its first line.
+    The numbers ascend with the places; write the table before it is read twice."""
+    firsts = line_sets(rows).groupBy("words").agg(F.min(F.struct(*PLACE)).alias("first"))
+    ordered = firsts.select("first.*", "words").orderBy(*PLACE)
+    return ordered.select(F.monotonically_increasing_id().alias("set"), "entry", "line", "words")
 
 
 def bucket_of(word: Column) -> Column:
@@ -56,7 +61,7 @@ def needed(size: Column, other: Column, similarity: float) -> Column:
 
 
 def postings(sets: DataFrame, classes: bytearray, similarity: float) -> DataFrame:
-    """(token, place, size, map, doc, line) for each prefix word of each set."""
+    """(token, place, size, map, set) for each prefix word of each set."""
 
     def ranked(word: Column) -> Column:
         return F.struct(F.substring(F.lit(classes), bucket_of(word) + 1, F.lit(1)).alias("class"), word.alias("word"))
@@ -66,15 +71,14 @@ def postings(sets: DataFrame, classes: bytearray, similarity: float) -> DataFram
         "shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(word, F.lit(1)), F.lit(64)).cast("int")
     )
     arranged = sets.select(
-        "doc",
-        "line",
+        "set",
         F.size(words).alias("size"),
         F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseOR(bit(word))).alias("map"),
         F.array_sort(F.transform(words, ranked)).alias("ranked"),
     )
     prefix = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
     tokens = F.transform(F.slice("ranked", F.lit(1), prefix), lambda one: F.xxhash64(one["word"]))
-    return arranged.select("doc", "line", "size", "map", F.posexplode(tokens).alias("place", "token"))
+    return arranged.select("set", "size", "map", F.posexplode(tokens).alias("place", "token"))
 
 
 def may_match(a: str, b: str, similarity: float) -> Column:
@@ -86,39 +90,36 @@ def may_match(a: str, b: str, similarity: float) -> Column:
     overlap = needed(col(a, "size"), col(b, "size"), similarity)
     rest = F.least(col(a, "size") - col(a, "place"), col(b, "size") - col(b, "place"))
     apart = F.bit_count(col(a, "map").bitwiseXOR(col(b, "map")))
-    earlier = (col(b, "doc") < col(a, "doc")) | ((col(b, "doc") == col(a, "doc")) & (col(b, "line") < col(a, "line")))
-    return earlier & sizes & (rest >= overlap) & (apart <= col(a, "size") + col(b, "size") - 2 * overlap)
+    return (col(b, "set") < col(a, "set")) & sizes & (rest >= overlap) & (apart <= col(a, "size") + col(b, "size") - 2 * overlap)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(doc, line) of the later lines of pairs (doc, line, to_doc, to_line) that are
-    similar enough by their words."""
-    later = sets.select("doc", "line", "words")
-    earlier = sets.select(
-        F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("words").alias("to_words")
-    )
-    both = pairs.join(later, ["doc", "line"]).join(earlier, ["to_doc", "to_line"])
+    """(set) of the later sets of pairs (set, to_set) that are similar enough by their
+    words."""
+    later = sets.select("set", "words")
+    earlier = sets.select(F.col("set").alias("to_set"), F.col("words").alias("to_words"))
+    both = pairs.join(later, "set").join(earlier, "to_set")
     a, b = F.split("words", " "), F.split("to_words", " ")
     common = F.size(F.array_intersect(a, b))
     return (
         both.filter(common + F.lit(1e-9) >= (F.size(a) + F.size(b) - common) * F.lit(similarity))
-        .select("doc", "line")
+        .select("set")
         .distinct()
     )
 
 
 def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc, line) of the sets that have an earlier similar set. ``sets``: different sets.
+    """(set) of the sets that have an earlier similar set. ``sets``: different sets.
 
     First every set is compared with the earliest set of each of its prefix words. In a
     group of many near copies this decides nearly all, so only the few undecided sets
     meet all earlier sets that share a word, and not all pairs of the group are made.
     """
     posted = scratch.write(postings(sets, rarity_classes(sets), similarity), "postings")
-    pair = ["a.doc", "a.line", F.col("b.doc").alias("to_doc"), F.col("b.line").alias("to_line")]
+    pair = ["a.set", F.col("b.set").alias("to_set")]
     heads = (
         posted.groupBy("token")
-        .agg(F.min(F.struct("doc", "line", "size", "map", "place")).alias("head"), F.count("*").alias("members"))
+        .agg(F.min(F.struct("set", "size", "map", "place")).alias("head"), F.count("*").alias("members"))
         .filter("members > 1")
         .select("token", "head.*")
     )
@@ -129,19 +130,18 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
     decided = scratch.write(verified(first_pairs, sets, similarity), "decided")
     scratch.drop(first_pairs)
 
-    open_ones = posted.join(decided, ["doc", "line"], "left_anti")
+    open_ones = posted.join(decided, "set", "left_anti")
     to_all = open_ones.alias("a").join(posted.alias("b"), F.col("a.token") == F.col("b.token"))
     pairs = scratch.write(to_all.filter(may_match("a", "b", similarity)).select(*pair).distinct(), "pairs")
     scratch.drop(posted)
     return decided.unionByName(verified(pairs, sets, similarity))
 
 
-def kept_lines(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc, line) of the lines with words that stay."""
-    firsts = line_sets(docs).groupBy("words").agg(F.min(F.struct("doc", "line")).alias("first"))
-    sets = scratch.write(firsts.select("first.*", "words"), "sets")
+def kept_lines(rows: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
+    """(entry, line) of the lines with words that stay."""
+    sets = scratch.write(numbered_sets(rows), "sets")
     gone = later_matches(sets, scratch, similarity)
-    return sets.select("doc", "line").join(gone, ["doc", "line"], "left_anti")
+    return sets.join(gone, "set", "left_anti").select("entry", "line")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -150,22 +150,26 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Lines end at line feeds and are compared as sets of lower-case words. A line is
     removed if an earlier line, by id and then line number, has at least the given
     Jaccard similarity; lines without words stay. Null text is the empty text, one line
-    without words. Rows without an id come first. Rows that repeat an id share their line
-    numbers: a line stays if a line of that id and number stays.
+    without words. Rows without an id come first. Equal line numbers of rows that share an
+    id, or have none, are in the order in which the rows are read: the rows are written
+    once with a number of their own.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    kept = scratch.write(
-        kept_lines(docs, scratch, similarity).groupBy("doc").agg(F.collect_set("line").alias("kept")), "kept"
+    rows = scratch.write(
+        docs.select(
+            "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("entry")
+        ),
+        "rows",
     )
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "doc", F.coalesce("doc_id", F.lit(NO_ID))
+    kept = scratch.write(
+        kept_lines(rows, scratch, similarity).groupBy("entry").agg(F.collect_list("line").alias("kept")), "kept"
     )
     lines = F.split("text", "\n")
     blank = lambda line: F.trim(F.regexp_replace(line, BLANKS, " ")) == ""
     stay = F.filter(
         lines, lambda line, at: F.coalesce(F.array_contains("kept", at), F.lit(False)) | blank(line)
     )
-    return rows.join(kept, "doc", "left").select("doc_id", F.size(lines).alias("n_lines"), stay.alias("stay")).select(
+    return rows.join(kept, "entry", "left").select("doc_id", F.size(lines).alias("n_lines"), stay.alias("stay")).select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
         (F.col("n_lines") - F.size("stay")).cast("long").alias("n_removed"),
