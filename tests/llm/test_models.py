@@ -228,6 +228,41 @@ def test_licenses_are_found_with_their_spans(docs_of, odd_rows):
     assert license_scan.scan_documents(docs_of([])).count() == 0
 
 
+LICENSES = license_scan.Index.of(license_scan.all_templates())
+LICENSE_FILES = sorted(file.name for file in license_scan.files("tidelog.llm.licenses").iterdir() if file.name.endswith(".txt"))
+
+
+@pytest.mark.parametrize("name", LICENSE_FILES)
+def test_whole_texts_and_headers_are_found_in_comments(name):
+    whole = license_scan.files("tidelog.llm.licenses").joinpath(name).read_text("utf-8").split(license_scan.TERMS_END)[0]
+    commented = "\n".join(f" * {line}" for line in whole.strip().split("\n"))
+    edited = commented.split(" ")
+    for at in range(len(edited) // 3 * 2, len(edited) // 3, -40):  # words put in, so that diagonals drift
+        edited.insert(at, "qqinserted page seven")
+    for body in (commented, " ".join(edited)):
+        text = f"{prose(1, 50)}\n# Copyright 2020 Some One\n{body}\n{prose(2, 50)}"
+        [notice] = license_scan.scan(text, LICENSES)
+        assert notice[0] == name.removesuffix(".txt").removesuffix(".header")
+        assert notice[1] > 0.95 and notice[5] == text[notice[3] : notice[4]]
+        spanned = license_scan.WORD.findall(notice[5].lower())
+        assert len(spanned) >= 0.95 * len(license_scan.WORD.findall(body.lower()))
+
+
+def test_two_texts_and_half_a_text_of_a_license():
+    mit = license_scan.files("tidelog.llm.licenses").joinpath("MIT.txt").read_text("utf-8")
+    found = license_scan.scan(f"{mit}\n{prose(3, 30)}\n{mit}", LICENSES)
+    assert [(one[0], one[1]) for one in found] == [("MIT", 1.0)] * 2
+    assert license_scan.scan(" ".join(mit.split()[:60]), LICENSES) == []
+
+
+def test_spdx_lines_give_their_identifiers():
+    text = "// SPDX-License-Identifier: (MIT OR Apache-2.0) */\n# SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\nx\nspdx-license-identifier: Foo-1"
+    found = license_scan.scan(text, LICENSES)
+    assert [(one[0], one[1]) for one in found] == [("MIT", 1.0), ("Apache-2.0", 1.0), ("GPL-2.0-only", 1.0), ("Foo-1", 1.0)]
+    assert [one[5] for one in found][:2] == ["SPDX-License-Identifier: (MIT", "Apache-2.0"]
+    assert license_scan.scan("SPDX-License-Identifier:", LICENSES) == []
+
+
 def test_alignment_equals_the_whole_table():
     draw = random.Random(1)
     for _ in range(50):
