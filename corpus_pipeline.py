@@ -12,6 +12,10 @@ from tidelog.llm import bpe, exact_index, pfair, ring_simhash, toxicity
 from tidelog.llm.common import Scratch, read_table
 
 
+#: Jaccard similarity of five-word shingles from which a text is a near copy.
+NEAR_COPY = 0.8
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
@@ -21,7 +25,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ring_simhash.drop_near_duplicates(docs)
+    return ring_simhash.drop_near_duplicates(docs, similarity=NEAR_COPY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import corpus_pipeline
 from tests.llm.conftest import prose
 from tests.llm.test_duplicates import simhash
+from tidelog.llm import ring_simhash, shingle_join
 
 
 def test_stages_take_effect(spark, docs_of, labels_of, odd_rows, tmp_path):
@@ -39,3 +41,26 @@ def test_stages_take_effect(spark, docs_of, labels_of, odd_rows, tmp_path):
 
     result = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(tuple, result.collect()), key=repr) == sorted(map(tuple, now.collect()), key=repr)
+
+
+def test_near_copies_beyond_the_fingerprint_bits_go(spark, docs_of, odd_rows):
+    draw, rows = random.Random(7), odd_rows[:8] + odd_rows[9:11]
+    for group in range(12):
+        base = prose(500 + group, 90).split(" ")
+        for copy in range(5):
+            words = list(base)
+            for _ in range(copy):
+                words[draw.randrange(len(words))] = f"changed{draw.random()}"
+            rows.append((100 * group + 50 + copy if copy < 4 else None, " ".join(words), "en", "a"))
+    order = sorted(rows, key=lambda row: (row[0] is None, row[0] or 0))
+    found = corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()
+    first = ring_simhash.drop_near_duplicates(docs_of(rows)).collect()
+    left = {(row.doc_id, row.text) for row in first}
+    sets = [(row[:2], shingle_join.shingle_set(row[1])) for row in order if row[:2] in left]
+    expected = [
+        row
+        for at, (row, own) in enumerate(sets)
+        if not any((len(own & o) / len(own | o) if own | o else 1) >= 0.8 for _, o in sets[:at])
+    ]
+    assert sorted(((row.doc_id, row.text) for row in found), key=repr) == sorted(expected, key=repr)
+    assert len(expected) < len(first)

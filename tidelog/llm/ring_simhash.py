@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import Scratch, read_table, words_of
 from tidelog.llm.components import connected_components
+from tidelog.llm.shingle_join import later_similar
 from tidelog.operators.skew import spread_join
 
 SHINGLE_WORDS = 4
@@ -225,9 +226,14 @@ def near_duplicates(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, most_bits: int = MOST_BITS, similarity: float | None = None
+) -> DataFrame:
     """One row of each group, with all columns: that of the smallest id.
 
+    With a similarity, rows that have an earlier one, by id, with that Jaccard similarity
+    of five-word shingles go as well, however many bits the fingerprints differ in.
+
     Rows are written once with their fingerprint and a number, so that just one of rows
     that repeat an id stays; rows without an id stay only in groups that have no id.
     """
@@ -246,7 +252,12 @@ def drop_near_duplicates(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFra
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "entry")
     firsts = prints.groupBy("fingerprint").agg(F.min(place).alias("place"))
     stays = firsts.join(groups, "fingerprint").groupBy("root").agg(F.min("place").alias("place"))
-    return numbered.join(stays.select("place.entry"), "entry", "left_semi").select("row.*")
+    kept = stays.select("place.entry")
+    if similarity is not None:
+        left = scratch.write(kept, "kept")
+        rows = numbered.join(left, "entry", "left_semi").select("doc_id", F.col("row.text").alias("text"), "entry")
+        kept = left.join(later_similar(rows, scratch, similarity), "entry", "left_anti")
+    return numbered.join(kept, "entry", "left_semi").select("row.*")
 
 
 def op9_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
