@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from tidelog.functions.columns import strip
 
 BYTE_ORDER_MARK = "\ufeff"
-
-
-def parse_document(text: Column) -> Column:
-    """JSON text as VARIANT; unreadable text is null. A byte order mark is skipped."""
-    return F.try_parse_json(F.ltrim(text, F.lit(BYTE_ORDER_MARK)))
+#: Shorter texts are never above the size limit of a VARIANT, which is 16 MiB or more.
+SMALL_TEXT = 1 << 24
+
+
+def parse_document(text: Column, name: Column | None = None) -> Column:
+    """JSON text as VARIANT; unreadable text is null. A byte order mark is skipped.
+
+    Text that is JSON but too large for a VARIANT is not unreadable: it stops the job with
+    the given name, or else with its first characters.
+    """
+    plain = F.ltrim(text, F.lit(BYTE_ORDER_MARK))
+    document = F.try_parse_json(plain)
+    shown = F.substring(plain, 1, 80) if name is None else name
+    too_large = document.isNull() & (F.octet_length(text) > SMALL_TEXT) & F.get_json_object(plain, "$").isNotNull()
+    message = F.concat(F.lit("JSON text above the size limit of a VARIANT: "), shown)
+    return F.when(too_large, F.raise_error(message).cast("variant")).otherwise(document)
 
 
 def field(document: Column, path: str, kind: str) -> Column:

@@ -33,7 +33,7 @@ def read_documents(spark: SparkSession, path: str, pattern: str = "*.json") -> D
 
 def parse_delta_documents(documents: DataFrame) -> DataFrame:
     """``doc_key``, ``valid_document``, ``events`` (list of VARIANT, null if invalid)."""
-    parsed = with_once(documents, document=parse_document(F.col("value")))
+    parsed = with_once(documents, document=parse_document(F.col("value"), F.col("doc_key")))
     document = F.col("document")
     listed = F.when(
         field(document, "document_type", "string") == DELTA_DOCUMENT_TYPE,
@@ -91,7 +91,7 @@ def parse_metric_documents(documents: DataFrame, layer: str) -> DataFrame:
     is not a JSON object gives null in both.
     """
     names = {"batch": ["batch_metrics", "metrics", "snapshot"], "speed": ["snapshot"]}[layer]
-    parsed = with_once(documents, parsed=parse_document(F.col("value")))
+    parsed = with_once(documents, parsed=parse_document(F.col("value"), F.col("doc_key")))
     rooted = with_once(parsed, root=F.when(is_object(F.col("parsed")), F.col("parsed")))
     return rooted.select("doc_key", "root", _first_object(F.col("root"), names).alias("metrics"))
 
