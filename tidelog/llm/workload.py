@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from tidelog.llm import (
+    bag_search,
     bpe,
     exact_index,
     importance,
     license_scan,
     line_join,
+    packing,
     pfair,
     ppm,
     ring_simhash,
     spot_signatures,
+    target_draw,
     toxicity,
 )
 
@@ -26,10 +29,15 @@ CORPUS_QUERIES = {
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_simhash_ring": ring_simhash.op9_simhash_ring,
     "op10_exact_dedup": exact_index.op10_exact_dedup,
+    "op11_bag_search": bag_search.op11_bag_search,
+    "op12_best_fit_packing": packing.op12_best_fit_packing,
+    "op13_target_resampling": target_draw.op13_target_resampling,
 }
 
 CORPUS_EXPECTED = {
     "op1_line_dedup": line_join.EXPECTED,
     "op4_spot_signatures": spot_signatures.EXPECTED,
     "op10_exact_dedup": exact_index.EXPECTED,
+    "op11_bag_search": bag_search.EXPECTED,
+    "op13_target_resampling": target_draw.EXPECTED,
 }
