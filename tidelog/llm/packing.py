@@ -20,6 +20,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -281,23 +282,33 @@ def places(packing: Packing) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "copies", "sequence", "offset"), table.T, strict=True))
 
 
+@dataclass
 class Tokens:
-    """Ids of texts. Long texts are cut where a word begins in any case."""
+    """Ids of texts. Long texts are cut where a word begins in any case.
 
-    def __init__(self, vocabulary: bpe.Vocabulary):
+    The encoders are made at their first use. Shared as a broadcast value they are made
+    once in a Python process and serve all its tasks: an encoder takes tens of MB.
+    """
+
+    vocabulary: bpe.Vocabulary
+
+    @cached_property
+    def whole(self):
         import tiktoken
 
-        special = vocabulary.special_bytes
-        ranks = {token: number for number, token in enumerate(vocabulary.tokens) if token not in special}
-        self.whole = tiktoken.Encoding(
-            "vocabulary", pat_str=bpe.WORD_PATTERN, mergeable_ranks=ranks, special_tokens=vocabulary.special
+        special = self.vocabulary.special_bytes
+        ranks = {token: number for number, token in enumerate(self.vocabulary.tokens) if token not in special}
+        return tiktoken.Encoding(
+            "vocabulary", pat_str=bpe.WORD_PATTERN, mergeable_ranks=ranks, special_tokens=self.vocabulary.special
         )
-        self.vocabulary, self.by_parts = vocabulary, None
+
+    @cached_property
+    def by_parts(self) -> bpe.Encoder:
+        return bpe.Encoder(self.vocabulary)
 
     def of(self, text: str) -> np.ndarray:
         """The ids of a text and END, as little-endian unsigned 32-bit integers."""
         if len(text) > LONG_TEXT:
-            self.by_parts = self.by_parts or bpe.Encoder(self.vocabulary)
             ids = np.frombuffer(next(self.by_parts.encode([text])), "<u4")
         else:
             ids = self.whole.encode_to_numpy(text, allowed_special="all", disallowed_special=())
@@ -309,13 +320,13 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
 
     nth counts the pieces of that length that the same task has made before.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bpe.read_vocabulary(path))  # the vocabulary file
+    shared = docs.sparkSession.sparkContext.broadcast(Tokens(bpe.read_vocabulary(path)))  # the vocabulary file
     kind = docs.schema["doc_id"].dataType
     numbers = ["piece", "start", "length", "ids_crc32", "task", "nth"]
     schema = T.StructType([T.StructField("doc_id", kind), *[T.StructField(n, T.LongType()) for n in numbers]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, made = Tokens(shared.value), [0] * (capacity + 1)
+        tokens, made = shared.value, [0] * (capacity + 1)
         task = TaskContext.get().partitionId()
         for batch in batches:
             own, rows = batch.column("doc_id"), []
