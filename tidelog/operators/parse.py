@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,15 +42,19 @@ def _rewritten(text: Column, pattern: str, groups: int) -> Column:
     )
 
 
-def access_log_groups(lines: DataFrame, column: str = "value") -> DataFrame:
+def access_log_groups(
+    lines: DataFrame, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """``raw_line`` and the eight text groups, all '' for a line of another format.
+    Columns named in ``keep`` stay beside them.
 
     With eight quotes none can lie inside an unquoted part, so cutting at the quotes
     gives the same groups as the whole pattern. More quotes need the whole pattern, and
     with fewer there is no match.
     """
     line = F.col("raw_line")
-    cut = with_once(lines.select(F.col(column).alias("raw_line")), quoted=F.split(line, '"', -1))
+    taken = lines.select(*keep, F.col(column).alias("raw_line"))
+    cut = with_once(taken, quoted=F.split(line, '"', -1))
     # The end of the pattern also matches before a last line or paragraph separator.
     at_end = F.expr("quoted[4] = ' ' AND quoted[6] = ' '") & F.expr("quoted[8]").isin(
         "", "\u0085", "\u2028", "\u2029"
@@ -59,6 +65,7 @@ def access_log_groups(lines: DataFrame, column: str = "value") -> DataFrame:
     ).when(F.expr("size(quoted) > 9"), _rewritten(line, LOG_PATTERN, 8))
     matched = with_once(cut, matched=F.when(~F.contains(line, F.lit("\n")), by_quotes))
     return matched.selectExpr(
+        *keep,
         "raw_line",
         *[
             f"CASE size(matched) WHEN 4 THEN {cut_out} WHEN 8 THEN {whole} ELSE '' END AS {name}"
@@ -67,18 +74,21 @@ def access_log_groups(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_lines(
+    lines: DataFrame, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Every line with its typed fields and the three validity flags.
 
     A request that has not three parts stays whole as the endpoint. Sizes that are not
     digits only, such as ``-``, are 0.
     """
     staged = with_once(
-        access_log_groups(lines, column),
+        access_log_groups(lines, column, keep),
         timestamp=log_time(F.col("timestamp_raw")),
         request_parts=F.split("request_raw", " ", 3),
     )
     return staged.selectExpr(
+        *keep,
         "raw_line",
         "client_ip",
         "timestamp",
@@ -100,8 +110,8 @@ def is_valid() -> Column:
     return F.col("format_valid") & F.col("timestamp_valid") & F.col("request_valid")
 
 
-def valid_events(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(is_valid()).select(*EVENT_COLUMNS)
+def valid_events(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return parsed.filter(is_valid()).select(*keep, *EVENT_COLUMNS)
 
 
 def rejection_reason() -> Column:
@@ -122,10 +132,12 @@ def read_events(lines: DataFrame) -> DataFrame:
     return valid_events(parse_lines(lines))
 
 
-def replay_events(lines: DataFrame, column: str = "value") -> DataFrame:
+def replay_events(
+    lines: DataFrame, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Lines to valid events, the replay rule: blanks around a line do not matter."""
     trimmed = lines.withColumn(column, strip(F.col(column)))
-    return valid_events(parse_lines(trimmed, column))
+    return valid_events(parse_lines(trimmed, column, keep), keep)
 
 
 def count_lines(parsed: DataFrame) -> DataFrame:

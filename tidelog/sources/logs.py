@@ -12,8 +12,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_replay_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines for a replay, with bytes that are not UTF-8 replaced."""
-    return spark.read.text(path).select(F.make_valid_utf8("value").alias("value"))
+    """Lines for a replay, with bytes that are not UTF-8 replaced, and their ``file``."""
+    return spark.read.text(path).select(
+        F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("file")
+    )
 
 
 def stream_lines(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.replay import as_envelopes, replay_records, replay_statistics
+from tidelog.operators.replay import as_envelopes, replay_records
 from tidelog.schema import SEND_BATCH_SIZE, check_batch_size
 from tidelog.session import build_session, configure
 from tidelog.sources.logs import stream_lines
@@ -31,10 +31,6 @@ def read_event_stream(spark: SparkSession, path: str) -> DataFrame:
     ).json(path)
 
 
-def delivery_statistics(lines: DataFrame, delivered: DataFrame) -> DataFrame:
-    return replay_statistics(lines.agg(F.count("*")).scalar(), delivered)
-
-
 def start_replay(
     spark: SparkSession,
     source: str,
@@ -48,7 +44,9 @@ def start_replay(
 
     ``name`` goes into the ids of all events, so replays that are read together need
     different names. By default it follows from the folders of the replay: another log or
-    another output gets another name, a restart from its checkpoint the same.
+    another output gets another name, a restart from its checkpoint the same. The rest of
+    an id follows from the file and its lines; a file is never split over micro-batches,
+    so neither their number nor their size matters.
     """
     check_batch_size(batch_size)
     configure(spark)
@@ -56,14 +54,12 @@ def start_replay(
     name = name or f"replay-{hashlib.md5(folders.encode()).hexdigest()}"
 
     def send(lines: DataFrame, batch_id: int) -> None:
-        write_event_stream(
-            lines, f"{output}/batch_id={batch_id}", f"{name}-{batch_id}", batch_size
-        )
+        write_event_stream(lines, f"{output}/batch_id={batch_id}", name, batch_size)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream_lines(spark, source)
-        .withColumn("value", F.make_valid_utf8("value"))
+        .select(F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("file"))
         .writeStream.foreachBatch(send)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -77,6 +73,7 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--every", default=None, help="such as '10 seconds'")
+    parser.add_argument("--name", default=None, help="part of all ids; follows from the folders if not given")
     parser.add_argument("--batch-size", type=int, default=SEND_BATCH_SIZE)
     arguments = parser.parse_args()
     start_replay(
@@ -84,6 +81,7 @@ def main() -> None:
         arguments.input,
         arguments.output,
         arguments.checkpoint,
+        arguments.name,
         batch_size=arguments.batch_size,
         every=arguments.every,
     ).awaitTermination()
