@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import SparkSession
 
 from tidelog.session import configure
+from tidelog.sources.event_table import EventTable
 
 
 @pytest.fixture(scope="session")
@@ -32,3 +33,13 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def lines_of(spark):
     return lambda texts: spark.createDataFrame([(text,) for text in texts], "value STRING")
+
+
+@pytest.fixture
+def event_table_of(spark, lines_of, tmp_path):
+    def store(texts):
+        table = EventTable(spark, str(tmp_path / f"events-{len(list(tmp_path.iterdir()))}"))
+        table.write(lines_of(texts))
+        return table
+
+    return store

@@ -223,14 +223,15 @@ def test_serving_job(spark, tmp_path, lines_of):
     assert json.loads(lines.filter("section = 'totals'").first().body)["historical_valid_records"] == 7
 
 
-def test_parity_of_a_controlled_log(lines_of):
-    values = batch_stream_values(lines_of(CONTROLLED_LOG), 300)
+def test_parity_of_a_controlled_log(event_table_of):
+    values = batch_stream_values(event_table_of(CONTROLLED_LOG), 300)
     checked = {row.metric: row.match for row in parity.compare_metrics(values).collect()}
     assert list(checked) and set(checked) == set(parity.COMPARABLE_METRICS) and all(checked.values())
 
 
-def test_parity_shows_differences(lines_of):
-    values = batch_stream_values(lines_of(CONTROLLED_LOG + [log_line("GET  /x HTTP/1.1", "30/Jul/2026:09:00:00 +0000")]), 300)
+def test_parity_shows_differences(event_table_of):
+    late = log_line("GET  /x HTTP/1.1", "30/Jul/2026:09:00:00 +0000")
+    values = batch_stream_values(event_table_of([*CONTROLLED_LOG, late]), 300)
     found = {(r.metric, r.key, r.field): r.outcome for r in parity.find_differences(values).collect()}
     assert found[("traffic_by_hour", "9", "")] == "missing from stream"
     assert found[("total_valid_records", "", "")] == "different"

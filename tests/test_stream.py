@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tidelog.functions.keys import delta_key, partition_key, sanitize_key
 from tidelog.operators import events as ops
 from tidelog.operators.parse import replay_events
-from tidelog.operators.replay import replay_records
+from tidelog.operators.replay import replay_records, replay_statistics
 from tidelog.sources.envelopes import explode_records
-from tidelog.sources.generator import generate_load_events
+from tidelog.sources.generator import load_events
 from tidelog.sources.logs import read_replay_lines
 from tidelog.plans.global_window import run_global
 from tidelog.plans.serving import run_serving
 from tidelog.streaming.job import StreamJob
-from tidelog.streaming.replay import delivery_statistics, read_event_stream, start_replay
+from tidelog.streaming.replay import read_event_stream, start_replay
 from tests.samples import CONTROLLED_LOG, event, log_line
 
 
@@ -105,6 +105,50 @@ def test_equal_lines_get_stable_different_ids(spark, lines_of):
         replay_records(lines, "run", 501)
 
 
+def written_ids(spark, path, run="run"):
+    records = replay_records(read_replay_lines(spark, path), run)
+    return sorted((r.sequence_number, r.payload.split('"event_id":"')[1][:36]) for r in records.collect())
+
+
+def test_ids_follow_from_the_lines_alone(spark, tmp_path):
+    """Other splits, other cores and other orders of the files give the same ids."""
+    hot, others = log_line(), [log_line(f"GET /{n % 90} HTTP/1.1") for n in range(400)]
+    lines = [hot if n % 3 == 0 else others[n] for n in range(400)]
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "a.log").write_text("\n".join(lines) + "\n")
+    (logs / "b.log").write_text("\n".join([hot] * 30) + "\n")
+    found = []
+    for split, partitions in (("128m", "8"), ("700b", "8"), ("4k", "3")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            assert split == "128m" or spark.read.text(str(logs)).rdd.getNumPartitions() > 8
+            found.append(written_ids(spark, str(logs)))
+        finally:
+            for name in ("files.maxPartitionBytes", "files.openCostInBytes"):
+                spark.conf.unset(f"spark.sql.{name}")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] == found[2]
+    assert len({event_id for _, event_id in found[0]}) == len(lines) + 30
+    assert sorted(int(name.rsplit("-", 1)[1]) for name, _ in found[0])[-1] == len(lines) // 3
+    assert not {i for _, i in found[0]} & {i for _, i in written_ids(spark, str(logs), "other run")}
+
+
+def test_records_without_ids_keep_all_events(spark, tmp_path):
+    """A position in a batch is no identity: it is the same in every invocation."""
+    job = StreamJob(str(tmp_path / "recent"), 120)
+    bare = lambda item: {"Records": [record(item, None, None)]}
+    items = [event("", f"2026-07-31T10:00:0{n}+00:00", endpoint=f"/{n}") for n in range(3)]
+    job.process(invocations(spark, *map(bare, items)), 0)
+    job.process(invocations(spark, bare(items[1])), 1)  # sent again
+    stored = job.store.read(spark).select("identity", "sequence_number").collect()
+    assert len(stored) == 4 and all(row.identity.startswith("fallback:") for row in stored)
+    assert {row.sequence_number for row in stored} == {""}
+    assert job.read_snapshot(spark, "window_summary").first().window_event_count == 3
+
+
 def test_replay_files(spark, tmp_path):
     source, out = tmp_path / "logs", str(tmp_path / "records")
     source.mkdir()
@@ -112,11 +156,16 @@ def test_replay_files(spark, tmp_path):
     (source / "b.log").write_bytes(log_line("GET /café HTTP/1.1").encode("latin-1") + b"\n")
     start_replay(spark, str(source), out, str(tmp_path / "checkpoint"), batch_size=3).awaitTermination()
     sent = read_event_stream(spark, out)
-    counts = delivery_statistics(read_replay_lines(spark, str(source)), sent).first().asDict()
+    lines = read_replay_lines(spark, str(source))
+    counts = replay_statistics(lines, sent, 3).first().asDict()
     assert counts.pop("batches_sent") >= 3
     assert counts == {
-        "total_lines": 10, "valid_records": 8, "invalid_lines": 2, "successful_records": 8, "failed_records": 0
+        "total_lines": 10, "valid_records": 8, "invalid_lines": 2, "successful_records": 8, "failed_records": 0,
+        "batches_fit": True,
     }
+    lost = replay_statistics(lines, sent.limit(6), 2).first()
+    assert (lost.successful_records, lost.failed_records) == (6, 2)
+    assert not replay_statistics(lines, sent.withColumn("batch", F.lit(0)), 3).first().batches_fit
     decoded = ops.decode_records(explode_records(spark.read.text(out)))
     endpoints = {r.endpoint for r in decoded.filter("valid").collect()}
     assert "/caf�" in endpoints and len(endpoints) == 5
@@ -138,18 +187,16 @@ def test_unreadable_lines_are_invalid_records(spark, tmp_path):
     assert [row.record_index for row in explode_records(lines).collect()] == [0, 0]
     job = StreamJob(str(tmp_path / "recent"), 120)
     job.process(lines, 0)
-    summary = spark.read.parquet(job.invocations).first().asDict()
+    summary = job.read_invocations(spark).first().asDict()
     assert summary["received_records"] == 2 and summary["invalid_records"] == 2
-    assert spark.read.parquet(job.dead_letter).count() == 2
+    assert job.read_dead_letters(spark).count() == 2
 
 
 def test_load_events(spark):
-    found = generate_load_events(spark, 600, "/load")
-    totals = found.agg(F.count_if(F.col("status_code") == 500), F.sum("response_bytes")).first()
-    assert tuple(totals) == (30, 134700)
-    assert found.first().client_ip == "10.20.0.1"
-    with pytest.raises(ValueError):
-        generate_load_events(spark, 0, "/load")
+    requests = spark.range(600).selectExpr("id", "concat('10.0.0.', id % 3) AS client_ip", "1700000000 + id AS sec", "'GET' AS method")
+    found = load_events(requests, "/load")
+    totals = found.agg(F.count_if(F.col("status_code") == 500), F.sum("response_bytes"), F.countDistinct("timestamp")).first()
+    assert tuple(totals) == (30, 134700, 600)
 
 
 def send(folder, name, records):
@@ -221,11 +268,11 @@ def test_any_split_gives_the_same_window(spark, tmp_path, arrivals, parts):
         "endpoints", "endpoint", "total_requests", "error_count", "total_response_bytes"
     )
     assert rows("statistics", "unique_events", "window_event_count") == [(len(right), len(inside))]
-    counts = spark.read.parquet(job.invocations).agg(
+    counts = job.read_invocations(spark).agg(
         F.sum("received_records"), F.sum("processed_records"), F.sum("invalid_records")
     ).first()
     assert counts[0] == len(arrivals) and counts[1] + counts[2] == counts[0]
-    assert spark.read.parquet(job.dead_letter).count() == counts[2]
+    assert job.read_dead_letters(spark).count() == counts[2]
 
 
 def test_a_micro_batch_that_runs_again_changes_nothing(spark, tmp_path):
@@ -239,11 +286,13 @@ def test_a_micro_batch_that_runs_again_changes_nothing(spark, tmp_path):
     job.process(one, 0)
     job.process(two, 1)
     first = snapshot(spark, job)
-    deltas = sorted(map(str, spark.read.parquet(job.deltas).collect()))
+    stored = lambda: sorted(map(str, job.store.read(spark).drop("processed_at").collect()))
+    deltas, counts = stored(), sorted(map(tuple, job.read_invocations(spark).collect()))
     job.process(two, 1)
     assert snapshot(spark, job) == first
-    assert sorted(map(str, spark.read.parquet(job.deltas).collect())) == deltas
-    assert len(deltas) == 4  # The late event is stored, not counted.
+    assert stored() == deltas
+    assert sorted(map(tuple, job.read_invocations(spark).collect())) == counts
+    assert len(deltas) == 5  # The late event is stored, not counted; one record is no event.
     assert first["summary"] == [("2026-07-31T09:59:00+00:00", "2026-07-31T10:04:00+00:00", 2)]
     nothing_new = invocations(spark, {"Records": [record([1], "s9")]})
     job.process(nothing_new, 2)

@@ -12,18 +12,41 @@ BYTE_ORDER_MARK = "\ufeff"
 SMALL_TEXT = 1 << 24
 
 
+def _plain(text: Column) -> Column:
+    return F.ltrim(text, F.lit(BYTE_ORDER_MARK))
+
+
+def is_too_large(text: Column, document: Column) -> Column:
+    """Is the text JSON, and ``document``, its VARIANT, null because of its size alone?"""
+    large = document.isNull() & (F.octet_length(text) > SMALL_TEXT)
+    return large & F.get_json_object(_plain(text), "$").isNotNull()
+
+
+def parse_small(text: Column) -> Column:
+    """JSON text as VARIANT; text that is unreadable or too large is null. A byte order
+    mark is skipped."""
+    return F.try_parse_json(_plain(text))
+
+
+def parse_parts(text: Column, document: Column, schema: str) -> Column:
+    """Named members of a document that is too large for a VARIANT, else null.
+
+    The text is read member by member: lists and maps of the schema become lists and maps
+    of small VARIANTs, and neither the document nor its large members ever is one.
+    """
+    return F.when(is_too_large(text, document), F.from_json(_plain(text), schema))
+
+
 def parse_document(text: Column, name: Column | None = None) -> Column:
     """JSON text as VARIANT; unreadable text is null. A byte order mark is skipped.
 
     Text that is JSON but too large for a VARIANT is not unreadable: it stops the job with
     the given name, or else with its first characters.
     """
-    plain = F.ltrim(text, F.lit(BYTE_ORDER_MARK))
-    document = F.try_parse_json(plain)
-    shown = F.substring(plain, 1, 80) if name is None else name
-    too_large = document.isNull() & (F.octet_length(text) > SMALL_TEXT) & F.get_json_object(plain, "$").isNotNull()
+    document = parse_small(text)
+    shown = F.substring(_plain(text), 1, 80) if name is None else name
     message = F.concat(F.lit("JSON text above the size limit of a VARIANT: "), shown)
-    return F.when(too_large, F.raise_error(message).cast("variant")).otherwise(document)
+    return F.when(is_too_large(text, document), F.raise_error(message).cast("variant")).otherwise(document)
 
 
 def field(document: Column, path: str, kind: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import strip, with_once
-from tidelog.functions.documents import field, is_object, present_text, whole_number
+from tidelog.functions.documents import field, is_object, parse_document, present_text, whole_number
 from tidelog.functions.instants import iso_text, strict_utc
 from tidelog.functions.keys import event_identity, partition_key
 from tidelog.schema import EVENT_COLUMNS, EVENT_SOURCE
@@ -52,6 +52,10 @@ def decode_envelopes(records: DataFrame) -> DataFrame:
 
     The data must be a JSON string: a number that happens to be base64 is refused.
     """
+    return _decode_envelopes(records).drop("transport_id")
+
+
+def _decode_envelopes(records: DataFrame) -> DataFrame:
     record = F.col("record")
     data = field(record, "kinesis.data", "variant")
     text = F.when(
@@ -60,21 +64,30 @@ def decode_envelopes(records: DataFrame) -> DataFrame:
     decoded = with_once(records, payload_bytes=strict_base64(text))
     return decoded.select(
         *[name for name in records.columns if name != "record"],
+        transport_id(record).alias("transport_id"),
         record_identifier(record, F.col("record_index")).alias("identifier"),
         F.try_validate_utf8(F.col("payload_bytes").cast("string")).alias("payload"),
     )
 
 
-def record_identifier(record: Column, index: Column) -> Column:
-    """Sequence number, else event id, else the position in the batch."""
+def transport_id(record: Column) -> Column:
+    """Sequence number, else event id; null when the transport gave neither."""
     sequence = F.nullif(present_text(record, "kinesis.sequenceNumber"), F.lit(""))
-    event_id = F.nullif(present_text(record, "eventID"), F.lit(""))
-    return F.coalesce(sequence, event_id, F.concat(F.lit("record-"), index.cast("string")))
+    return F.coalesce(sequence, F.nullif(present_text(record, "eventID"), F.lit("")))
+
+
+def record_identifier(record: Column, index: Column) -> Column:
+    """The transport's id, else the position in the batch.
+
+    A position names a record to the sender of its batch. It is the same in every batch,
+    so it is no identity of an event.
+    """
+    return F.coalesce(transport_id(record), F.concat(F.lit("record-"), index.cast("string")))
 
 
 def decode_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """Add ``event``, the JSON object in the payload, null when it is anything else."""
-    parsed = with_once(payloads, parsed_payload=F.try_parse_json(column))
+    parsed = with_once(payloads, parsed_payload=parse_document(F.col(column)))
     event = F.col("parsed_payload")
     return parsed.withColumn("event", F.when(is_object(event), event)).drop("parsed_payload")
 
@@ -136,9 +149,14 @@ def with_identity(events: DataFrame, column: str = "event") -> DataFrame:
 
 
 def decode_records(records: DataFrame) -> DataFrame:
-    """Transport records to validated events; the identifier becomes the sequence number."""
-    decoded = decode_payloads(decode_envelopes(records))
-    return validate_events(decoded).withColumn("sequence_number", F.col("identifier"))
+    """Transport records to validated events with their ``identity``.
+
+    The transport's id becomes the sequence number. Events without any id are told apart
+    by their fields.
+    """
+    validated = validate_events(decode_payloads(_decode_envelopes(records)))
+    numbered = validated.withColumn("sequence_number", F.coalesce("transport_id", F.lit("")))
+    return with_identity(numbered).drop("transport_id")
 
 
 def batch_item_failures(decoded: DataFrame) -> DataFrame:

@@ -87,15 +87,23 @@ def latency_micros(processed_at: Column, ingested_at: Column) -> Column:
     return F.when(passed >= 0, passed)
 
 
+def latency_counts(decoded: DataFrame) -> DataFrame:
+    """``valid, v, n``: how often each latency (microseconds) occurs among events that
+    carry ``processed_at`` and ``ingested_at``. Counts of several tables can be added up."""
+    micros = F.when(F.col("valid"), latency_micros(F.col("processed_at"), F.col("ingested_at")))
+    return decoded.groupBy("valid", micros.alias("v")).agg(F.count("*").alias("n"))
+
+
 def stream_latency(decoded: DataFrame, runtime_seconds: float | Column) -> DataFrame:
     """One row about validated events that carry ``processed_at`` and ``ingested_at``.
 
     The events are read once, to count how often each latency occurs.
     """
-    micros = F.when(F.col("valid"), latency_micros(F.col("processed_at"), F.col("ingested_at")))
-    counts = stage(
-        decoded.groupBy("valid", micros.alias("v")).agg(F.count("*").alias("n")), "latencies"
-    )
+    return latency_report(stage(latency_counts(decoded), "latencies"), runtime_seconds)
+
+
+def latency_report(counts: DataFrame, runtime_seconds: float | Column) -> DataFrame:
+    """The same row from ``latency_counts``, exact to the digit."""
     runtime = runtime_seconds if isinstance(runtime_seconds, Column) else F.lit(float(runtime_seconds))
     millis = lambda value: value / F.lit(1000.0)
     valid, value, n = F.col("valid"), F.col("v"), F.col("n")

@@ -12,10 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import rate
+from tidelog.functions.instants import iso_text
 from tidelog.functions.traffic import endpoint_traffic, recent_rpm, traffic_level, usable_rate
+from tidelog.operators.ranking import with_rank
 from tidelog.schema import (
     MINIMUM_REQUESTS_FOR_SPIKE,
     TRAFFIC_SPIKE_RATIO,
+    VIEW_NOTE,
+    VIEW_SCHEMA_VERSION,
+    VIEW_TYPE,
     check_spike_thresholds,
 )
 from tidelog.session import stage
@@ -48,18 +53,19 @@ def document_metrics(rows: DataFrame, baselines: DataFrame) -> DataFrame:
         "doc_key",
         F.lit("baseline_rpm").alias("metric"),
         F.col("endpoint").alias("key"),
-        F.col("baseline_rpm").alias("value"),
+        F.lit(None).cast("bigint").alias("count"),
+        F.col("baseline_rpm").alias("rate"),
     )
-    of = lambda metric: F.max(F.when(F.col("metric") == metric, F.col("value")))
+    of = lambda metric, value: F.max(F.when(F.col("metric") == metric, F.col(value)))
     return (
         rows.filter(F.col("metric") != "status_code_distribution")
         .unionByName(base)
         .groupBy("doc_key", F.col("key").alias("endpoint"))
         .agg(
-            of("requests_per_endpoint").cast("bigint").alias("requests"),
-            of("response_byte_totals").cast("bigint").alias("response_bytes"),
-            of("error_rates").alias("error_rate"),
-            of("baseline_rpm").alias("baseline_rpm"),
+            of("requests_per_endpoint", "count").alias("requests"),
+            of("response_byte_totals", "count").alias("response_bytes"),
+            of("error_rates", "rate").alias("error_rate"),
+            of("baseline_rpm", "rate").alias("baseline_rpm"),
         )
     )
 
@@ -134,11 +140,14 @@ def traffic_spikes(compared: DataFrame) -> DataFrame:
     return compared.filter("significant_increase").select(*SPIKE_COLUMNS)
 
 
-def ranked_spikes(spikes: DataFrame) -> DataFrame:
+def spike_order() -> list[Column]:
     """Largest ratio first; without a ratio (baseline 0) before all others."""
-    return spikes.orderBy(
-        F.desc_nulls_first("recent_to_baseline_ratio"), F.desc("recent_rpm"), "endpoint"
-    )
+    return [F.desc_nulls_first("recent_to_baseline_ratio"), F.desc("recent_rpm"), F.asc("endpoint")]
+
+
+def ranked_spikes(spikes: DataFrame) -> DataFrame:
+    """Spikes with their ``rank``, 1 for the largest. They are sorted over all tasks."""
+    return with_rank(spikes, spike_order())
 
 
 def spike_summary(
@@ -252,8 +261,10 @@ def combined_view(
     minimum_requests: int = MINIMUM_REQUESTS_FOR_SPIKE,
     history_totals: DataFrame | None = None,
     recent_totals: DataFrame | None = None,
+    snapshot_generated_at: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """All sections of the serving view, each a table.
+    """All sections of the serving view, each a table. ``about`` is one row about the view
+    itself and the time its snapshot was made, if that is known.
 
     ``window`` is one row with ``window_seconds, window_start, window_end``. Nothing is
     folded into a single document: the number of endpoints has no bound. The comparison
@@ -272,7 +283,15 @@ def combined_view(
     now = side_totals(side("recent", F.lit(None)), recent_totals)
     overall = overall_traffic(past, now, seconds)
     summary = spike_summary(compared, ratio, minimum_requests)
+    made = F.lit(None).cast("string") if snapshot_generated_at is None else snapshot_generated_at
     return {
+        "about": window.sparkSession.range(1).select(
+            F.lit(VIEW_SCHEMA_VERSION).alias("schema_version"),
+            F.lit(VIEW_TYPE).alias("view_type"),
+            iso_text(F.current_timestamp()).alias("generated_at"),
+            made.alias("speed_snapshot_generated_at"),
+            F.lit(VIEW_NOTE).alias("comparison_note"),
+        ),
         "window": window.select(
             F.col("window_seconds").cast("double").alias("recent_window_seconds"),
             F.col("window_start").alias("recent_window_start"),
@@ -283,7 +302,7 @@ def combined_view(
         .join(summary.withColumn("row", F.lit(0)), "row")
         .drop("row"),
         "endpoint_comparison": compared,
-        "traffic_spikes": traffic_spikes(compared),
+        "traffic_spikes": ranked_spikes(traffic_spikes(compared)),
         "status_code_comparison": compare_status_codes(history_status, recent_status),
         "recent_anomalies": anomalies,
     }

@@ -9,39 +9,30 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.columns import minute
 from tidelog.operators.aggregates import add_up, batch_metrics, endpoint_summary
-from tidelog.operators.parse import (
-    data_quality,
-    parse_lines,
-    rejected_breakdown,
-    rejected_records,
-    rejected_sample,
-    rejection_reason,
-)
+from tidelog.operators.parse import data_quality, rejected_breakdown, rejected_sample
 from tidelog.plans.sinks import write_batch_results, write_data_quality, write_rejected, write_table
 from tidelog.schema import REJECTED_SAMPLE_SIZE
 from tidelog.session import build_session, configure
+from tidelog.sources.event_table import VALID, EventTable
 from tidelog.sources.logs import read_lines
 
 
-def line_facts(parsed: DataFrame) -> DataFrame:
+def line_facts(lines: DataFrame) -> DataFrame:
     """Minute facts of the valid lines and counts of the rejected ones, in one grouping.
 
-    Valid rows have no ``reason``; rejected rows have nothing else. The log is parsed
-    once for all aggregates and all quality figures.
+    ``lines`` are those of an event table. Valid rows have no ``reason``; rejected rows
+    have nothing else. The stored lines are read once for all aggregates and all quality
+    figures.
     """
-    valid = F.col("reason").isNull()
-    only_valid = lambda column: F.when(valid, column)
-    rows = (
-        parsed.withColumn("reason", rejection_reason())
-        .select(
-            "reason",
-            only_valid(F.col("endpoint")).alias("endpoint"),
-            only_valid(minute(F.col("timestamp"))).alias("minute"),
-            only_valid(F.col("status_code")).alias("status_code"),
-            F.lit(1).cast("bigint").alias("requests"),
-            only_valid(F.col("response_bytes")).alias("response_bytes"),
-            only_valid(F.col("timestamp")).alias("latest"),
-        )
+    reason = F.when(F.col("kind") != VALID, F.col("kind"))
+    rows = lines.select(
+        reason.alias("reason"),
+        "endpoint",
+        minute(F.col("timestamp")).alias("minute"),
+        "status_code",
+        F.lit(1).cast("bigint").alias("requests"),
+        "response_bytes",
+        F.col("timestamp").alias("latest"),
     )
     return add_up(rows, "reason")
 
@@ -59,16 +50,19 @@ def run_batch(
     single_file: bool = False,
     sample_size: int = REJECTED_SAMPLE_SIZE,
     repeatable_sample: bool = True,
+    gather_hours: bool = False,
 ) -> None:
-    """Write all ten result tables below ``output``, plus the two they come from: the
-    facts and the endpoint summary.
+    """Write all ten result tables below ``output``, plus those they come from: the event
+    table, the facts and the endpoint summary.
 
-    A repeatable sample looks at all rejected lines and so reads the log a second time;
-    otherwise Spark stops at the first rejected lines it finds.
+    The text is read and parsed once, into the event table; everything else starts there.
+    A repeatable sample sorts all rejected lines, which are partitions of their own;
+    otherwise Spark stops at the first ones it finds.
     """
     configure(spark)
-    parsed = parse_lines(read_lines(spark, source))
-    write_table(line_facts(parsed), f"{output}/line_facts")
+    table = EventTable(spark, f"{output}/events")
+    table.write(read_lines(spark, source), gather=gather_hours)
+    write_table(line_facts(table.lines()), f"{output}/line_facts")
     stored = spark.read.parquet(f"{output}/line_facts")
 
     facts = facts_of(stored)
@@ -78,7 +72,7 @@ def run_batch(
         batch_metrics(facts, summary), output, file_format, ordered, single_file
     )
     write_data_quality(data_quality(stored), output, file_format)
-    rejected = rejected_records(parsed)
+    rejected = table.rejected()
     if repeatable_sample:
         sample = rejected_sample(rejected, sample_size)
     else:
@@ -94,6 +88,7 @@ def main() -> None:
     parser.add_argument("--ordered", action="store_true")
     parser.add_argument("--single-file", action="store_true")
     parser.add_argument("--any-sample", action="store_true")
+    parser.add_argument("--gather-hours", action="store_true", help="for a log in no order of time")
     arguments = parser.parse_args()
     run_batch(
         build_session("tidelog-batch"),
@@ -103,6 +98,7 @@ def main() -> None:
         arguments.ordered,
         arguments.single_file,
         repeatable_sample=not arguments.any_sample,
+        gather_hours=arguments.gather_hours,
     )
 
 

@@ -22,7 +22,8 @@ from tidelog.schema import (
     WINDOW_SECONDS,
 )
 from tidelog.session import build_session, configure, stage
-from tidelog.sources.documents import read_delta_table, read_documents
+from tidelog.sources.documents import read_documents
+from tidelog.streaming.records import read_delta_table
 
 
 def window_sections(

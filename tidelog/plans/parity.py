@@ -11,34 +11,34 @@ from pyspark.sql import functions as F
 from tidelog.functions.columns import strip
 from tidelog.operators.aggregates import minute_facts
 from tidelog.operators.parity import compare_metrics, compare_values, metric_values
-from tidelog.operators.parse import read_events, replay_events
 from tidelog.operators.window import recent_window
 from tidelog.schema import WINDOW_SECONDS
-from tidelog.session import build_session, configure
+from tidelog.session import build_session, configure, scratch_path, stage
+from tidelog.sources.event_table import EventTable
 from tidelog.sources.logs import read_lines
 
 
-def stream_side_events(lines: DataFrame) -> DataFrame:
-    """What the window accepts of a replayed log: trimmed endpoints that are not blank."""
-    events = replay_events(lines).withColumn("endpoint", strip(F.col("endpoint")))
+def stream_side_events(replayed: DataFrame) -> DataFrame:
+    """What the window accepts of replayed events: trimmed endpoints that are not blank."""
+    events = replayed.withColumn("endpoint", strip(F.col("endpoint")))
     return events.filter(F.col("endpoint") != "")
 
 
-def batch_stream_values(lines: DataFrame, window_seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """Both sides of every comparable value of one log."""
-    batch = metric_values(minute_facts(read_events(lines)))
-    window = recent_window(stream_side_events(lines), window_seconds)
+def batch_stream_values(table: EventTable, window_seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Both sides of every comparable value of one stored log."""
+    batch = metric_values(minute_facts(table.events()))
+    window = recent_window(stream_side_events(table.replayed()), window_seconds)
     return compare_values(batch, metric_values(minute_facts(window)))
 
 
 def run_parity(spark: SparkSession, source: str, window_seconds: int = WINDOW_SECONDS) -> bool:
+    """Compare both sides of a log; its text is read once, into a scratch event table."""
     configure(spark)
-    checked = compare_metrics(batch_stream_values(read_lines(spark, source), window_seconds))
-    checked = checked.persist()
+    table = EventTable(spark, scratch_path(spark, "parity"))
+    table.write(read_lines(spark, source))
+    checked = stage(compare_metrics(batch_stream_values(table, window_seconds)), "parity-checked")
     checked.show(truncate=False)
-    matches = checked.agg(F.bool_and("match")).first()[0]
-    checked.unpersist()
-    return matches
+    return checked.agg(F.bool_and("match")).first()[0]
 
 
 def main() -> None:

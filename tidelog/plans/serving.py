@@ -5,11 +5,19 @@ from __future__ import annotations
 import argparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.instants import iso_text
 from tidelog.operators.reports import run_report
-from tidelog.operators.serving import combined_view, document_metrics, endpoint_metrics, view_lines
+from tidelog.operators.serving import (
+    combined_view,
+    document_metrics,
+    endpoint_metrics,
+    endpoint_universe,
+    single_endpoint_baseline,
+    view_lines,
+)
 from tidelog.plans.sinks import write_serving_view, write_view_lines
 from tidelog.schema import MINIMUM_REQUESTS_FOR_SPIKE, TRAFFIC_SPIKE_RATIO, WINDOW_SECONDS
 from tidelog.session import build_session, configure, stage
@@ -19,6 +27,7 @@ from tidelog.sources.documents import (
     metric_rows,
     parse_metric_documents,
     read_baselines,
+    read_documents,
 )
 from tidelog.sources.tables import read_batch_tables
 from tidelog.streaming.job import StreamJob
@@ -35,6 +44,7 @@ def view_of_tables(
     snapshot: dict[str, DataFrame],
     ratio: float = TRAFFIC_SPIKE_RATIO,
     minimum_requests: int = MINIMUM_REQUESTS_FOR_SPIKE,
+    snapshot_generated_at: Column | None = None,
 ) -> dict[str, DataFrame]:
     """The serving view from batch tables and the sections of a snapshot.
 
@@ -53,6 +63,7 @@ def view_of_tables(
         snapshot["anomalies"],
         ratio,
         minimum_requests,
+        snapshot_generated_at=snapshot_generated_at,
     )
 
 
@@ -68,7 +79,7 @@ def _document_side(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     )
     rows = stage(metric_rows(documents), "metrics")
     status = rows.filter(F.col("metric") == "status_code_distribution").select(
-        F.col("key").alias("status_code"), F.col("value").cast("bigint").alias("request_count")
+        F.col("key").alias("status_code"), F.col("count").alias("request_count")
     )
     metrics = stage(document_metrics(rows, baselines).drop("doc_key"), "endpoints")
     return metrics, status, stage(document_totals(documents), "totals")
@@ -89,18 +100,16 @@ def view_of_documents(
     history, history_status, history_totals = _document_side(batch)
     recent, recent_status, recent_totals = _document_side(speed)
     # A scalar baseline belongs to the endpoint when only one is known at all.
-    known = history.select("endpoint").union(recent.select("endpoint")).distinct()
-    has_baseline = history.agg(F.count("baseline_rpm")).scalar()
-    only = known.agg(
-        F.when((F.count("*") == 1) & (has_baseline == 0), F.min("endpoint"))
-    ).scalar()
-    scalar = history_totals.select("baseline_scalar").scalar()
-    extra = known.select(
+    universe = endpoint_universe(history, recent).withColumn("pair", F.lit(0))
+    scalar = history_totals.select(F.lit(0).alias("pair"), "baseline_scalar")
+    without = history.agg(F.count("baseline_rpm")).scalar() == 0
+    only = single_endpoint_baseline(universe, scalar, ["pair"]).filter(without)
+    extra = universe.select("endpoint").join(only.drop("pair"), "endpoint", "left").select(
         "endpoint",
         F.lit(None).cast("bigint").alias("requests"),
         F.lit(None).cast("bigint").alias("response_bytes"),
         F.lit(None).cast("double").alias("error_rate"),
-        F.when(F.col("endpoint") == only, scalar).alias("baseline_rpm"),
+        "baseline_rpm",
     )
     largest = [F.max(name).alias(name) for name in extra.columns if name != "endpoint"]
     history = stage(history.unionByName(extra).groupBy("endpoint").agg(*largest), "history")
@@ -121,9 +130,32 @@ def view_of_documents(
         minimum_requests,
         history_totals,
         recent_totals,
+        recent_totals.select("generated_at").scalar(),
     )
 
 
+def write_view(view: dict[str, DataFrame], output: str) -> None:
+    """Write the view as tables, and as JSON rows under ``lines``."""
+    write_serving_view(view, output)
+    spark = next(iter(view.values())).sparkSession
+    stored = {name: spark.read.parquet(f"{output}/{name}") for name in view}
+    write_view_lines(view_lines(stored), f"{output}/lines")
+
+
+def run_serving_documents(
+    spark: SparkSession,
+    batch_document: str,
+    speed_document: str,
+    output: str,
+    ratio: float = TRAFFIC_SPIKE_RATIO,
+    minimum_requests: int = MINIMUM_REQUESTS_FOR_SPIKE,
+) -> None:
+    """Write the serving view of two JSON documents, each named by its path."""
+    configure(spark)
+    read = lambda path: read_documents(spark, path, "*")
+    write_view(view_of_documents(read(batch_document), read(speed_document), ratio, minimum_requests), output)
+
+
 def run_serving(
     spark: SparkSession,
     batch_path: str,
@@ -140,27 +172,29 @@ def run_serving(
     """
     configure(spark)
     names = ["window_summary", "endpoints", "status_code_distribution", "anomalies"]
+    made = None
     if stream is None:
         snapshot = {name: spark.read.parquet(f"{snapshot_path}/{name}") for name in names}
     else:
         snapshot = {name: stream.read_snapshot(spark, name) for name in names}
+        made = iso_text(F.lit(stream.latest(spark)["generated_at"]))
     tables = read_batch_tables(spark, batch_path, file_format)
     try:
         tables["endpoint_summary"] = spark.read.parquet(f"{batch_path}/endpoint_summary")
     except AnalysisException:
         pass  # tables of another writer
-    view = view_of_tables(spark, tables, snapshot, ratio, minimum_requests)
-    write_serving_view(view, output)
-    stored = {name: spark.read.parquet(f"{output}/{name}") for name in view}
-    write_view_lines(view_lines(stored), f"{output}/lines")
+    write_view(view_of_tables(spark, tables, snapshot, ratio, minimum_requests, made), output)
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--batch", required=True)
+    past = parser.add_mutually_exclusive_group(required=True)
+    past.add_argument("--batch", help="output of the batch job")
+    past.add_argument("--batch-document", help="a JSON document, together with --speed-document")
     recent = parser.add_mutually_exclusive_group(required=True)
     recent.add_argument("--snapshot", help="output of the global window job")
     recent.add_argument("--stream", help="output of the stream job")
+    recent.add_argument("--speed-document", help="a JSON document")
     parser.add_argument(
         "--window-seconds", type=int, default=WINDOW_SECONDS, help="of a stream whose markers have no settings"
     )
@@ -169,6 +203,18 @@ def main() -> None:
     parser.add_argument("--traffic-spike-ratio", type=float, default=TRAFFIC_SPIKE_RATIO)
     parser.add_argument("--minimum-requests", type=int, default=MINIMUM_REQUESTS_FOR_SPIKE)
     arguments = parser.parse_args()
+    if bool(arguments.batch_document) != bool(arguments.speed_document):
+        parser.error("--batch-document and --speed-document belong together")
+    if arguments.batch_document:
+        run_serving_documents(
+            build_session("tidelog-serving"),
+            arguments.batch_document,
+            arguments.speed_document,
+            arguments.output,
+            arguments.traffic_spike_ratio,
+            arguments.minimum_requests,
+        )
+        return
     run_serving(
         build_session("tidelog-serving"),
         arguments.batch,

@@ -17,6 +17,18 @@ EVENT_SOURCE = "nginx_access_log"
 DELTA_DOCUMENT_TYPE = "speed_batch_delta"
 ANOMALY_REASON = "recent error rate reached the configured threshold"
 
+# What a snapshot says about itself.
+SNAPSHOT_SCHEMA_VERSION = 1
+SNAPSHOT_LAYER = "speed"
+
+# What a serving view says about itself.
+VIEW_SCHEMA_VERSION = 2
+VIEW_TYPE = "historical_and_recent"
+VIEW_NOTE = (
+    "The two sides cover different lengths of time: compare rates and shares, not counts. "
+    "A significant increase reaches both the ratio and the number of requests of this view."
+)
+
 # Defaults.
 ERROR_STATUS = 400
 WINDOW_SECONDS = 300

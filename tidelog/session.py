@@ -48,3 +48,31 @@ def stage(table: DataFrame, name: str) -> DataFrame:
     path = scratch_path(table.sparkSession, name)
     table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path as it knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = file_system(spark, path)
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, none if there is no such folder."""
+    files, place = file_system(spark, path)
+    return sorted(found.getPath().getName() for found in files.listStatus(place)) if files.exists(place) else []
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Does any path look like the pattern?"""
+    files, place = file_system(spark, pattern)
+    return bool(files.globStatus(place))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = file_system(spark, path)
+    files.delete(place, True)

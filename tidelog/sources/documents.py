@@ -11,7 +11,8 @@ from tidelog.functions.documents import (
     as_map,
     field,
     is_object,
-    parse_document,
+    parse_parts,
+    parse_small,
     real_number,
     whole_number,
 )
@@ -32,14 +33,20 @@ def read_documents(spark: SparkSession, path: str, pattern: str = "*.json") -> D
 
 
 def parse_delta_documents(documents: DataFrame) -> DataFrame:
-    """``doc_key``, ``valid_document``, ``events`` (list of VARIANT, null if invalid)."""
-    parsed = with_once(documents, document=parse_document(F.col("value"), F.col("doc_key")))
-    document = F.col("document")
-    listed = F.when(
-        field(document, "document_type", "string") == DELTA_DOCUMENT_TYPE,
-        as_list(document, "$.events"),
-    )
-    return with_once(parsed, events=listed).select(
+    """``doc_key``, ``valid_document``, ``events`` (list of VARIANT, null if invalid).
+
+    A document too large for a VARIANT is read element by element.
+    """
+    value = F.col("value")
+    parsed = with_once(documents, document=parse_small(value))
+    split = with_once(
+        parsed, parts=parse_parts(value, F.col("document"), "document_type VARIANT, events ARRAY<VARIANT>")
+    )
+    document, parts = F.col("document"), F.col("parts")
+    of_type = lambda kind: F.try_variant_get(kind, "$", "string") == DELTA_DOCUMENT_TYPE
+    small = F.when(of_type(field(document, "document_type", "variant")), as_list(document, "$.events"))
+    large = F.when(of_type(parts["document_type"]), parts["events"])
+    return with_once(split, events=F.coalesce(small, large)).select(
         "doc_key", F.col("events").isNotNull().alias("valid_document"), "events"
     )
 
@@ -54,46 +61,62 @@ def delta_elements(parsed_documents: DataFrame) -> DataFrame:
     )
 
 
-# The delta table a stream job keeps: event fields, identity, place, partition columns.
-DELTA_SCHEMA = (
-    "event_id STRING, sequence_number STRING, timestamp TIMESTAMP, client_ip STRING, "
-    "method STRING, endpoint STRING, status_code BIGINT, response_bytes BIGINT, "
-    "source STRING, identity STRING, position BIGINT, event_date STRING, "
-    "event_hour STRING, batch_id BIGINT"
-)
-
-
-def read_delta_table(spark: SparkSession, path: str) -> DataFrame:
-    """The delta table of a stream job, shaped like decoded delta documents.
-
-    A micro-batch takes the place of a document; all stored events are valid.
-    """
-    stored = spark.read.schema(DELTA_SCHEMA).parquet(path)
-    return stored.withColumns(
-        {
-            "doc_key": F.lpad(F.col("batch_id").cast("string"), 20, "0"),
-            "valid_document": F.lit(True),
-            "valid": F.lit(True),
-        }
-    ).drop("event_date", "event_hour", "batch_id")
-
-
 def _first_object(document: Column, names: list[str]) -> Column:
     """The first named member that is an object, else the document itself."""
     members = [field(document, name, "variant") for name in names]
     return F.coalesce(*[F.when(is_object(member), member) for member in members], document)
 
 
+# Members of a metric document: maps from a key to a number or object, and single values.
+MAP_MEMBERS = [*COUNT_METRICS, "error_rates"]
+SINGLE_MEMBERS = [
+    "total_valid_records",
+    "window_event_count",
+    "total_response_bytes",
+    "window_seconds",
+    "window_start",
+    "window_end",
+    "baseline_rpm",
+]
+ROOT_MEMBERS = [*SINGLE_MEMBERS, "generated_at", "anomalies"]
+
+
+def _parts_schema(names: list[str]) -> str:
+    """Schema of a large metric document whose metrics may lie in one of the members."""
+    maps = [f"{name} MAP<STRING, VARIANT>" for name in MAP_MEMBERS]
+    single = [f"{name} VARIANT" for name in SINGLE_MEMBERS]
+    inner = ", ".join(f"{text.replace(' ', ': ', 1)}" for text in (*maps, *single))
+    nested = [f"{name} STRUCT<{inner}>" for name in names]
+    return ", ".join([*nested, *maps, *[f"{name} VARIANT" for name in ROOT_MEMBERS]])
+
+
 def parse_metric_documents(documents: DataFrame, layer: str) -> DataFrame:
     """Metric documents of one layer (``batch`` or ``speed``), one row each.
 
     ``root`` is the document, ``metrics`` the object that holds the metrics. Text that
-    is not a JSON object gives null in both.
+    is not a JSON object gives null in both. Of a document too large for a VARIANT both
+    hold the single values, and ``maps`` holds its maps.
     """
     names = {"batch": ["batch_metrics", "metrics", "snapshot"], "speed": ["snapshot"]}[layer]
-    parsed = with_once(documents, parsed=parse_document(F.col("value"), F.col("doc_key")))
-    rooted = with_once(parsed, root=F.when(is_object(F.col("parsed")), F.col("parsed")))
-    return rooted.select("doc_key", "root", _first_object(F.col("root"), names).alias("metrics"))
+    value = F.col("value")
+    parsed = with_once(documents, parsed=parse_small(value))
+    split = with_once(parsed, parts=parse_parts(value, F.col("parsed"), _parts_schema(names)))
+    parts = F.col("parts")
+    own = F.struct(*[parts[name].alias(name) for name in (*MAP_MEMBERS, *SINGLE_MEMBERS)])
+    taken = with_once(
+        split,
+        root=F.when(is_object(F.col("parsed")), F.col("parsed")),
+        part=F.when(parts.isNotNull(), F.coalesce(*[parts[name] for name in names], own)),
+    )
+    part = F.col("part")
+    single = lambda of, members: F.to_variant_object(F.struct(*[of[name].alias(name) for name in members]))
+    small_metrics = _first_object(F.col("root"), names)
+    return taken.select(
+        "doc_key",
+        F.when(parts.isNotNull(), single(parts, ROOT_MEMBERS)).otherwise(F.col("root")).alias("root"),
+        F.when(parts.isNotNull(), single(part, SINGLE_MEMBERS)).otherwise(small_metrics).alias("metrics"),
+        F.when(parts.isNotNull(), F.struct(*[part[name].alias(name) for name in MAP_MEMBERS])).alias("maps"),
+    )
 
 
 def _members(documents: DataFrame, metrics: list[str]) -> DataFrame:
@@ -102,7 +125,7 @@ def _members(documents: DataFrame, metrics: list[str]) -> DataFrame:
         *[
             F.struct(
                 F.lit(metric).alias("metric"),
-                as_map(F.col("metrics"), f"$.{metric}").alias("members"),
+                F.coalesce(as_map(F.col("metrics"), f"$.{metric}"), F.col("maps")[metric]).alias("members"),
             )
             for metric in metrics
         ]
@@ -133,13 +156,17 @@ def sanitize_rates(documents: DataFrame, metric: str = "error_rates") -> DataFra
 
 
 def metric_rows(documents: DataFrame) -> DataFrame:
-    """All per-key metrics of the documents in long form: ``doc_key, metric, key, value``."""
-    count = F.try_variant_get("item", "$", "bigint").cast("double")
-    value = F.when(F.col("metric") == "error_rates", _rate_of(F.col("item"))).otherwise(count)
-    rows = _members(documents, [*COUNT_METRICS, "error_rates"]).select(
-        "doc_key", "metric", "key", value.alias("value")
+    """All per-key metrics of the documents in long form: ``doc_key, metric, key`` and
+    ``count``, or ``rate`` for error rates."""
+    is_rate = F.col("metric") == "error_rates"
+    rows = _members(documents, MAP_MEMBERS).select(
+        "doc_key",
+        "metric",
+        "key",
+        F.when(~is_rate, F.try_variant_get("item", "$", "bigint")).alias("count"),
+        F.when(is_rate, _rate_of(F.col("item"))).alias("rate"),
     )
-    return rows.filter(F.col("value").isNotNull())
+    return rows.filter(F.coalesce(F.col("count").cast("double"), F.col("rate")).isNotNull())
 
 
 def document_totals(documents: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
-"""The recent-traffic job: transport records in, deltas and a window snapshot out.
+"""The recent-traffic job: transport records in, stored records and a window snapshot out.
 
-Every micro-batch is decoded once. Valid events are added to the delta table, the rest
-goes to a dead-letter table. Then the window is computed from the few delta partitions
-it can touch, so the cost of a trigger follows the window and not the history. There is
-no streaming state: late events inside the window count, older ones are only stored.
+Every micro-batch is decoded once and written once, valid events and the rest side by
+side. Then the window is computed from the few hours it can touch, so the cost of a
+trigger follows the window and not the history. There is no streaming state: late events
+inside the window count, older ones are only stored.
 
-A micro-batch that runs again replaces what it wrote the first time. Results of the
-latest two micro-batches are kept in two slots, and the slot's marker is written last,
-so there is always one complete snapshot.
+A micro-batch that runs again replaces what it wrote the first time. Its snapshot is a new
+version each time; a marker, written last, says which version is the latest, so readers
+always find a complete one, and one they have begun to read stays as it is.
 """
 
 from __future__ import annotations
@@ -15,72 +15,48 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
+from uuid import uuid4
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.functions.columns import blank_to_null
 from tidelog.operators.aggregates import minute_facts
-from tidelog.operators.events import decode_records, invocation_summary
+from tidelog.operators.events import decode_records
+from tidelog.operators.latency import latency_report
 from tidelog.operators.window import recent_window
 from tidelog.plans.global_window import window_sections
 from tidelog.plans.sinks import write_table
 from tidelog.schema import (
-    DELTA_EVENT_FIELDS,
     ERROR_RATE_THRESHOLD,
     MINIMUM_REQUESTS_FOR_ANOMALY,
+    SNAPSHOT_LAYER,
+    SNAPSHOT_SCHEMA_VERSION,
     WINDOW_SECONDS,
     check_anomaly_thresholds,
     check_window,
 )
-from tidelog.session import build_session, configure
-from tidelog.sources.documents import DELTA_SCHEMA
+from tidelog.session import build_session, children, configure, remove
 from tidelog.sources.envelopes import explode_records
 from tidelog.sources.logs import stream_lines
+from tidelog.streaming.batch_log import BatchLog
+from tidelog.streaming.records import INVALID, RecordStore, record_rows
 
-SLOTS = 2
+#: Snapshots that stay for readers, the latest included.
+KEPT_VERSIONS = 20
 #: What a marker holds of the settings its snapshot was made with.
 SETTINGS = {"window_seconds": "bigint", "error_rate_threshold": "double", "minimum_requests": "bigint"}
-STATE_SCHEMA = ", ".join(
-    ["batch_id bigint", "newest bigint", *[f"{name} {kind}" for name, kind in SETTINGS.items()], "slot int"]
+SUMMARY = ["received_records", "processed_records", "invalid_records", "window_event_count", "anomaly_count"]
+MARKER_FIELDS = ", ".join(
+    [
+        "schema_version int, layer string, generated_at timestamp, version string, newest bigint",
+        *[f"{name} bigint" for name in SUMMARY],
+        *[f"{name} {kind}" for name, kind in SETTINGS.items()],
+    ]
 )
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
-def delta_rows(decoded: DataFrame, batch_id: int) -> DataFrame:
-    """The valid events of a micro-batch as rows of the delta table."""
-    identity = F.coalesce(
-        F.concat(F.lit("event_id:"), blank_to_null(F.col("event_id"))),
-        F.concat(F.lit("sequence_number:"), F.col("sequence_number")),
-    )
-    return decoded.filter("valid").select(
-        *DELTA_EVENT_FIELDS,
-        identity.alias("identity"),
-        F.monotonically_increasing_id().alias("position"),
-        F.date_format("timestamp", "yyyy-MM-dd").alias("event_date"),
-        F.date_format("timestamp", "HH").alias("event_hour"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-
-
-def write_delta(deltas: DataFrame, path: str) -> None:
-    """Add a micro-batch to the delta table, replacing an earlier attempt of it.
-
-    The rebalance hint lets Spark merge small hours into one file and split large ones
-    by size, so an hour that holds most of the events is not one task.
-    """
-    (
-        deltas.hint("rebalance", "event_date", "event_hour")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "event_hour", "batch_id")
-        .parquet(path)
-    )
-
-
 def first_copies(deltas: DataFrame) -> DataFrame:
     """One event per identity: the copy of the earliest micro-batch and position."""
     place = F.struct("batch_id", "position")
@@ -92,22 +68,6 @@ def first_copies(deltas: DataFrame) -> DataFrame:
     )
 
 
-def read_deltas(
-    spark: SparkSession, path: str, newest_micros: int, window_seconds: int
-) -> DataFrame:
-    """Stored events from the hours that a window ending at ``newest`` touches."""
-    newest = EPOCH + timedelta(microseconds=newest_micros)
-    oldest = newest - timedelta(seconds=window_seconds)
-    hour = oldest.replace(minute=0, second=0, microsecond=0)
-    hours = []
-    while hour <= newest:
-        hours.append(f"event_date={hour:%Y-%m-%d}/event_hour={hour:%H}")
-        hour += timedelta(hours=1)
-    # The hour of the newest event exists, so the pattern always matches.
-    found = f"{path}/{{{','.join(hours)}}}"
-    return spark.read.schema(DELTA_SCHEMA).option("basePath", path).parquet(found)
-
-
 @dataclass(frozen=True)
 class StreamJob:
     """Where a stream job writes and how it judges the window."""
@@ -116,6 +76,7 @@ class StreamJob:
     window_seconds: int = WINDOW_SECONDS
     error_rate_threshold: float = ERROR_RATE_THRESHOLD
     minimum_requests: int = MINIMUM_REQUESTS_FOR_ANOMALY
+    kept_versions: int = KEPT_VERSIONS
 
     def __post_init__(self) -> None:
         check_window(self.window_seconds)
@@ -123,102 +84,153 @@ class StreamJob:
 
     @property
     def deltas(self) -> str:
-        return f"{self.root}/deltas"
-
-    @property
-    def dead_letter(self) -> str:
-        return f"{self.root}/dead_letter"
+        return f"{self.root}/records"
 
     @property
-    def invocations(self) -> str:
-        return f"{self.root}/invocations"
+    def store(self) -> RecordStore:
+        return RecordStore(self.deltas)
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
-        """Handle one micro-batch of envelope lines."""
+        """Handle one micro-batch of envelope lines (``value``)."""
         spark = lines.sparkSession
-        decoded = decode_records(explode_records(lines)).persist(StorageLevel.DISK_ONLY)
-        try:
-            write_delta(delta_rows(decoded, batch_id), self.deltas)
-            failed = decoded.filter(~F.col("valid")).select("identifier", "record_index", "payload")
-            write_table(failed, f"{self.dead_letter}/batch_id={batch_id}")
-            self._refresh(spark, decoded, batch_id)
-        finally:
-            decoded.unpersist()
-
-    def _refresh(self, spark: SparkSession, decoded: DataFrame, batch_id: int) -> None:
-        slot = batch_id % SLOTS
-        latest = F.max(F.unix_micros("timestamp"))
-        arrived = decoded.filter("valid").agg(latest).first()[0]
-        known = [arrived, self._stored_newest(spark, batch_id)]
+        text = lines.select(F.col("value").cast("string").alias("value"))
+        decoded = decode_records(explode_records(text)).withColumn("processed_at", F.current_timestamp())
+        counts = self.store.write(record_rows(decoded, batch_id), batch_id)
+        known = [counts.get("newest"), self._stored_newest(spark, batch_id)]
         newest = max((time for time in known if time is not None), default=None)
-        if newest is None:
-            summary = invocation_summary(decoded, F.lit(0), F.lit(0))
-            write_table(summary, f"{self.invocations}/batch_id={batch_id}")
-            return
-        deltas = read_deltas(spark, self.deltas, newest, self.window_seconds)
-        in_reach = recent_window(deltas, self.window_seconds, newest=F.timestamp_micros(F.lit(newest)))
-        write_table(minute_facts(first_copies(in_reach)), f"{self.root}/snapshot/slot={slot}")
-
-        sections = self._sections(spark, slot)
-        events = sections["window_summary"].select("window_event_count").scalar()
-        anomalies = sections["anomalies"].agg(F.count("*")).scalar()
-        summary = invocation_summary(decoded, events, anomalies)
-        write_table(summary, f"{self.invocations}/batch_id={batch_id}")
-
-        marker = spark.range(1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        version = None if newest is None else f"{batch_id:012d}-{uuid4().hex}"
+        found = {name: counts.get(name) or 0 for name in SUMMARY[:3]}
+        found["window_event_count"] = 0
+        anomalies = spark.range(0).agg(F.count("*").alias("anomaly_count"))
+        if version is not None:
+            found["window_event_count"] = self._write_snapshot(spark, version, newest)
+            anomalies = self._sections(spark, version)["anomalies"].agg(F.count("*").alias("anomaly_count"))
+        self._write_marker(anomalies, found, version, newest, batch_id)
+        self._forget(spark)
+
+    def _write_snapshot(self, spark: SparkSession, version: str, newest: int) -> int:
+        """Write the facts of the window that ends at ``newest``; its number of events."""
+        end = EPOCH + timedelta(microseconds=newest)
+        near = self.store.events_between(spark, end - timedelta(seconds=self.window_seconds), end)
+        in_reach = recent_window(near, self.window_seconds, newest=F.timestamp_micros(F.lit(newest)))
+        count = Observation()
+        facts = minute_facts(first_copies(in_reach)).observe(count, F.sum("requests").alias("events"))
+        write_table(facts, f"{self.root}/snapshot/version={version}")
+        return count.get["events"]
+
+    def _write_marker(
+        self, anomalies: DataFrame, found: dict, version: str | None, newest: int | None, batch_id: int
+    ) -> None:
+        """The summary of a micro-batch, which also makes its snapshot the latest one."""
+        fixed = {name: F.lit(value).cast("bigint") for name, value in found.items()}
+        marker = anomalies.select(
+            F.lit(SNAPSHOT_SCHEMA_VERSION).cast("int").alias("schema_version"),
+            F.lit(SNAPSHOT_LAYER).alias("layer"),
+            F.current_timestamp().alias("generated_at"),
+            F.lit(version).cast("string").alias("version"),
             F.lit(newest).cast("bigint").alias("newest"),
+            *[fixed[name].alias(name) if name in fixed else F.col(name) for name in SUMMARY],
             *[F.lit(getattr(self, name)).cast(kind).alias(name) for name, kind in SETTINGS.items()],
         )
-        write_table(marker, f"{self.root}/state/slot={slot}")
+        self.marker_log.write(marker, batch_id)
 
-    def _sections(self, spark: SparkSession, slot: int) -> dict[str, DataFrame]:
-        """The tables of the snapshot in a slot; what is stored are the window's facts."""
+    def _forget(self, spark: SparkSession) -> None:
+        """Remove the snapshots before the last ``kept_versions``; their markers stay."""
+        folder = f"{self.root}/snapshot"
+        for name in children(spark, folder)[: -self.kept_versions]:
+            remove(spark, f"{folder}/{name}")
+
+    def _sections(self, spark: SparkSession, version: str) -> dict[str, DataFrame]:
+        """The tables of a snapshot; what is stored are the window's facts."""
         return window_sections(
-            spark.read.parquet(f"{self.root}/snapshot/slot={slot}"),
+            spark.read.parquet(f"{self.root}/snapshot/version={version}"),
             self.window_seconds,
             self.error_rate_threshold,
             self.minimum_requests,
         )
 
-    def _states(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/state")
-        except AnalysisException:
-            return None
+    @property
+    def marker_log(self) -> BatchLog:
+        return BatchLog(f"{self.root}/markers", MARKER_FIELDS)
+
+    def markers(self, spark: SparkSession) -> DataFrame:
+        """One row per micro-batch: what it received, its snapshot and its settings."""
+        return self.marker_log.read(spark)
+
+    def read_invocations(self, spark: SparkSession) -> DataFrame:
+        """The summary of every micro-batch."""
+        return self.markers(spark).select("batch_id", *SUMMARY)
+
+    def read_dead_letters(self, spark: SparkSession) -> DataFrame:
+        """Records that could not be read, with what is needed to send them again."""
+        return self.store.read(spark, INVALID).select("batch_id", "identifier", "record_index", "payload")
+
+    def read_latency(self, spark: SparkSession, runtime_seconds: float | Column) -> DataFrame:
+        """Latency and throughput of all that was stored, from the counts kept beside it."""
+        return latency_report(self.store.latencies(spark), runtime_seconds)
 
     def _stored_newest(self, spark: SparkSession, batch_id: int) -> int | None:
         """Time (microseconds) of the newest event of the micro-batches before this one."""
-        states = self._states(spark)
-        if states is None:
-            return None
-        return states.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        before = self.marker_log.last(spark, batch_id)
+        return None if before is None else before["newest"]
+
+    def latest(self, spark: SparkSession):
+        """The marker of the latest snapshot: version, time, settings."""
+        found = self.marker_log.last(spark)
+        if found is None or found["version"] is None:
+            raise ValueError("the stream has not written a snapshot yet")
+        return found
 
     def read_snapshot(self, spark: SparkSession, section: str) -> DataFrame:
         """A section of the latest complete snapshot, with the settings it was made with.
 
         The settings of this object hold only for a marker that has none.
         """
-        states = self._states(spark)
-        if states is None:
-            raise ValueError("the stream has not written a snapshot yet")
-        latest = states.orderBy(F.desc("batch_id")).first()
+        latest = self.latest(spark)
         written = {name: latest[name] for name in SETTINGS if latest[name] is not None}
-        return replace(self, **written)._sections(spark, latest["slot"])[section]
+        return replace(self, **written)._sections(spark, latest["version"])[section]
+
+    def read_metadata(self, spark: SparkSession) -> DataFrame:
+        """One row about the latest snapshot: schema version, layer, time, settings."""
+        latest = self.latest(spark)
+        return self.markers(spark).filter(F.col("batch_id") == latest["batch_id"])
+
+    def compact(self, spark: SparkSession, keep_seconds: int | None = None) -> int | None:
+        """Bring together the small partitions of all finished micro-batches.
+
+        ``keep_seconds`` gives up events older than that before the newest one. What is
+        no longer needed goes with the compaction after the next.
+        """
+        configure(spark)
+        done = self.marker_log.last(spark)
+        if done is None:
+            return None
+        keep_from = None
+        if keep_seconds is not None and done["newest"] is not None:
+            kept = timedelta(seconds=max(keep_seconds, self.window_seconds))
+            keep_from = EPOCH + timedelta(microseconds=done["newest"]) - kept
+        version = self.store.compact(spark, done["batch_id"], keep_from=keep_from)
+        self.store.vacuum(spark)
+        self.marker_log.fold(spark, done["batch_id"])
+        return version
 
     def start(
         self,
         spark: SparkSession,
-        source: str,
+        source: str | DataFrame,
         checkpoint: str,
         files_per_trigger: int | None = None,
         every: str | None = None,
     ) -> StreamingQuery:
-        """Follow the files under ``source``; without ``every`` stop when all are done."""
+        """Follow the files under ``source``, or any stream with a column ``value``.
+
+        Without ``every`` the job stops when all that is there has been handled.
+        """
         configure(spark)
         trigger = {"processingTime": every} if every else {"availableNow": True}
+        lines = stream_lines(spark, source, files_per_trigger) if isinstance(source, str) else source
         return (
-            stream_lines(spark, source, files_per_trigger)
+            lines.select("value")
             .writeStream.foreachBatch(self.process)
             .option("checkpointLocation", checkpoint)
             .trigger(**trigger)
@@ -228,14 +240,18 @@ class StreamJob:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Recent-traffic stream job")
-    parser.add_argument("--input", required=True)
+    parser.add_argument("--input", help="files to follow; without it --compact is all that is done")
     parser.add_argument("--output", required=True)
-    parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--checkpoint")
     parser.add_argument("--every", default=None, help="such as '10 seconds'")
+    parser.add_argument("--compact", action="store_true", help="bring together what has been written")
+    parser.add_argument("--keep-seconds", type=int, default=None, help="give up older events when compacting")
     parser.add_argument("--window-seconds", type=int, default=WINDOW_SECONDS)
     parser.add_argument("--error-rate-threshold", type=float, default=ERROR_RATE_THRESHOLD)
     parser.add_argument("--minimum-requests", type=int, default=MINIMUM_REQUESTS_FOR_ANOMALY)
     arguments = parser.parse_args()
+    if not arguments.compact and not (arguments.input and arguments.checkpoint):
+        parser.error("--input and --checkpoint are needed to follow a stream")
     job = StreamJob(
         arguments.output,
         arguments.window_seconds,
@@ -243,7 +259,10 @@ def main() -> None:
         arguments.minimum_requests,
     )
     spark = build_session("tidelog-stream")
-    job.start(spark, arguments.input, arguments.checkpoint, every=arguments.every).awaitTermination()
+    if arguments.input:
+        job.start(spark, arguments.input, arguments.checkpoint, every=arguments.every).awaitTermination()
+    if arguments.compact:
+        job.compact(spark, arguments.keep_seconds)
 
 
 if __name__ == "__main__":

@@ -52,6 +52,7 @@ LINES = f"lines AS ({derive.lines(D)})"
 # Everything the batch rule reads from the log.
 BATCH = f"WITH {LINES}, {_parsed('lines')}"
 # The replay rule first drops blanks around a line.
+PARSED_TRIMMED = _parsed("trimmed")
 REPLAY = f"WITH {LINES}, trimmed AS (SELECT trim(value) AS value FROM lines), {_parsed('trimmed')}"
 
 

@@ -13,8 +13,10 @@ from tidelog.operators.events import decode_records
 from tidelog.operators.dedup import dedup_events, delta_events
 from tidelog.operators.parse import parse_lines, valid_events
 from tidelog.operators.window import recent_window, split_by_window
+from tidelog.plans.incremental_window import IncrementalWindow
 from tidelog.session import configure, scratch_path, stage
 from tidelog.sources.envelopes import explode_records
+from tidelog.sources.event_table import EventTable
 from tidelog.workload import derive
 
 # What the queries ask for: a window of a minute, and spikes from 1.5 times on.
@@ -61,6 +63,12 @@ class Frames:
         self.lines().repartition(files).write.text(path)
         return path
 
+    def event_table(self) -> EventTable:
+        """The log as a stored event table in a fresh folder."""
+        table = EventTable(self.spark, self.scratch("event-table"))
+        table.write(self.lines())
+        return table
+
     def parsed(self) -> DataFrame:
         return parse_lines(self.lines())
 
@@ -106,6 +114,15 @@ class Frames:
     def classified(self) -> DataFrame:
         return dedup_events(stage(delta_events(self.delta_documents()), "decoded"))
 
+    def incremental(self) -> IncrementalWindow:
+        """The delta documents handled in three runs, the last third of them first."""
+        job = IncrementalWindow(self.scratch("incremental"), WINDOW)
+        third = F.pmod(F.substring("doc_key", 5, 10).cast("bigint"), F.lit(3))
+        documents = self.delta_documents()
+        for run in range(3):
+            job.process(documents.filter(third == 2 - run), run)
+        return job
+
     def metric_documents(self) -> DataFrame:
         return self.sql(derive.metric_documents(self.dialect)).select("doc_key", "value")
 

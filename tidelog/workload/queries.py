@@ -26,8 +26,11 @@ from tidelog.plans import batch, global_window, sinks
 from tidelog.plans.parity import batch_stream_values
 from tidelog.session import stage
 from tidelog.sources import documents, generator, logs, tables
-from tidelog.streaming.job import StreamJob, delta_rows, write_delta
-from tidelog.streaming.replay import delivery_statistics, read_event_stream, write_event_stream
+from tidelog.sources.event_table import VALID
+from tidelog.streaming.job import StreamJob
+from tidelog.streaming.records import RecordStore, record_rows
+from tidelog.operators.replay import replay_records, replay_statistics
+from tidelog.streaming.replay import read_event_stream, write_event_stream
 from tidelog.workload import derive
 from tidelog.workload.expected import (
     BATCH,
@@ -37,6 +40,7 @@ from tidelog.workload.expected import (
     GLOBAL,
     ISO,
     LINES,
+    PARSED_TRIMMED,
     PAYLOADS,
     RECORDS,
     REPLAY,
@@ -80,6 +84,24 @@ def _(f: Frames):
     return lines.select(F.trim("value").alias("value"))
 
 
+@query(
+    "scan_event_table",
+    f"""{BATCH} SELECT coalesce(reason, 'valid') AS kind, strftime(valid_ts, '%Y-%m-%d') AS event_date,
+        strftime(valid_ts, '%H') AS event_hour, count(*) AS lines, min(CASE WHEN reason IS NOT NULL
+        THEN raw_line END) AS first_rejected, sum(CASE WHEN reason IS NULL THEN response_bytes END)::BIGINT
+        AS response_bytes
+    FROM (SELECT *, CASE WHEN reason IS NULL THEN ts END AS valid_ts FROM parsed) p GROUP BY 1, 2, 3""",
+)
+def _(f: Frames):
+    table = f.event_table()
+    table.write(f.lines())  # A load that is written again replaces itself.
+    return table.lines().groupBy("kind", "event_date", "event_hour").agg(
+        F.count("*").alias("lines"),
+        F.min("raw_line").alias("first_rejected"),
+        F.sum("response_bytes").alias("response_bytes"),
+    )
+
+
 @query(
     "scan_stream_envelope",
     f"""{RECORDS} SELECT invocation, record_index, broken <> 'object' AS is_record,
@@ -123,7 +145,8 @@ _METRICS = f"""WITH m AS ({derive.minute_counts(D)}),
 def _(f: Frames):
     files = documents.read_documents(f.spark, f.document_files(f.metric_documents()), "*.txt")
     rows = documents.metric_rows(documents.parse_metric_documents(files, "batch"))
-    return rows.withColumn("doc_key", path_key(F.col("doc_key")))
+    value = F.coalesce("rate", F.col("count").cast("double"))
+    return rows.select(path_key(F.col("doc_key")).alias("doc_key"), "metric", "key", value.alias("value"))
 
 
 @query(
@@ -221,16 +244,13 @@ def _(f: Frames):
 
 @query(
     "generate_load_events",
-    """SELECT '10.20.' || (i // 250 % 250) || '.' || (i % 250 + 1) AS client_ip,
-        '2024-01-01 00:00:00' AS timestamp, 'GET' AS method, '/load' AS endpoint,
-        'HTTP/1.1' AS protocol, CASE WHEN (i + 1) % 20 = 0 THEN 500 ELSE 200 END AS status_code,
-        200 + i % 50 AS response_bytes, '-' AS referrer, 'lambda-s3-load-benchmark' AS user_agent
-    FROM (SELECT unnest(range(0, (SELECT count(*) FROM events))) AS i) r""",
+    f"""WITH r AS ({derive.requests(D)}) SELECT client_ip, {TIME.format('make_timestamp(sec * 1000000)')} AS timestamp,
+        method, '/load' AS endpoint, 'HTTP/1.1' AS protocol,
+        CASE WHEN (id + 1) % 20 = 0 THEN 500 ELSE 200 END AS status_code,
+        200 + id % 50 AS response_bytes, '-' AS referrer, 'tidelog-load' AS user_agent FROM r""",
 )
 def _(f: Frames):
-    volume = f.requests().count()
-    at = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
-    return generator.generate_load_events(f.spark, volume, "/load", at)
+    return generator.load_events(f.requests(), "/load")
 
 
 # ---------------------------------------------------------------- sinks
@@ -311,6 +331,24 @@ def _(f: Frames):
     )
 
 
+@query(
+    "replay_ids",
+    rf"""WITH {LINES}, trimmed AS (
+        SELECT trim(regexp_replace(value, '\[[^]]*\]', '[01/Jan/2024:00:00:00 +0000]')) AS value FROM lines),
+    {PARSED_TRIMMED},
+    sent AS (SELECT endpoint, 'run-1-' || md5(chr(10) || raw_line) || '-'
+        || (row_number() OVER (PARTITION BY raw_line) - 1) AS sequence_number FROM valid)
+    SELECT endpoint, sequence_number, regexp_replace(md5(sequence_number),
+        '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\1-\2-\3-\4-\5') AS event_id FROM sent""",
+)
+def _(f: Frames):
+    # With one time for all lines many are equal; each must keep an id of its own.
+    at = F.regexp_replace("value", r"\[[^\]]*\]", "[01/Jan/2024:00:00:00 +0000]")
+    records = replay_records(f.lines().select(F.trim(at).alias("value")), "run-1")
+    event = lambda name: F.get_json_object("payload", f"$.{name}").alias(name)
+    return records.select(event("endpoint"), "sequence_number", event("event_id"))
+
+
 @query(
     "replay_statistics",
     f"""{REPLAY} SELECT count(*) AS total_lines, count(*) FILTER (reason IS NULL) AS valid_records,
@@ -320,12 +358,11 @@ def _(f: Frames):
 def _(f: Frames):
     path = f.scratch("stream")
     write_event_stream(f.lines(), path, "run-1")
-    counted = delivery_statistics(f.lines(), read_event_stream(f.spark, path))
-    fit = F.col("batches_sent") * 500 >= F.col("successful_records")
-    return counted.withColumn("batches_fit", fit).drop("batches_sent")
+    return replay_statistics(f.lines(), read_event_stream(f.spark, path)).drop("batches_sent")
 
 
-_DELTA = f"""{RECORDS} SELECT event_id, identifier AS sequence_number,
+_DELTA = f"""{RECORDS} SELECT event_id,
+    CASE WHEN identifier LIKE 'record-%' THEN '' ELSE identifier END AS sequence_number,
     {TIME.format('make_timestamp(sec * 1000000)')} AS timestamp, client_ip, method, endpoint,
     status::BIGINT AS status_code, size AS response_bytes, 'nginx_access_log' AS source,
     strftime(make_timestamp(sec * 1000000), '%Y-%m-%d') AS event_date,
@@ -334,11 +371,10 @@ _DELTA = f"""{RECORDS} SELECT event_id, identifier AS sequence_number,
 
 @query("write_delta", _DELTA)
 def _(f: Frames):
-    path = f.scratch("deltas")
+    store = RecordStore(f.scratch("records"))
     for _ in range(2):  # A micro-batch that runs again leaves the table as it was.
-        write_delta(delta_rows(f.decoded(), 0), path)
-    stored = f.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return stored.parquet(path).select(
+        store.write(record_rows(f.decoded(), 0), 0)
+    return store.read(f.spark, VALID).select(
         "event_id",
         "sequence_number",
         "timestamp",
@@ -348,8 +384,8 @@ def _(f: Frames):
         "status_code",
         "response_bytes",
         "source",
-        F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),
-        F.lpad(F.col("event_hour").cast("string"), 2, "0").alias("event_hour"),
+        "event_date",
+        "event_hour",
     )
 
 
@@ -385,6 +421,7 @@ def _(f: Frames):
     UNION ALL SELECT 'status_code_comparison', status_code, NULL, recent_count FROM status_compared
     UNION ALL SELECT 'recent_anomalies', endpoint, NULL, requests FROM now_side
         WHERE requests >= 2 AND error_rate >= 0.5
+    UNION ALL SELECT 'about', '', NULL, 2
     UNION ALL SELECT 'window', '', NULL, {WINDOW}
     UNION ALL SELECT 'totals', '', NULL, (SELECT count(*) FROM recent)
     UNION ALL SELECT 'traffic_comparison', '', CASE
@@ -406,6 +443,7 @@ def _(f: Frames):
                 "recent_count",
                 "total_requests",
                 "recent_window_seconds",
+                "schema_version",
                 "recent_valid_records",
                 "significant_increase_count",
             )
@@ -686,7 +724,7 @@ def _(f: Frames):
 
 @query("window_bound_join", f"{recent(300)} SELECT {EVENT_ROW} FROM recent")
 def _(f: Frames):
-    return f.window(300)
+    return f.event_table().window(300)
 
 
 _SIDE = """SELECT 'total_valid_records' AS metric, '' AS key, '' AS field, count(*)::DOUBLE AS value FROM {0}
@@ -720,7 +758,7 @@ _SIDE = """SELECT 'total_valid_records' AS metric, '' AS key, '' AS field, count
     FROM b FULL JOIN s USING (metric, key, field)""",
 )
 def _(f: Frames):
-    return batch_stream_values(f.lines(), 300)
+    return batch_stream_values(f.event_table(), 300)
 
 
 @query(
@@ -735,7 +773,7 @@ def _(f: Frames):
 )
 def _(f: Frames):
     whole_log = 1_000_000_000  # A window over everything, as in a controlled comparison.
-    return parity.compare_metrics(batch_stream_values(f.lines(), whole_log))
+    return parity.compare_metrics(batch_stream_values(f.event_table(), whole_log))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -863,7 +901,11 @@ def _(f: Frames):
 
 _SENT = f"""{RECORDS}, accepted AS (
         SELECT endpoint, make_timestamp(sec * 1000000) AS ts, status AS status_code,
-            size AS response_bytes, invocation, record_index, event_id, identifier
+            size AS response_bytes, invocation, record_index,
+            CASE WHEN event_id <> '' THEN 'e:' || event_id
+                 WHEN identifier NOT LIKE 'record-%' THEN 's:' || identifier
+                 ELSE 'f:' || time_text || client_ip || method || endpoint_text || status_text
+                     || size_text END AS identity
         FROM records WHERE valid),
     recent AS (SELECT * FROM accepted
                WHERE ts >= (SELECT max(ts) FROM accepted) - INTERVAL {WINDOW} SECOND)"""
@@ -1022,22 +1064,47 @@ def _(f: Frames):
     return global_window.window_sections(aggregates.unit_facts(seen), WINDOW)["endpoints"]
 
 
+@query("incremental_window", f"{GLOBAL} {ENDPOINT_ROWS.format('recent')}")
+def _(f: Frames):
+    return f.incremental().read_snapshot(f.spark, "endpoints").select(
+        "endpoint", "total_requests", "error_count", "error_rate", "total_response_bytes"
+    )
+
+
+@query(
+    "incremental_statistics",
+    f"{ELEMENTS} SELECT {_STATISTICS} FROM classified",
+)
+def _(f: Frames):
+    return f.incremental().statistics(f.spark)
+
+
 @query(
     "local_window",
-    f"""{RECORDS}, accepted AS (SELECT invocation % 4 AS worker, endpoint,
-        make_timestamp(sec * 1000000) AS ts, size FROM records WHERE valid),
-    bounds AS (SELECT worker, max(ts) AS newest FROM accepted GROUP BY worker)
-    SELECT worker, endpoint, count(*) AS total_requests
-    FROM accepted JOIN bounds USING (worker) WHERE ts >= newest - INTERVAL {WINDOW} SECOND
-    GROUP BY worker, endpoint""",
+    f"""{RECORDS}, accepted AS (SELECT client_ip, endpoint, make_timestamp(sec * 1000000) AS ts
+        FROM records WHERE valid),
+    bounds AS (SELECT client_ip, max(ts) AS newest FROM accepted GROUP BY client_ip)
+    SELECT client_ip, endpoint, count(*) AS total_requests
+    FROM accepted JOIN bounds USING (client_ip) WHERE ts >= newest - INTERVAL {WINDOW} SECOND
+    GROUP BY client_ip, endpoint""",
 )
 def _(f: Frames):
-    accepted = f.decoded().filter("valid").select(
-        (F.col("invocation") % 4).alias("worker"), "endpoint", "timestamp"
-    )
-    accepted = stage(accepted, "accepted")
-    seen = window.recent_window(accepted, WINDOW, by=["worker"])
-    return seen.groupBy("worker", "endpoint").agg(F.count("*").alias("total_requests"))
+    # Records are dealt by client, so a window of one consumer is a window by client.
+    accepted = stage(f.decoded().filter("valid").select("client_ip", "endpoint", "timestamp"), "accepted")
+    seen = window.recent_window(accepted, WINDOW, by=["client_ip"])
+    return seen.groupBy("client_ip", "endpoint").agg(F.count("*").alias("total_requests"))
+
+
+@query(
+    "window_by_client",
+    f"""{BATCH}, bounds AS (SELECT client_ip, max(ts) AS newest FROM valid GROUP BY client_ip)
+    SELECT client_ip, endpoint, count(*) AS total_requests
+    FROM valid JOIN bounds USING (client_ip) WHERE ts >= newest - INTERVAL {WINDOW} SECOND
+    GROUP BY client_ip, endpoint""",
+)
+def _(f: Frames):
+    seen = window.recent_window(f.event_table().events(), WINDOW, by=["client_ip"])
+    return seen.groupBy("client_ip", "endpoint").agg(F.count("*").alias("total_requests"))
 
 
 @query(
@@ -1056,7 +1123,7 @@ def _(f: Frames):
     "stream_job",
     f"""{_SENT}, firsts AS (
         SELECT * FROM recent QUALIFY row_number() OVER (
-            PARTITION BY coalesce('e:' || nullif(event_id, ''), 's:' || identifier)
+            PARTITION BY identity
             ORDER BY invocation, record_index) = 1)
     {ENDPOINT_ROWS.format('firsts')}""",
 )
@@ -1164,6 +1231,7 @@ def serving_sections() -> list[str]:
         "traffic_spikes",
         "status_code_comparison",
         "recent_anomalies",
+        "about",
     ]
 
 
@@ -1176,7 +1244,11 @@ def _(f: Frames):
     return serving.traffic_spikes(_compared(f))
 
 
-@query("ranked_spikes", f"{_SPIKES} ORDER BY recent_to_baseline_ratio DESC NULLS FIRST, recent_rpm DESC, endpoint")
+@query(
+    "ranked_spikes",
+    f"""WITH s AS ({_SPIKES}) SELECT *, row_number() OVER (ORDER BY recent_to_baseline_ratio DESC NULLS FIRST,
+    recent_rpm DESC, endpoint) AS rank FROM s""",
+)
 def _(f: Frames):
     return serving.ranked_spikes(serving.traffic_spikes(_compared(f)))
 
