@@ -7,8 +7,8 @@ import re
 
 import corpus_pipeline
 from tests.llm.conftest import prose
-from tests.llm.test_duplicates import simhash
-from tidelog.llm import ring_simhash, shingle_join
+from tests.llm.test_duplicates import roots_of, simhash
+from tidelog.llm import pfair, ring_simhash, shingle_join
 
 
 def test_stages_take_effect(spark, docs_of, labels_of, odd_rows, tmp_path):
@@ -57,10 +57,46 @@ def test_near_copies_beyond_the_fingerprint_bits_go(spark, docs_of, odd_rows):
     first = ring_simhash.drop_near_duplicates(docs_of(rows)).collect()
     left = {(row.doc_id, row.text) for row in first}
     sets = [(row[:2], shingle_join.shingle_set(row[1])) for row in order if row[:2] in left]
-    expected = [
-        row
-        for at, (row, own) in enumerate(sets)
-        if not any((len(own & o) / len(own | o) if own | o else 1) >= 0.8 for _, o in sets[:at])
-    ]
+    alike = lambda a, b: (len(a & b) / len(a | b) if a | b else 1) >= 0.8
+    links = [(a, b) for b in range(len(sets)) for a in range(b) if alike(sets[a][1], sets[b][1])]
+    roots = roots_of(range(len(sets)), links)
+    expected = [row for at, (row, _) in enumerate(sets) if roots[at] == at]
     assert sorted(((row.doc_id, row.text) for row in found), key=repr) == sorted(expected, key=repr)
     assert len(expected) < len(first)
+
+
+def test_a_large_group_of_near_copies_gives_few_pairs(spark, docs_of, monkeypatch):
+    """Copies link to two of each band, not to each other."""
+    draw, base = random.Random(3), prose(77, 150).split(" ")
+    rows = [(n, prose(3000 + n, 60), "en", "a") for n in range(40)]
+    for copy in range(400):
+        words = list(base)
+        for _ in range(2 * (copy > 0)):
+            words[draw.randrange(len(words))] = f"changed{draw.random()}"
+        rows.append((1000 + copy, " ".join(words), "en", "a"))
+    compared = []
+    verify = shingle_join.similar_pairs
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(shingle_join, "similar_pairs", counted)
+    kept = {row.doc_id for row in corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()}
+    assert set(range(40)) <= kept and len(kept) < 45
+    assert sum(compared) < 20 * 400
+
+
+def test_every_row_has_a_slot_of_its_own(spark, docs_of):
+    """Rows that repeat an id, or have none, are mixed like all others."""
+    rows = [(1, f"one {n}", "en", "ab"[n % 2]) for n in range(60)] + [(None, f"none {n}", "en", "a") for n in range(60)]
+    rows += [(100 + n, f"own {n}", "en", "b") for n in range(200)]
+    docs = docs_of(rows)
+    mixed = [row.text for row in corpus_pipeline.mix_sources(spark, docs, "").collect()]
+    assert sorted(mixed) == sorted(row[1] for row in rows)
+    slots = pfair.mix(docs).collect()
+    assert len({(row.slot, row.place_in_block) for row in slots}) == len(rows)
+    source = {row[1]: row[3] for row in rows}
+    order = [source[text] for text in mixed]
+    expected = [row.source for row in sorted(slots, key=lambda row: (row.slot, row.place_in_block))]
+    assert order == expected

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import Scratch, read_table, words_of
 from tidelog.llm.components import connected_components
-from tidelog.llm.shingle_join import later_similar
+from tidelog.llm.shingle_join import of_entries, similar_groups, sketch_column
 from tidelog.operators.skew import spread_join
 
 SHINGLE_WORDS = 4
@@ -231,18 +231,22 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row of each group, with all columns: that of the smallest id.
 
-    With a similarity, rows that have an earlier one, by id, with that Jaccard similarity
-    of five-word shingles go as well, however many bits the fingerprints differ in.
+    With a similarity, the rows that stay are grouped once more: those with that Jaccard
+    similarity of five-word shingles link, however many bits their fingerprints differ in,
+    and one row of each group stays.
 
     Rows are written once with their fingerprint and a number, so that just one of rows
-    that repeat an id stays; rows without an id stay only in groups that have no id.
+    that repeat an id stays; rows without an id stay only in groups that have no id. What
+    goes is sent to the rows by number, so their texts do not move again.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
+    sketch = [] if similarity is None else [sketch_column(F.col("text")).alias("sketch")]
     numbered = scratch.write(
         docs.select(
             F.struct("*").alias("row"),
             F.col("doc_id").alias("doc_id"),
             fingerprint_column(F.col("text")).alias("fingerprint"),
+            *sketch,
             F.monotonically_increasing_id().alias("entry"),
         ),
         "rows",
@@ -252,12 +256,16 @@ def drop_near_duplicates(
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "entry")
     firsts = prints.groupBy("fingerprint").agg(F.min(place).alias("place"))
     stays = firsts.join(groups, "fingerprint").groupBy("root").agg(F.min("place").alias("place"))
-    kept = stays.select("place.entry")
+    kept = scratch.write(stays.select("place.entry"), "kept")
+    gone = scratch.write(prints.select("entry").join(kept, "entry", "left_anti"), "gone")
     if similarity is not None:
-        left = scratch.write(kept, "kept")
-        rows = numbered.join(left, "entry", "left_semi").select("doc_id", F.col("row.text").alias("text"), "entry")
-        kept = left.join(later_similar(rows, scratch, similarity), "entry", "left_anti")
-    return numbered.join(kept, "entry", "left_semi").select("row.*")
+        left = of_entries(numbered, gone, "left_anti")
+        texts = left.select("entry", F.col("row.text").alias("text"))
+        roots = similar_groups(left.select("entry", "sketch.n", "sketch.keys"), texts, scratch, similarity)
+        ranked = prints.join(roots, "entry")
+        best = ranked.groupBy("root").agg(F.min(place).alias("place")).select("place.entry")
+        gone = scratch.write(gone.unionByName(roots.select("entry").join(best, "entry", "left_anti")), "all-gone")
+    return of_entries(numbered, gone, "left_anti").select("row.*")
 
 
 def op9_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:

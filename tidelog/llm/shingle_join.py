@@ -12,15 +12,18 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import Scratch, words_of
+from tidelog.llm.components import connected_components
 from tidelog.operators.skew import spread_join
 
 SHINGLE_WORDS = 5
 BANDS = 30
 BAND_ROWS = 5
+#: Numbers of rows that are sent to all tasks at most, eight bytes each.
+BROADCAST_ROWS = 2_000_000
 #: Shingles whose random orders are computed at once.
 AT_ONCE = 2000
 DRAW = np.random.default_rng(11)
@@ -55,51 +58,83 @@ def jaccard(text: str | None, other: str | None) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def similar_pairs(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """(entry) of the pairs (entry, to_entry) whose texts are similar enough."""
+def sketch_column(text: Column) -> Column:
+    """``n``, the number of shingles, and ``keys``, the bands, of a text column."""
 
-    @F.pandas_udf("double")
-    def found(texts: pd.Series, others: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(a, b) for a, b in zip(texts, others, strict=True)], dtype="float64")
+    @F.pandas_udf("n INT, keys ARRAY<LONG>")
+    def sketch(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"n": [len(shingle_set(t)) for t in texts], "keys": [band_keys(t) for t in texts]})
 
-    copies = pairs.groupBy("to_entry").agg(F.count("*").alias("copies"))
-    texts = rows.select(F.col("entry").alias("to_entry"), F.col("text").alias("to_text")).join(copies, "to_entry")
-    both = spread_join(pairs.join(rows.select("entry", "text"), "entry"), texts, ["to_entry"], ["entry"])
-    return both.filter(found("text", "to_text") >= similarity - 1e-9).select("entry").distinct()
+    return sketch(text)
 
 
-def later_similar(rows: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
-    """(entry) of the rows with an earlier row, by id, that is similar enough.
+def of_entries(rows: DataFrame, entries: DataFrame, how: str) -> DataFrame:
+    """Rows with, or without, one of the ``entries`` (written, different). As many as
+    BROADCAST_ROWS are sent to all tasks, so that the rows need not move; more are not."""
+    few = entries.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(entries) if few else entries, "entry", how)
 
-    ``rows`` (doc_id, text, entry): entry is written and unique; rows without an id come
-    last. First each row meets the earliest row of each of its bands; only rows that this
-    does not decide meet all earlier rows of their bands.
+
+def similar_pairs(pairs: DataFrame, rows: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """The pairs (entry, to_entry) whose texts are similar enough, written.
+
+    ``rows`` (entry, text) are read once; only texts of a pair are moved.
     """
 
-    @F.pandas_udf("array<long>")
-    def keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([band_keys(text) for text in texts], dtype=object)
-
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "entry").alias("place")
-    posted = scratch.write(rows.select(place, F.explode(keys("text")).alias("key")), "bands")
-    heads = posted.groupBy("key").agg(F.min("place").alias("head"), F.count("*").alias("members"))
-    crowded = scratch.write(posted.join(heads.filter("members > 1"), "key"), "crowded-bands")
-    scratch.drop(posted)
-    pair = [F.col("place.entry").alias("entry"), F.col("head.entry").alias("to_entry")]
-    first = scratch.write(crowded.filter("place <> head").select(*pair).distinct(), "head-pairs")
-    decided = scratch.write(similar_pairs(first, rows, similarity), "decided")
-
-    # Of two rows the head is the only earlier one.
-    rest = crowded.filter("members > 2").select("key", "place", F.col("place.entry").alias("entry"), "head")
-    earlier = rest.filter("place <> head").select("key", F.col("place").alias("other"))
-    pairs = (
-        rest.filter("place <> head")
-        .join(decided, "entry", "left_anti")
-        .join(earlier, "key")
-        .filter("other < place")
-        .select("entry", F.col("other.entry").alias("to_entry"))
-        .distinct()
-        .join(first, ["entry", "to_entry"], "left_anti")
+    @F.pandas_udf("double")
+    def found(texts: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(a, b) for a, b in zip(texts, others, strict=True)], dtype="float64")
+
+    both = pairs.select("entry").unionByName(pairs.select(F.col("to_entry").alias("entry")))
+    wanted = scratch.write(both.distinct(), "wanted")
+    texts = scratch.write(of_entries(rows.select("entry", "text"), wanted, "left_semi"), "texts")
+    copies = pairs.groupBy("to_entry").agg(F.count("*").alias("copies"))
+    others = texts.select(F.col("entry").alias("to_entry"), F.col("text").alias("to_text")).join(copies, "to_entry")
+    joined = spread_join(pairs.join(texts, "entry"), others, ["to_entry"], ["entry"])
+    similar = joined.filter(found("text", "to_text") >= similarity - 1e-9).select("entry", "to_entry")
+    found_pairs = scratch.write(similar, "similar")
+    scratch.drop(texts, wanted)
+    return found_pairs
+
+
+def similar_groups(sketches: DataFrame, rows: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(entry, root) of the rows that links of similar texts connect with others.
+
+    ``sketches`` (entry, n, keys) and ``rows`` (entry, text) are written. In each band the
+    rows are first compared with two of them. What these links connect is not compared
+    again; rows of parts that are still apart are, if their sizes allow the similarity. So
+    no link between parts is lost, and a group of many near copies does not give all its
+    pairs.
+    """
+    posted = sketches.select("entry", "n", F.explode("keys").alias("key"))
+    heads = posted.groupBy("key").agg(
+        F.min("entry").alias("first"), F.max("entry").alias("last"), F.count("*").alias("members")
+    )
+    crowded = scratch.write(posted.join(heads.filter("members > 1").drop("members"), "key"), "crowded-bands")
+    head = F.explode(F.array("first", "last")).alias("to_entry")
+    stars = scratch.write(crowded.select("entry", head).filter("entry <> to_entry").distinct(), "stars")
+    links = similar_pairs(stars, rows, scratch, similarity)
+    edges = lambda pairs: pairs.select(F.col("entry").alias("a"), F.col("to_entry").alias("b"))
+    parts = scratch.write(connected_components(edges(links), scratch), "parts")
+
+    members = crowded.join(parts.withColumnRenamed("node", "entry"), "entry", "left").select(
+        "key", "entry", "n", F.coalesce("root", "entry").alias("part")
+    )
+    apart = members.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("m"))
+    # Of two rows the heads are both, so their pair has been compared.
+    left = scratch.write(members.join(apart.filter("p <> q AND m > 2").select("key"), "key"), "apart")
+    right = left.select("key", *[F.col(name).alias(f"to_{name}") for name in ("entry", "n", "part")])
+    allowed = F.least("n", "to_n") >= F.lit(similarity - 1e-9) * F.greatest("n", "to_n")
+    meet = (
+        (left["key"] == right["key"])
+        & (F.col("part") != F.col("to_part"))
+        & (F.col("entry") < F.col("to_entry"))
+        & allowed
+    )
+    tested = stars.select(F.least("entry", "to_entry").alias("entry"), F.greatest("entry", "to_entry").alias("to_entry"))
+    between = left.join(right, meet).select("entry", "to_entry").distinct()
+    more = similar_pairs(
+        scratch.write(between.join(tested, ["entry", "to_entry"], "left_anti"), "between"), rows, scratch, similarity
     )
-    more = scratch.write(similar_pairs(scratch.write(pairs, "pairs"), rows, similarity), "more")
-    return decided.unionByName(more)
+    scratch.drop(crowded, left)
+    return connected_components(edges(links.unionByName(more)), scratch).withColumnRenamed("node", "entry")
