@@ -15,7 +15,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import Scratch, read_table
@@ -79,28 +79,28 @@ def source_name():
     return F.coalesce(F.col("source").cast("string"), F.lit(""))
 
 
-def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, source, place): every row's place in its source, in the order of a hash
-    of the id. Rows are numbered within pieces of the hash, then piece after piece."""
-    spread = F.xxhash64("doc_id")
-    rows = scratch.write(
-        docs.select(
-            "doc_id",
-            source_name().alias("source"),
-            spread.alias("spread"),
-            F.pmod(F.shiftrightunsigned(spread, 20), F.lit(PIECES)).cast("int").alias("piece"),
-        ),
-        "rows",
+def pieced(docs: DataFrame, *keep: Column) -> DataFrame:
+    """Every row with ``doc_id, source``, a hash and its piece of the source, and ``keep``.
+
+    Rows are taken in the order of the hash of the id; of rows without an id it is the
+    hash of the text.
+    """
+    spread = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    piece = F.pmod(F.shiftrightunsigned(spread, 20), F.lit(PIECES)).cast("int")
+    return docs.select(
+        *keep, "doc_id", source_name().alias("source"), spread.alias("spread"), piece.alias("piece")
     )
-    pieces = rows.groupBy("source", "piece").agg(F.count("*").alias("rows"))
+
+
+def placed_in_source(rows: DataFrame, slim: DataFrame) -> DataFrame:
+    """Rows of pieced() with ``place``, their number in their source. They are numbered
+    within pieces of the hash, then piece after piece; ``slim`` are the same rows."""
+    pieces = slim.groupBy("source", "piece").agg(F.count("*").alias("rows"))
     earlier = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.select("source", "piece", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
     inside = F.row_number().over(Window.partitionBy("source", "piece").orderBy("spread", "doc_id"))
-    return (
-        rows.withColumn("inside", inside)
-        .join(starts, ["source", "piece"])
-        .select("doc_id", "source", (F.col("start") + F.col("inside") - 1).alias("place"))
-    )
+    numbered = rows.withColumn("inside", inside).join(starts, ["source", "piece"])
+    return numbered.withColumn("place", F.col("start") + F.col("inside") - 1).drop("inside", "start", "spread", "piece")
 
 
 def mix(
@@ -114,11 +114,19 @@ def mix(
     weights: target weight of each source, default flattened_weights(). A source that has
     no weight or one of 0 is placed after all others, in slot -1 of none (null release
     and deadline). Every row is placed once: where a source has no more blocks its slots
-    stay empty. Rows are taken in the order of a hash of the id; rows that repeat an id
-    follow each other. Rows without a source form the source "".
+    stay empty. Rows are taken in the order of a hash of the id, those without an id of the
+    text; rows that repeat an id follow each other. Rows without a source form the source "".
     """
+    scratch = Scratch(docs.sparkSession, "mix")
+    rows = scratch.write(pieced(docs), "rows")
+    return scheduled(placed_in_source(rows, rows), docs, weights, block_rows, period)
+
+
+def scheduled(
+    rows: DataFrame, docs: DataFrame, weights: Mapping[str, float] | None, block_rows: int, period: int
+) -> DataFrame:
+    """Rows with ``source`` and ``place`` as mix() gives them, with their other columns."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "mix")
     targets = {k: float(v) for k, v in (weights or flattened_weights(docs)).items() if v > 0}
     plan = one_period(whole_shares(targets, period)) if targets else []
     shares: dict[str, int] = {}
@@ -130,8 +138,9 @@ def mix(
         " share LONG, period LONG",
     )
     share_of = table.select("source", "share", "period").distinct()  # a row a source
-    rows = numbered(docs, scratch)
+    more = [name for name in rows.columns if name not in ("doc_id", "source", "place")]
     blocks = rows.select(
+        *more,
         "doc_id",
         "source",
         F.expr(f"place DIV {block_rows}").alias("block"),
@@ -142,6 +151,7 @@ def mix(
     )
     placed = turned.join(F.broadcast(table.drop("share", "period")), ["source", "turn"], "left")
     return placed.select(
+        *more,
         "doc_id",
         "source",
         (F.col("share") / F.col("period")).alias("weight"),
@@ -156,23 +166,15 @@ def mix(
 def mixed_order(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """The rows of ``docs`` in the order of the schedule, all columns as they are.
 
-    Sources without a weight come last. Each file of the written result is one stretch of
-    the schedule.
+    Every row has a slot of its own, also one that repeats an id or has none. Sources
+    without a weight come last. Each file of the written result is one stretch of the
+    schedule.
     """
-    last = F.when(F.col("slot") < 0, F.lit((1 << 62))).otherwise(F.col("slot"))
-    order = (
-        mix(docs, weights)
-        .groupBy("doc_id")
-        .agg(F.min(F.struct(last.alias("slot"), "place_in_block")).alias("order"))
-        .select(F.col("doc_id").alias("placed id"), "order")
-    )
     row = "row of the input"
-    rows = docs.select(F.struct("*").alias(row), F.col("doc_id").alias("own id"))
-    return (
-        rows.join(order, F.col("own id").eqNullSafe(F.col("placed id")), "left")
-        .orderBy("order.slot", "order.place_in_block", "own id")
-        .select(f"`{row}`.*")
-    )
+    placed = placed_in_source(pieced(docs, F.struct("*").alias(row)), pieced(docs))
+    slots = scheduled(placed, docs, weights, BLOCK_ROWS, PERIOD)
+    last = F.when(F.col("slot") < 0, F.lit(1 << 62)).otherwise(F.col("slot"))
+    return slots.orderBy(last, "source", "block", "place_in_block", "doc_id").select(f"`{row}`.*")
 
 
 def op5_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
