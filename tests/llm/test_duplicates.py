@@ -60,15 +60,33 @@ def test_exact_stage_keeps_one_row_of_each_text_with_all_columns(docs_of, odd_ro
 
 def test_directory_doubles_only_where_buckets_are_overfull(spark):
     entries = spark.range(4000).select(F.xxhash64("id").alias("key"))
-    crowded = spark.range(500).select(F.shiftright(F.xxhash64("id"), 8).bitwiseAND((1 << 50) - 1).alias("key"))
-    table = exact_index.directory(entries.unionByName(crowded), capacity=300, max_depth=8)
-    keys = entries.unionByName(crowded).withColumn("prefix", exact_index.prefix_of(F.col("key"), 8))
+    crowded = spark.range(900).select(F.shiftrightunsigned(F.xxhash64("id"), 24).alias("key"))
+    both = entries.unionByName(crowded)
+    table, depth = exact_index.directory(both.unionByName(both), Scratch(spark, "test"), capacity=300)
+    assert depth > 24
+    keys = both.withColumn("prefix", exact_index.prefix_of(F.col("key"), depth))
     held = keys.join(table, "prefix").groupBy("bucket", "depth").count().collect()
-    assert sum(row["count"] for row in held) == 4500
-    assert all(row["count"] <= 300 or row["depth"] == 8 for row in held)
+    assert sum(row["count"] for row in held) == 4900
+    assert all(row["count"] <= 300 for row in held)
     assert len({row["depth"] for row in held}) > 1
 
 
+def test_texts_of_one_key_are_told_apart_by_their_bytes(spark, docs_of, odd_rows, monkeypatch):
+    """Three keys for all texts: the groups come from the chains of the buckets."""
+    rows = odd_rows + [(50 + n, prose(n % 9, 20), "en", "a") for n in range(60)]
+    expected = rows_of(exact_index.exact_groups(docs_of(rows)).drop("bucket"))
+    kept = rows_of(exact_index.drop_copies(docs_of(rows)).select("text"))
+    monkeypatch.setattr(exact_index, "text_key", lambda text: F.pmod(F.length(text), F.lit(3)).cast("long"))
+    found = exact_index.exact_groups(docs_of(rows))
+    assert rows_of(found.drop("bucket")) == expected
+    assert found.filter("bucket IS NULL AND group_size > 1").count() == 0
+    assert rows_of(exact_index.drop_copies(docs_of(rows)).select("text")) == kept
+    keyed = exact_index.keyed_rows(docs_of(rows)).select("key", "doc_id")
+    chains = exact_index.write_index(keyed, exact_index.keyed_texts(docs_of(rows)), Scratch(spark, "test"))
+    assert chains.count() == len({plain(row[1]) for row in rows})
+    assert chains.select("key").distinct().count() == 3
+
+
 def simhash(text):
     words = words_of(text or "")
     if not words:

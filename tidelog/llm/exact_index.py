@@ -1,22 +1,27 @@
 """Exact duplicates, found with an extendible hash index kept as shared files.
 
-The directory is a list of key prefixes. It starts with one bucket and doubles where a
-bucket is overfull, down to a fixed depth, so it never has more than 2 ** MAX_DEPTH
-entries and may be broadcast at any data size. The index is a table of entries sorted by
-bucket and key; each task owns a range of buckets. Texts that share a key are chained:
-they are told apart by their bytes, not by the key.
+The directory is a list of key prefixes. It starts with one bucket and doubles until no
+bucket is overfull. The index is a table of chains, sorted by bucket and key, with one link
+for each different text of a key; the task that owns a range of buckets compares the texts
+of its keys byte by byte, so texts that share a key without being equal are links of one
+chain. Keys that occur once have nothing to compare: their texts are not moved.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import BLANKS, Scratch, read_table
 from tidelog.operators.skew import spread_join
 
-MAX_DEPTH = 12
+#: Different keys of a bucket, and the doublings a directory may begin with.
 CAPACITY = 20_000
+FIRST_DEPTH = 6
+#: A prefix must leave a bit of the key.
+DEEPEST = 62
+#: Rows that are sent to all tasks at most, some tens of bytes each.
+BROADCAST_ROWS = 1_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -24,81 +29,109 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANKS, " ")
 
 
-def prefix_of(key: Column, depth: int = MAX_DEPTH) -> Column:
+def text_key(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def prefix_of(key: Column, depth: int) -> Column:
     """The first bits of a 64-bit key."""
-    return F.shiftrightunsigned(key, 64 - depth).cast("int")
+    return F.shiftrightunsigned(key, 64 - depth)
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A written table, sent to all tasks if its size allows it."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def directory(entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(prefix, depth, bucket) for every prefix of the full depth that has keys.
+def directory(entries: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
+    """(prefix, depth, bucket) for every prefix that has keys, and the bits of a prefix.
 
     A prefix belongs to the bucket of the smallest depth that holds at most ``capacity``
-    distinct keys; copies of one key need no room. Buckets of the full depth may be
-    overfull, their keys cannot be told apart by more doubling. bucket: the first prefix
-    that it covers.
+    different keys; copies of one key need no room. While some bucket of the full depth
+    is overfull the directory is doubled; 64-bit keys that are different differ in some
+    bit, so there is always a depth that is enough. bucket: the first prefix that it
+    covers.
     """
-    cells = (
-        entries.select("key")
-        .distinct()
-        .groupBy(prefix_of(F.col("key"), max_depth).alias("prefix"))
-        .agg(F.count("*").alias("keys"))
-    )
-    doubled = cells.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(max_depth)))).withColumn(
-        "cell", F.expr(f"shiftright(prefix, {max_depth} - depth)")
+    keys = scratch.write(entries.select("key").distinct(), "distinct-keys")
+    depth = FIRST_DEPTH + (keys.count() // capacity).bit_length()
+    while True:
+        cells = scratch.write(
+            keys.groupBy(prefix_of(F.col("key"), depth).alias("prefix")).agg(F.count("*").alias("keys")), "cells"
+        )
+        if depth >= DEEPEST or not cells.filter(F.col("keys") > capacity).limit(1).count():
+            break
+        depth = min(DEEPEST, depth + FIRST_DEPTH)
+    doubled = cells.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumn(
+        "cell", F.expr(f"shiftright(prefix, {depth} - depth)")
     )
     held = doubled.groupBy("depth", "cell").agg(F.sum("keys").alias("held"))
     first_fit = (
         doubled.join(held, ["depth", "cell"])
-        .filter((F.col("held") <= capacity) | (F.col("depth") == max_depth))
+        .filter((F.col("held") <= capacity) | (F.col("depth") == depth))
         .groupBy("prefix")
         .agg(F.min("depth").alias("depth"))
     )
-    low = F.expr(f"shiftleft(shiftright(prefix, {max_depth} - depth), {max_depth} - depth)")
-    return first_fit.select("prefix", "depth", low.alias("bucket"))
+    low = F.expr(f"shiftleft(shiftright(prefix, {depth} - depth), {depth} - depth)")
+    table = scratch.write(first_fit.select("prefix", "depth", low.alias("bucket")), "directory")
+    return table, depth
 
 
-def write_index(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Entries (bucket, key, text_sha256, doc_id, entry), one per row of ``docs``, as
-    files sorted by bucket and key. entry tells rows with the same id apart."""
-    text = normalised(F.col("text"))
-    keyed = scratch.write(
-        docs.select(
-            "doc_id",
-            F.xxhash64(text).alias("key"),
-            F.unhex(F.sha2(text, 256)).alias("text_sha256"),
-            F.monotonically_increasing_id().alias("entry"),
-        ),
-        "keys",
+def write_index(keyed: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The chains (bucket, key, text_sha256, group_size, keep_id) of the keys that occur
+    more than once, as files sorted by bucket and key.
+
+    ``keyed`` (key, doc_id) is written, ``texts`` (key, text, doc_id) are the same rows
+    with their texts. Copies are combined before they move, so a text that a third of all
+    rows share is sent once by each task.
+    """
+    table, depth = directory(keyed, scratch)
+    repeated = keyed.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
+    placed = scratch.write(
+        repeated.withColumn("prefix", prefix_of(F.col("key"), depth)).join(small(table), "prefix").select("key", "bucket"),
+        "repeated-keys",
     )
-    buckets = F.broadcast(directory(keyed))  # at most 2 ** MAX_DEPTH rows
-    placed = keyed.withColumn("prefix", prefix_of(F.col("key"))).join(buckets, "prefix")
-    index = scratch.write(
-        placed.select("bucket", "key", "text_sha256", "doc_id", "entry")
-        .repartitionByRange("bucket", "key", "entry")
-        .sortWithinPartitions("bucket", "key"),
-        "index",
+    links = (
+        texts.join(small(placed), "key")
+        .groupBy("bucket", "key", "text")
+        .agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id"))
+    )
+    chains = links.select("bucket", "key", F.unhex(F.sha2("text", 256)).alias("text_sha256"), "group_size", "keep_id")
+    return scratch.write(
+        chains.repartitionByRange("bucket", "key", "text_sha256").sortWithinPartitions("bucket", "key"), "chains"
     )
-    scratch.drop(keyed)
-    return index
 
 
-def write_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, text_sha256, group_size, keep_id) of every different text.
+def keyed_rows(docs: DataFrame, *keep: Column) -> DataFrame:
+    """(doc_id, key, text_sha256, entry) and ``keep`` of every row; entry tells rows apart."""
+    text = normalised(F.col("text"))
+    return docs.select(
+        *keep,
+        "doc_id",
+        text_key(text).alias("key"),
+        F.unhex(F.sha2(text, 256)).alias("text_sha256"),
+        F.monotonically_increasing_id().alias("entry"),
+    )
+
 
-    Rows meet in the owner of their key and are compared by all bytes. Copies are
-    combined before the shuffle, so a text that a third of all rows share is sent once
-    by each task.
-    """
+def keyed_texts(docs: DataFrame) -> DataFrame:
     text = normalised(F.col("text"))
-    chained = (
-        docs.select("doc_id", F.xxhash64(text).alias("key"), text.alias("text"))
-        .groupBy("key", "text")
-        .agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id"))
+    return docs.select("doc_id", text_key(text).alias("key"), text.alias("text"))
+
+
+def first_entries(keyed: DataFrame, chains: DataFrame) -> DataFrame:
+    """Chains of more than one row, with ``first``: the entry of the row that stays."""
+    repeated = chains.filter("group_size > 1").withColumn("copies", F.col("group_size"))
+    same_row = (
+        (keyed["key"] == repeated["key"])
+        & (keyed["text_sha256"] == repeated["text_sha256"])
+        & keyed["doc_id"].eqNullSafe(repeated["keep_id"])
     )
-    return scratch.write(
-        chained.select("key", F.unhex(F.sha2("text", 256)).alias("text_sha256"), "group_size", "keep_id"),
-        "groups",
+    firsts = (
+        keyed.join(repeated, same_row)
+        .groupBy(keyed["key"], keyed["text_sha256"])
+        .agg(F.min("entry").alias("first"))
     )
+    return repeated.join(firsts, ["key", "text_sha256"])
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -107,25 +140,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     Texts are equal when they are the same after replacing each run of blanks by one
     space; null is the empty text. Of equal texts the row with the smallest id stays,
     rows without an id only if no row of the group has one. Of rows that repeat that id
-    just one stays, so every group keeps one row.
+    just one stays, so every group keeps one row. bucket: null for a text that occurs once.
     """
     scratch = Scratch(docs.sparkSession, "exact")
-    index = write_index(docs, scratch)
-    groups = write_groups(docs, scratch)
-    repeated = groups.filter("group_size > 1").withColumn("copies", F.col("group_size"))
-    same_row = (
-        (index["key"] == repeated["key"])
-        & (index["text_sha256"] == repeated["text_sha256"])
-        & index["doc_id"].eqNullSafe(repeated["keep_id"])
-    )
-    firsts = (
-        index.join(repeated, same_row)
-        .groupBy(index["key"], index["text_sha256"])
-        .agg(F.min("entry").alias("first"))
-    )
-    heads = repeated.join(firsts, ["key", "text_sha256"])
+    keyed = scratch.write(keyed_rows(docs), "keys")
+    chains = write_index(keyed.select("key", "doc_id"), keyed_texts(docs), scratch)
     alone = F.col("group_size").isNull()
-    return spread_join(index, heads, ["key", "text_sha256"], ["entry"]).select(
+    return spread_join(keyed, first_entries(keyed, chains), ["key", "text_sha256"], ["entry"]).select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -136,34 +157,21 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns, by the same index and rule
+    as in exact_groups().
 
-    The same rule as in exact_groups(). Among rows with the id that stays and equal
-    texts, the first by the text itself stays.
+    Rows are written once with their key and number; the numbers of what goes are sent to
+    them, so the rows that stay do not move.
     """
     scratch = Scratch(docs.sparkSession, "exact")
-    groups = write_groups(docs, scratch)
-    row = "row of the input"
-    rows = docs.select(F.struct("*").alias(row))
-    doc_id, body = F.col(f"`{row}`.doc_id"), F.col(f"`{row}`.text")
-    keyed = rows.select(
-        row,
-        F.xxhash64(normalised(body)).alias("key"),
-        F.unhex(F.sha2(normalised(body), 256)).alias("text_sha256"),
-        doc_id.alias("doc_id"),
-    )
-    stays = (
-        (keyed["key"] == groups["key"])
-        & (keyed["text_sha256"] == groups["text_sha256"])
-        & keyed["doc_id"].eqNullSafe(groups["keep_id"])
-    )
-    first = Window.partitionBy("key", "text_sha256", "doc_id").orderBy(body.asc_nulls_first())
-    return (
-        keyed.join(groups, stays, "left_semi")
-        .withColumn("place", F.row_number().over(first))
-        .filter("place = 1")
-        .select(f"`{row}`.*")
-    )
+    rows = scratch.write(keyed_rows(docs, F.struct("*").alias("row")), "rows")
+    keyed = rows.select("doc_id", "key", "text_sha256", "entry")
+    texts = rows.select("doc_id", "key", normalised(F.col("row.text")).alias("text"))
+    chains = write_index(keyed.select("key", "doc_id"), texts, scratch)
+    firsts = first_entries(keyed, chains).select("key", "text_sha256", "first", "copies")
+    placed = spread_join(keyed, firsts, ["key", "text_sha256"], ["entry"])
+    gone = scratch.write(placed.filter("entry <> first").select("entry"), "gone")
+    return rows.join(small(gone), "entry", "left_anti").select("row.*")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
