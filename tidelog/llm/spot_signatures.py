@@ -32,10 +32,16 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     """Different chains of a text in order; words are runs of letters and digits.
 
     The chain of an anchor at the end is as long as content words are left; without any
-    there is no chain.
+    there is no chain. A text with words but without a chain is one chain itself, so that
+    such texts are alike only when their words are the same.
     """
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.transform(F.array(plain), lambda one: _chains(F.split(one, " "), chain))[0]
+
+    def made(one: Column) -> Column:
+        whole = lambda found: F.when((F.size(found) == 0) & (one != ""), F.array(one)).otherwise(found)
+        return F.transform(F.array(_chains(F.split(one, " "), chain)), whole)[0]
+
+    return F.transform(F.array(plain), made)[0]
 
 
 def _chains(words: Column, chain: int) -> Column:
@@ -120,7 +126,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     The edited text has its last floor(n_chars / 2) code points replaced by the first as
     many, or all, of the next text. Result: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next. Null is the empty text, which has no
-    chains. A single row is its own next row.
+    chains; texts without words are alike. A single row is its own next row.
     """
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
@@ -154,7 +160,7 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     meets only sets of its own and the next larger band. Within a band sets are joined on
     the first chains in hash order: of similar sets, the prefixes share a chain. Pairs
     whose sizes or prefix places rule out the similarity are pruned before the sets are
-    compared. Equal sets are one set; texts without chains form one group.
+    compared. Equal sets are one set; texts without words form one group.
     """
     scratch = Scratch(docs.sparkSession, "spot-groups")
     rows = scratch.write(
@@ -231,12 +237,16 @@ following AS (
     f"list_filter(w{n}, lambda w: w NOT IN ({_LIST})) AS c{n}, "
     f"list_filter(generate_series(1, len(w{n})), lambda i: w{n}[i] IN ({_LIST})) AS p{n}" for n in range(3))}
   FROM words
-), sets AS (
+), found AS (
   SELECT *, {", ".join(
     f"list_sort(list_distinct(list_filter(list_transform(generate_series(1, len(p{n})), "
     f"lambda j: array_to_string(list_prepend(w{n}[p{n}[j]], c{n}[p{n}[j] - j + 1 : p{n}[j] - j + {CHAIN}]), ' ')), "
-    f"lambda one: contains(one, ' ')))) AS s{n}" for n in range(3))}
+    f"lambda one: contains(one, ' ')))) AS t{n}" for n in range(3))}
   FROM parts
+), sets AS (
+  SELECT *, {", ".join(
+    f"CASE WHEN len(t{n}) = 0 AND w{n} <> [''] THEN [array_to_string(w{n}, ' ')] ELSE t{n} END AS s{n}" for n in range(3))}
+  FROM found
 )
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
        md5(array_to_string(s0, chr(10))) AS fingerprint,
