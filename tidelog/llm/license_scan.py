@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -213,6 +213,23 @@ def spdx_notices(text: str) -> Iterator[tuple[str, float, int, int, int]]:
                 start, joint = None, ""
 
 
+def without_overlaps(matches: list[tuple]) -> list[tuple]:
+    """Of matches (.., .., .., start, end, ..) that overlap the first, in order of places.
+
+    What is kept does not overlap, so a match can only touch the two next to its place.
+    """
+    kept: list[tuple] = []
+    starts: list[int] = []
+    for one in matches:
+        at = bisect_right(starts, one[3])
+        free_before = at == 0 or kept[at - 1][4] <= one[3]
+        free_behind = at == len(kept) or one[4] <= kept[at][3]
+        if free_before and free_behind:
+            kept.insert(at, one)
+            starts.insert(at, one[3])
+    return kept
+
+
 def scan(text: str, index: Index, band: int = BAND) -> list[tuple[str, float, int, int, int, str]]:
     """(license, coverage, matched words, start, end, matched text) of each notice.
 
@@ -247,11 +264,7 @@ def scan(text: str, index: Index, band: int = BAND) -> list[tuple[str, float, in
             if hit is not None:
                 group.append(hit)
     matches.sort(key=lambda one: (-one[0], -one[1], one[2], one[3]))
-    kept: list[tuple[int, float, int, int, int, str]] = []
-    for one in matches:
-        if all(one[4] <= other[3] or one[3] >= other[4] for other in kept):
-            kept.append(one)
-    kept.sort(key=lambda one: one[3])
+    kept = without_overlaps(matches)
     return [(name, coverage, count, start, end, text[start:end]) for count, coverage, _, start, end, name in kept]
 
 
