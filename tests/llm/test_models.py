@@ -284,7 +284,7 @@ def chains(text):
             rest = [w for w in words[at + 1 :] if w not in spot_signatures.ANCHORS][: spot_signatures.CHAIN]
             if rest:
                 found.add(" ".join([word, *rest]))
-    return found
+    return found or ({" ".join(words)} if words else set())
 
 
 def alike(a, b):
@@ -293,6 +293,7 @@ def alike(a, b):
 
 def test_signatures_match_brute_force(docs_of):
     rows = [(n, prose(n // 2, 40 + n), "en", "a") for n in range(14)] + [(20, None, None, None), (21, "", None, None), (22, "of of", "en", "a")]
+    rows += [(23, "Quite, plain words", "en", "a"), (24, "quite plain WORDS", "en", "a"), (25, "other plain words", "en", "a"), (26, "!?", "en", "a")]
     found = {row["doc_id"]: row for row in spot_signatures.compare_edited(docs_of(rows)).collect()}
     ordered = sorted(rows, key=lambda row: -row[0])
     for (doc_id, text, *_), (_, after, *_) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
@@ -331,3 +332,26 @@ def test_next_texts_match_brute_force(docs_of, odd_rows):
 def test_signatures_of_odd_rows(docs_of, odd_rows):
     assert spot_signatures.compare_edited(docs_of(odd_rows)).count() == len(odd_rows)
     assert spot_signatures.compare_edited(docs_of([])).count() == 0
+
+
+def test_texts_without_chains_are_alike_only_with_the_same_words(docs_of):
+    rows = [(1, "plain words", "en", "a"), (2, "Plain, words!", "en", "a"), (3, "other words", "en", "a"), (4, "", "en", "a"), (5, None, "en", "a")]
+    found = {row["doc_id"]: row for row in spot_signatures.compare_edited(docs_of(rows)).collect()}
+    assert [found[n]["near_next"] for n in (5, 4, 3, 2, 1)] == [1.0, 0.0, 0.0, 1.0, 0.0]
+    prints = [found[n]["fingerprint"] for n in (1, 2, 3, 4, 5)]
+    assert prints[0] == prints[1] and prints[3] == prints[4] and len(set(prints)) == 3
+
+
+def test_overlapping_matches_as_when_all_are_compared():
+    draw = random.Random(9)
+    for _ in range(200):
+        matches = []
+        for number in range(draw.randint(0, 60)):
+            start = draw.randrange(300)
+            matches.append((draw.randint(1, 9), draw.random(), number, start, start + draw.randint(1, 20), "x"))
+        matches.sort(key=lambda one: (-one[0], -one[1], one[2], one[3]))
+        kept = []
+        for one in matches:
+            if all(one[4] <= other[3] or one[3] >= other[4] for other in kept):
+                kept.append(one)
+        assert license_scan.without_overlaps(matches) == sorted(kept, key=lambda one: one[3])
