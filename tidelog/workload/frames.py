@@ -57,10 +57,10 @@ class Frames:
     def lines(self) -> DataFrame:
         return self.sql(derive.lines(self.dialect)).select("value")
 
-    def line_files(self, files: int = 4) -> str:
-        """The log as text files in a fresh folder."""
+    def line_files(self) -> str:
+        """The log as text files in a fresh folder, one of each split of the events."""
         path = self.scratch("lines")
-        self.lines().repartition(files).write.text(path)
+        self.lines().write.text(path)
         return path
 
     def event_table(self) -> EventTable:

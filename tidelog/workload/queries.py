@@ -1129,7 +1129,8 @@ def _(f: Frames):
 )
 def _(f: Frames):
     source, root = f.scratch("arrivals"), f.scratch("stream-job")
-    f.invocations().select("value").repartition(4).write.text(source)
+    lines = f.invocations().select("value").hint("rebalance")
+    lines.write.option("maxRecordsPerFile", 50_000).text(source)
     job = StreamJob(root, WINDOW)
     job.start(f.spark, source, f"{root}/checkpoint", files_per_trigger=2).awaitTermination()
     return job.read_snapshot(f.spark, "endpoints")
