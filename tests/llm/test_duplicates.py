@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -116,6 +117,32 @@ def test_simhash_stage_keeps_one_row_of_each_group(docs_of, odd_rows):
     assert kept.count() == len(groups)
 
 
+def test_keys_widen_with_the_number_of_prints():
+    """Candidates by chance, per print, grow far less than the prints."""
+    by_chance = []
+    for power in range(10, 34):
+        found = ring_simhash.lookups(4, ring_simhash.key_width(1 << power))
+        by_chance.append(sum((1 << power) / (1 << (mask % (1 << 64)).bit_count()) for _, mask in found))
+    assert max(by_chance) < 1000
+    assert len(ring_simhash.lookups()) == 15 and ring_simhash.key_width(250_000) == (3, 3)
+
+
+@pytest.mark.parametrize("width", ring_simhash.WIDTHS)
+def test_every_near_pair_shares_a_key(width):
+    import random
+
+    draw = random.Random(sum(width))
+    found = ring_simhash.lookups(4, width)
+    chains = [ring_simhash.chain_masks(start) for start in range(5)]
+    for _ in range(3000):
+        difference = sum(1 << bit for bit in draw.sample(range(64), draw.randint(0, 4)))
+        assert any(
+            not difference & mask % (1 << 64)
+            and all((difference & m % (1 << 64)).bit_count() <= ring_simhash.chain_budget(n) for n, m in enumerate(chains[start], 1))
+            for start, mask in found
+        )
+
+
 def test_ring_filter_loses_no_link(spark):
     import random
 
@@ -132,11 +159,12 @@ def test_ring_filter_loses_no_link(spark):
     scratch = Scratch(spark, "test")
     nodes = spark.createDataFrame([(value,) for value in signed], "node LONG")
     found = {row["node"]: row["root"] for row in ring_simhash.near_roots(nodes, scratch).collect()}
+    wide = {row["node"]: row["root"] for row in ring_simhash.near_roots(nodes, scratch, width=(4, 5)).collect()}
     mask = (1 << 64) - 1
     edges = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 4]
     expected = roots_of(signed, edges)
     parts = lambda roots: {frozenset(n for n in signed if roots.get(n, n) == r) for r in {roots.get(n, n) for n in signed}}
-    assert parts(found) == parts(expected)
+    assert parts(found) == parts(wide) == parts(expected)
 
 
 def test_components_of_a_long_path_and_no_edges(spark):

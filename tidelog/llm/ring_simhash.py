@@ -4,14 +4,16 @@ A fingerprint is cut into five segments on a ring. If two fingerprints differ in
 four bits, some segment starts a chain in which the first segment has no difference, the
 first two at most one, the first three at most two, and so on: every chain stays within
 its share of the budget. Candidates are looked up by the first segment of such a chain,
-equal, together with one of three equal parts of the next two segments, which have two
-differences at most. A candidate must pass the chain before all bits are compared.
+equal, together with equal parts of the segments behind it: of three parts of the next
+two, which have two differences at most, one is equal. For more fingerprints keys take
+more parts. A candidate must pass the chain before all bits are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,8 @@ MOST_BITS = 4
 SEGMENTS = MOST_BITS + 1
 #: Shingles that are hashed at once.
 SHINGLES_AT_ONCE = 100_000
+#: Widths of lookup keys, from 20 bits in 15 lookups to 36 bits in 280.
+WIDTHS = [(3, 3), (4, 5), (4, 6), (4, 8)]
 #: Members of a bucket that all others are linked to first.
 LEADERS = 3
 BITS = np.arange(64, dtype=np.uint64)
@@ -96,24 +100,40 @@ def chain_masks(start: int, most_bits: int = MOST_BITS) -> list[int]:
     return masks
 
 
-def lookups(most_bits: int = MOST_BITS) -> list[tuple[int, int]]:
+def lookups(most_bits: int = MOST_BITS, width: tuple[int, int] = (3, 3)) -> list[tuple[int, int]]:
     """(start of the chain, mask of the bits that must be equal) of every lookup.
 
-    The chain's second and third segment differ in at most ``budget`` bits, so of one
-    part more than that at least one is equal.
+    width: segments of the chain that a key looks at, and parts that the segments behind
+    the first one are cut into. These segments differ in at most ``budget`` bits, so all
+    but ``budget`` parts are equal; there is a lookup for each choice of them.
     """
     ring, found = segments(most_bits), []
-    budget = chain_budget(min(3, len(ring)), most_bits)
+    length, parts = min(width[0], len(ring)), width[1]
+    equal_parts = max(1, parts - chain_budget(length, most_bits))
+    parts = equal_parts + chain_budget(length, most_bits)
     for start in range(len(ring)):
-        own, *others = [ring[(start + step) % len(ring)] for step in range(min(3, len(ring)))]
+        own, *others = [ring[(start + step) % len(ring)] for step in range(length)]
         first = list(range(own[0], sum(own)))
         rest = [bit for low, size in others for bit in range(low, low + size)]
-        for part in range(budget + 1):
-            equal = rest[len(rest) * part // (budget + 1) : len(rest) * (part + 1) // (budget + 1)]
-            found.append((start, mask_of(first + equal)))
+        cut = [rest[len(rest) * part // parts : len(rest) * (part + 1) // parts] for part in range(parts)]
+        for chosen in combinations(cut, equal_parts):
+            found.append((start, mask_of(first + [bit for part in chosen for bit in part])))
     return found
 
 
+def key_width(prints: int, most_bits: int = MOST_BITS) -> tuple[int, int]:
+    """The width for so many fingerprints: the first whose keys have about as many values.
+
+    Chance brings together as many prints as there are for each value of a key, so keys
+    must become wider as the prints become more; the groups found are the same.
+    """
+    for width in WIDTHS:
+        narrowest = min((mask % (1 << 64)).bit_count() for _, mask in lookups(most_bits, width))
+        if prints <= 8 << narrowest:
+            break
+    return width
+
+
 def chain_budget(length: int, most_bits: int = MOST_BITS) -> int:
     return length * most_bits // (most_bits + 1)
 
@@ -135,19 +155,22 @@ def close(a: Column, b: Column, start: Column, most_bits: int = MOST_BITS) -> Co
     return chains & (F.bit_count(difference) <= most_bits)
 
 
-def near_roots(prints: DataFrame, scratch: Scratch, most_bits: int = MOST_BITS) -> DataFrame:
+def near_roots(
+    prints: DataFrame, scratch: Scratch, most_bits: int = MOST_BITS, width: tuple[int, int] | None = None
+) -> DataFrame:
     """(node, root) of the fingerprints that have another within ``most_bits`` bits.
 
-    ``prints`` (node): different fingerprints. In each bucket of a lookup the members are
+    ``prints`` (node): different fingerprints. width: of the lookup keys, by default that
+    for the number of prints. In each bucket of a lookup the members are
     first linked to a few of them only. What these links connect is not compared again;
     members of parts that are still apart are all compared. So no link between parts is
     lost, and a bucket of many near copies does not give all their pairs.
     """
-    found = lookups(most_bits)
+    found = lookups(most_bits, width or key_width(prints.count(), most_bits))
     keys = F.array(
         *[
             F.struct(
-                F.lit(number).cast("byte").alias("lookup"),
+                F.lit(number).cast("short").alias("lookup"),
                 F.lit(start).cast("byte").alias("start"),
                 F.col("node").bitwiseAND(F.lit(mask)).alias("bits"),
             )
