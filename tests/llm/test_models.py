@@ -355,3 +355,64 @@ def test_overlapping_matches_as_when_all_are_compared():
             if all(one[4] <= other[3] or one[3] >= other[4] for other in kept):
                 kept.append(one)
         assert license_scan.without_overlaps(matches) == sorted(kept, key=lambda one: one[3])
+
+
+def naive_score(model, text):
+    """Score of a text from the model's own vectors, one n-gram at a time."""
+    settings = model.settings
+
+    def vector(gram):
+        rolled = ord(gram[0])
+        for letter in gram[1:]:
+            rolled = (rolled * 0x100000001B3 + ord(letter)) % (1 << 64)
+        return model.vectors[(rolled * 0x9E3779B97F4A7C15 % (1 << 64) >> 40) % settings.buckets]
+
+    words = re.sub(r"[^\w\s]+|_+", "", (text or "").lower()).split()
+    means = []
+    for word in words:
+        marked = f"<{word}>"
+        grams = [marked[at : at + n] for n in range(3, 7) for at in range(len(marked) - n + 1)]
+        means.append(sum(map(vector, grams)) / len(grams))
+    odds = []
+    for at in range(0, max(1, len(words)), settings.segment):
+        segment = sum(means[at : at + settings.segment], np.zeros(settings.size)) / settings.segment
+        left, right = segment @ model.weights + model.bias
+        odds.append(1 / (1 + math.exp(left - right)))
+    return max(odds)
+
+
+def test_scores_match_brute_force(docs_of, labels_of, odd_rows, insults):
+    texts, marks = insults
+    rows = odd_rows + [(100 + n, text, "en", "a") for n, text in enumerate(texts[:400])]
+    docs, labels = docs_of(rows), labels_of([(100 + n, 1, mark) for n, mark in enumerate(marks[:400])])
+    model = toxicity.fit_on_labels(docs, labels, SMALL)
+    found = sorted((repr(row["doc_id"]), row["score"]) for row in toxicity.score_documents(docs, labels, SMALL).collect())
+    right = sorted((repr(row[0]), naive_score(model, row[1])) for row in rows)
+    assert [name for name, _ in found] == [name for name, _ in right]
+    assert [score for _, score in found] == pytest.approx([score for _, score in right], abs=1e-4)
+
+
+def test_weights_match_brute_force(docs_of, labels_of, odd_rows):
+    rows = odd_rows + [(300 + n, prose(n, 60), "en", "a") for n in range(30)]
+    labels = labels_of([(300 + n, 1, 0) for n in range(10)] + [(305, 0, 0), (2, 1, None)])
+    mix, crc = 0x9E3779B97F4A7C15, lambda word: zlib.crc32(word.encode())
+
+    def buckets(text):
+        hashes = [crc(word) for word in words_of(text or "")]
+        grams = hashes + [a * 31 + b + 1 for a, b in zip(hashes, hashes[1:], strict=False)]
+        return Counter((gram * mix % (1 << 64)) >> 48 for gram in grams)
+
+    good = {300 + n for n in range(10)} - {305} | {2}
+    target = sum((buckets(row[1]) for row in rows if row[0] in good), Counter())
+    raw = sum((buckets(row[1]) for row in rows), Counter())
+    size = importance.BUCKETS
+    ratio = lambda b: math.log((target[b] + 1) / (target.total() + size)) - math.log((raw[b] + 1) / (raw.total() + size))
+    found = sorted((repr(r["doc_id"]), r["n_grams"], r["log_weight"]) for r in importance.resample(docs_of(rows), labels).collect())
+    right = []
+    for row in rows:
+        own = buckets(row[1])
+        total = sum(n * ratio(b) for b, n in own.items())
+        right.append((repr(row[0]), own.total(), 64 * total / (own.total() + 16)))
+    right.sort()
+    assert [one[:2] for one in found] == [one[:2] for one in right]
+    assert [one[2] for one in found] == pytest.approx([one[2] for one in right], rel=1e-9, abs=1e-12)
