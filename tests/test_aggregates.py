@@ -3,6 +3,7 @@ import pytest
 from tidelog.operators import aggregates, reports
 from tidelog.operators.parse import read_events
 from tidelog.plans.batch import run_batch
+from tidelog.plans.reports import run_reports
 from tidelog.sources.tables import create_database, read_batch_tables
 from tests.samples import CONTROLLED_LOG, log_line
 
@@ -111,3 +112,23 @@ def test_reconciliation_fails_on_a_missing_row(spark, controlled):
         ("response_byte_totals byte total", "PASS"),
         ("status_code_distribution record total", "PASS"),
     ]
+
+
+@pytest.mark.parametrize("database", [None, "tidelog_reports"])
+def test_report_command(spark, tmp_path, database):
+    (tmp_path / "a.log").write_text("\n".join(CONTROLLED_LOG) + "\n")
+    results, out = str(tmp_path / "results"), str(tmp_path / "reports")
+    run_batch(spark, str(tmp_path / "a.log"), results)
+    assert run_reports(spark, results, out, database=database)
+    assert sorted(path.name for path in (tmp_path / "reports").iterdir()) == sorted(reports.REPORTS)
+    top = spark.read.option("header", "true").csv(f"{out}/combined_endpoint_report").collect()
+    assert {row.endpoint for row in top} == {"/catalog", "/catalog/7", "/cart", "/style.css"}
+    spark.createDataFrame([(1, 1)], "total_valid_records BIGINT, total_response_bytes BIGINT").write.mode("overwrite").parquet(
+        f"{results}/batch_summary"
+    )
+    if database:
+        spark.catalog.refreshTable(f"{database}.batch_summary")
+    assert not run_reports(spark, results, out, ["reconcile_batch"], database)
+    if database:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+        assert spark.read.parquet(f"{results}/requests_per_endpoint").count() == 4

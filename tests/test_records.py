@@ -35,11 +35,11 @@ def batch(spark, numbers, shift=0, broken=0):
 
 @pytest.fixture
 def filled(spark, tmp_path):
-    """Eight micro-batches over five hours, with retries and unreadable records."""
+    """Five micro-batches over five hours, with retries and unreadable records."""
     job = StreamJob(str(tmp_path / "out"), 7200)
     draw = random.Random(2)
-    for number in range(8):
-        numbers = [draw.randrange(300) for _ in range(40)]
+    for number in range(5):
+        numbers = [draw.randrange(300) for _ in range(60)]
         job.process(batch(spark, dict.fromkeys(numbers), broken=number % 3), number)
     return job
 
@@ -73,20 +73,20 @@ def test_compaction_changes_no_answer(spark, tmp_path, filled):
     assert rows(job.read_dead_letters(spark)) == letters and rows(job.read_invocations(spark)) == summaries
     assert rows(job.read_latency(spark, 1.0)) == latency
 
-    job.process(batch(spark, range(200, 260)), 8)
-    job.process(batch(spark, range(200, 220), shift=7, broken=1), 9)
+    job.process(batch(spark, range(200, 260)), 5)
+    job.process(batch(spark, range(200, 220), shift=7, broken=1), 6)
     after = everything(), snapshot(spark, job), stored_window(spark, job, str(tmp_path / "g2"))
     second = job.compact(spark)
     assert second == 1
     assert (everything(), snapshot(spark, job), stored_window(spark, job, str(tmp_path / "g3"))) == after
     assert job.compact(spark) is None  # nothing new
-    job.process(batch(spark, range(290, 310)), 10)
-    job.process(batch(spark, range(290, 330)), 11)
+    job.process(batch(spark, range(290, 310)), 7)
+    job.process(batch(spark, range(290, 330)), 8)
     assert job.compact(spark) == 2
     live = [name for hour in children(spark, f"{job.store.live}/kind=valid") for name in children(spark, f"{job.store.live}/kind=valid/{hour}")]
-    assert live and job.read_invocations(spark).count() == 12
+    assert live and job.read_invocations(spark).count() == 9
     first_hour = f"{job.store.live}/kind=valid/event_date=2026-07-31/event_hour=21"
-    assert not [name for name in children(spark, first_hour) if int(name[9:]) <= 7]
+    assert not [name for name in children(spark, first_hour) if int(name[9:]) <= 4]
 
 
 def test_a_micro_batch_that_runs_again_after_compaction(spark, filled):
@@ -94,9 +94,9 @@ def test_a_micro_batch_that_runs_again_after_compaction(spark, filled):
     before = rows(filled.store.read(spark).select(*names))
     filled.compact(spark)
     draw = random.Random(2)
-    for number in range(8):
-        numbers = [draw.randrange(300) for _ in range(40)]
-    filled.process(batch(spark, dict.fromkeys(numbers), broken=1), 7)
+    for number in range(5):
+        numbers = [draw.randrange(300) for _ in range(60)]
+    filled.process(batch(spark, dict.fromkeys(numbers), broken=1), 4)
     assert rows(filled.store.read(spark).select(*names)) == before
 
 
@@ -108,8 +108,8 @@ def test_retention_gives_up_old_hours_only(spark, filled):
     assert newest - 3 * 3600 * 10**6 < oldest <= newest - 7000 * 10**6
     assert filled.read_dead_letters(spark).count() > 0
     before = snapshot(spark, filled)
-    filled.process(batch(spark, [1], shift=1), 8)  # a late event of an hour that was given up
-    assert filled.store.read(spark, "valid").filter("batch_id = 8").count() == 1
+    filled.process(batch(spark, [1], shift=1), 5)  # a late event of an hour that was given up
+    assert filled.store.read(spark, "valid").filter("batch_id = 5").count() == 1
     assert snapshot(spark, filled) == before
 
 

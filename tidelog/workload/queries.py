@@ -239,7 +239,9 @@ def _(f: Frames):
     sinks.write_batch_results(f.tables(), path)
     tables.create_database(f.spark, name, path)
     reports.create_views(f.spark, name)
-    return f.spark.table(f"{name}.batch_health_summary")
+    found = stage(f.spark.table(f"{name}.batch_health_summary"), "health")
+    f.spark.sql(f"DROP DATABASE {name} CASCADE")  # its tables are folders, which stay
+    return found
 
 
 @query(
