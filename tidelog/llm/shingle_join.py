@@ -9,6 +9,8 @@ Candidates are compared on all their shingles.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -22,6 +24,8 @@ from tidelog.operators.skew import spread_join
 SHINGLE_WORDS = 5
 BANDS = 30
 BAND_ROWS = 5
+#: Bands by which rows are first compared.
+BANDS_AT_ONCE = 6
 #: Numbers of rows that are sent to all tasks at most, eight bytes each.
 BROADCAST_ROWS = 2_000_000
 #: Shingles whose random orders are computed at once.
@@ -100,41 +104,43 @@ def similar_pairs(pairs: DataFrame, rows: DataFrame, scratch: Scratch, similarit
 def similar_groups(sketches: DataFrame, rows: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
     """(entry, root) of the rows that links of similar texts connect with others.
 
-    ``sketches`` (entry, n, keys) and ``rows`` (entry, text) are written. In each band the
-    rows are first compared with two of them. What these links connect is not compared
-    again; rows of parts that are still apart are, if their sizes allow the similarity. So
-    no link between parts is lost, and a group of many near copies does not give all its
-    pairs.
+    ``sketches`` (entry, n, keys) and ``rows`` (entry, text) are written. Some bands at a
+    time, every row is compared with the first row of one of its bands, and rows that are
+    similar to it need no further comparison of that kind: in a group of many near copies
+    this connects nearly all, with about one pair a row. In the end all rows that share a
+    band and are not connected yet are compared, if their sizes allow the similarity. So
+    no link between groups is lost, and a large group does not give all its pairs.
     """
-    posted = sketches.select("entry", "n", F.explode("keys").alias("key"))
-    heads = posted.groupBy("key").agg(
-        F.min("entry").alias("first"), F.max("entry").alias("last"), F.count("*").alias("members")
-    )
-    crowded = scratch.write(posted.join(heads.filter("members > 1").drop("members"), "key"), "crowded-bands")
-    head = F.explode(F.array("first", "last")).alias("to_entry")
-    stars = scratch.write(crowded.select("entry", head).filter("entry <> to_entry").distinct(), "stars")
-    links = similar_pairs(stars, rows, scratch, similarity)
+    links: list[DataFrame] = []
+    connected: list[DataFrame] = []
+    for start in range(1, BANDS + 1, BANDS_AT_ONCE):
+        some = F.slice("keys", F.lit(start), F.lit(BANDS_AT_ONCE))
+        left = of_entries(sketches, reduce(DataFrame.unionByName, connected), "left_anti") if connected else sketches
+        posted = left.select("entry", F.explode(some).alias("key"))
+        heads = posted.groupBy("key").agg(F.min("entry").alias("head"), F.count("*").alias("members"))
+        near = posted.join(heads.filter("members > 1").drop("members"), "key").filter("entry <> head")
+        pairs = scratch.write(near.groupBy("entry").agg(F.min("head").alias("to_entry")), "pairs")
+        found = similar_pairs(pairs, rows, scratch, similarity)
+        links.append(found)
+        connected.append(scratch.write(found.select("entry").distinct(), "connected"))
     edges = lambda pairs: pairs.select(F.col("entry").alias("a"), F.col("to_entry").alias("b"))
-    parts = scratch.write(connected_components(edges(links), scratch), "parts")
-
-    members = crowded.join(parts.withColumnRenamed("node", "entry"), "entry", "left").select(
-        "key", "entry", "n", F.coalesce("root", "entry").alias("part")
-    )
-    apart = members.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("m"))
-    # Of two rows the heads are both, so their pair has been compared.
-    left = scratch.write(members.join(apart.filter("p <> q AND m > 2").select("key"), "key"), "apart")
-    right = left.select("key", *[F.col(name).alias(f"to_{name}") for name in ("entry", "n", "part")])
+    known = scratch.write(reduce(DataFrame.unionByName, links), "links")
+    parts = scratch.write(connected_components(edges(known), scratch), "parts")
+
+    placed = sketches.join(parts.withColumnRenamed("node", "entry"), "entry", "left")
+    members = scratch.write(placed.select("entry", "n", "keys", F.coalesce("root", "entry").alias("part")), "members")
+    posted = members.select("entry", "n", "part", F.explode("keys").alias("key"))
+    apart = posted.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+    meeting = scratch.write(posted.join(apart.select("key"), "key"), "apart")
+    other = meeting.select("key", *[F.col(name).alias(f"to_{name}") for name in ("entry", "n", "part")])
     allowed = F.least("n", "to_n") >= F.lit(similarity - 1e-9) * F.greatest("n", "to_n")
     meet = (
-        (left["key"] == right["key"])
+        (meeting["key"] == other["key"])
         & (F.col("part") != F.col("to_part"))
         & (F.col("entry") < F.col("to_entry"))
         & allowed
     )
-    tested = stars.select(F.least("entry", "to_entry").alias("entry"), F.greatest("entry", "to_entry").alias("to_entry"))
-    between = left.join(right, meet).select("entry", "to_entry").distinct()
-    more = similar_pairs(
-        scratch.write(between.join(tested, ["entry", "to_entry"], "left_anti"), "between"), rows, scratch, similarity
-    )
-    scratch.drop(crowded, left)
-    return connected_components(edges(links.unionByName(more)), scratch).withColumnRenamed("node", "entry")
+    between = scratch.write(meeting.join(other, meet).select("entry", "to_entry").distinct(), "between")
+    more = similar_pairs(between, rows, scratch, similarity)
+    scratch.drop(members, meeting)
+    return connected_components(edges(known.unionByName(more)), scratch).withColumnRenamed("node", "entry")
