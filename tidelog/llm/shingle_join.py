@@ -25,7 +25,7 @@ SHINGLE_WORDS = 5
 BANDS = 30
 BAND_ROWS = 5
 #: Bands by which rows are first compared.
-BANDS_AT_ONCE = 6
+BANDS_AT_ONCE = 10
 #: Numbers of rows that are sent to all tasks at most, eight bytes each.
 BROADCAST_ROWS = 2_000_000
 #: Shingles whose random orders are computed at once.
