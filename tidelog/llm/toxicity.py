@@ -24,6 +24,8 @@ from tidelog.llm.common import id_remainder, read_table
 
 REJECT_FROM = 0.3
 ENOUGH_TO_SCALE = 20
+#: Rows of the n-gram table that a training step moves at once.
+ROWS_AT_ONCE = 1 << 14
 NO_LETTERS = re.compile(r"[^\w\s]+|_+")
 
 
@@ -139,16 +141,12 @@ def fit(texts: list[str], toxic: list[int], weights: list[float], settings: Sett
         to_words = np.bincount(tokens, share[segment_of_token], len(known)) / gram_counts
         to_grams = np.bincount(grams, to_words[word_of_gram], settings.buckets)
         slope, down = softmax[:, 1] - softmax[:, 0], vectors.T @ to_grams
-        slopes = (
-            np.outer(to_grams, slope) + settings.decay * vectors,
-            np.stack([-down, down], 1) + settings.decay * softmax,
-            np.array([-error.sum(), error.sum()]),
-        )
-        for values, found, moment in zip((vectors, softmax, bias), slopes, moments, strict=True):
-            moment[0] += 0.1 * (found - moment[0])
-            moment[1] += 0.01 * (found**2 - moment[1])
-            mean, spread = moment[0] / (1 - 0.9**step), moment[1] / (1 - 0.99**step)
-            values -= settings.rate * mean / (np.sqrt(spread) + 1e-9)
+        for start in range(0, settings.buckets, ROWS_AT_ONCE):
+            some = slice(start, start + ROWS_AT_ONCE)
+            found = np.outer(to_grams[some], slope) + settings.decay * vectors[some]
+            move(vectors[some], found, [moment[some] for moment in moments[0]], step, settings.rate)
+        move(softmax, np.stack([-down, down], 1) + settings.decay * softmax, moments[1], step, settings.rate)
+        move(bias, np.array([-error.sum(), error.sum()]), moments[2], step, settings.rate)
     top, _ = worst_segments()
     if min(truth[kept_out].sum(), (1 - truth[kept_out]).sum()) >= ENOUGH_TO_SCALE:
         factor, shift = scale_of_odds(top[kept_out], truth[kept_out], counts[kept_out])
@@ -157,6 +155,15 @@ def fit(texts: list[str], toxic: list[int], weights: list[float], settings: Sett
     return Model(vectors, softmax, bias, settings)
 
 
+def move(values: np.ndarray, slope: np.ndarray, moments: list[np.ndarray], step: int, rate: float) -> None:
+    """One step of Adam, in place."""
+    first, second = moments
+    first += 0.1 * (slope - first)
+    second += 0.01 * (slope**2 - second)
+    mean, spread = first / (1 - 0.9**step), second / (1 - 0.99**step)
+    values -= rate * mean / (np.sqrt(spread) + 1e-9)
+
+
 def scale_of_odds(scores: np.ndarray, truth: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
     """Factor and shift that turn scores into log odds, by Newton steps."""
     center, spread = scores.mean(), scores.std() + 1e-9
