@@ -163,6 +163,25 @@ def test_ppm_probabilities_add_up_to_one():
     assert np.all(sums <= 1 + 1e-9) and np.all(sums > 0.9)
 
 
+def test_ppm_contexts_are_never_merged():
+    contexts = np.random.default_rng(5).integers(0, 1 << 40, 200_000, dtype=np.uint64)
+    for order in range(ppm.ORDER + 1):
+        own = contexts & np.uint64((1 << 8 * order) - 1)
+        assert len(np.unique(ppm.classes_of(order, contexts))) == len(np.unique(own))
+
+
+def test_ppm_scores_do_not_depend_on_how_grams_are_dealt(docs_of, odd_rows, monkeypatch):
+    def scores():
+        return sorted(map(tuple, ppm.score_documents(docs_of(odd_rows)).collect()), key=repr)
+
+    whole = scores()
+    for name in ("PART_WORDS", "BUCKET_GRAMS", "BLOCK_DOCUMENTS"):
+        monkeypatch.setattr(ppm, name, 5)
+    for got, want in zip(scores(), whole, strict=True):
+        assert got[:5] == want[:5]
+        assert got[5:] == pytest.approx(want[5:], rel=1e-5)
+
+
 def test_pfair_meets_windows_and_stays_within_a_block(docs_of):
     sizes = {"a": 900, "b": 300, "c": 130, None: 20}
     rows = [(1000 * n + at, "x", "en", name) for n, (name, size) in enumerate(sizes.items()) for at in range(size)]
