@@ -16,6 +16,8 @@ from tidelog.plans.global_window import run_global
 from tidelog.session import children
 from tidelog.streaming.job import StreamJob
 from tidelog.streaming.unique import start_unique
+from tidelog.workload.frames import Frames
+from tidelog.workload.queries import QUERIES
 
 START = datetime(2026, 7, 31, 21, 30, tzinfo=timezone.utc)
 
@@ -209,3 +211,16 @@ def test_an_empty_micro_batch(spark, tmp_path):
         job.read_snapshot(spark, "endpoints")
     job.process(invocations(spark, json.loads('{"Records": []}')), 1)
     assert job.compact(spark) is None
+
+
+def test_write_delta_decodes_its_records_once_for_both_runs(spark, tmp_path, monkeypatch):
+    events = spark.range(300).selectExpr("id AS event_id", "id % 7 AS user_id", "'view' AS event_type")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    calls, decoded = [], Frames.decoded
+    monkeypatch.setattr(Frames, "decoded", lambda self: calls.append(1) or decoded(self))
+    found = QUERIES["write_delta"](spark, str(tmp_path))
+    assert len(calls) == 1
+    valid = Frames(spark, str(tmp_path)).decoded().filter("valid")
+    assert sorted(r[0] for r in found.select("event_id").collect()) == sorted(
+        r[0] for r in valid.select("event_id").collect()
+    )
