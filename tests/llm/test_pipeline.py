@@ -5,10 +5,14 @@ from __future__ import annotations
 import random
 import re
 
+import pandas as pd
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.conftest import prose
 from tests.llm.test_duplicates import roots_of, simhash
 from tidelog.llm import pfair, ring_simhash, shingle_join
+from tidelog.llm.common import BATCH_ROWS, CLEAN_UP, Scratch
 
 
 def test_stages_take_effect(spark, docs_of, labels_of, odd_rows, tmp_path):
@@ -100,3 +104,15 @@ def test_every_row_has_a_slot_of_its_own(spark, docs_of):
     order = [source[text] for text in mixed]
     expected = [row.source for row in sorted(slots, key=lambda row: (row.slot, row.place_in_block))]
     assert order == expected
+
+
+def test_scratch_sends_small_batches_and_restores_the_settings(spark):
+    @F.pandas_udf("long")
+    def batch(numbers: pd.Series) -> pd.Series:
+        return pd.Series([len(numbers)] * len(numbers))
+
+    settings = [CLEAN_UP, BATCH_ROWS]
+    before = [spark.conf.get(key, None) for key in settings]
+    table = spark.range(0, 100, 1, 1).select(batch("id").alias("n"))
+    assert Scratch(spark, "batches").write(table, "small", 7).agg(F.max("n")).first()[0] == 7
+    assert [spark.conf.get(key, None) for key in settings] == before

@@ -34,6 +34,8 @@ SEGMENTS = MOST_BITS + 1
 SHINGLES_AT_ONCE = 100_000
 #: Widths of lookup keys, from 20 bits in 15 lookups to 36 bits in 280.
 WIDTHS = [(3, 3), (4, 5), (4, 6), (4, 8)]
+#: Texts that a Python process holds at once, next to their fingerprints and sketches.
+TEXTS_AT_ONCE = 500
 #: Members of a bucket that all others are linked to first.
 LEADERS = 3
 BITS = np.arange(64, dtype=np.uint64)
@@ -273,6 +275,7 @@ def drop_near_duplicates(
             F.monotonically_increasing_id().alias("entry"),
         ),
         "rows",
+        TEXTS_AT_ONCE,
     )
     prints = numbered.select("doc_id", "fingerprint", "entry")
     groups = scratch.write(grouped_prints(prints, scratch, most_bits), "groups")

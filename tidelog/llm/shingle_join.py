@@ -42,9 +42,8 @@ def shingle_set(text: str | None) -> set[str]:
     return {" ".join(words[at : at + size]) for at in range(len(words) - size + 1)} if words else set()
 
 
-def band_keys(text: str | None) -> list[int]:
+def band_keys(shingles: set[str]) -> list[int]:
     """A 64-bit number for each band; none without words."""
-    shingles = shingle_set(text)
     if not shingles:
         return []
     hashes = np.fromiter((xxhash.xxh64_intdigest(one.encode("utf-8", "replace")) for one in shingles), np.uint64)
@@ -67,7 +66,9 @@ def sketch_column(text: Column) -> Column:
 
     @F.pandas_udf("n INT, keys ARRAY<LONG>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"n": [len(shingle_set(t)) for t in texts], "keys": [band_keys(t) for t in texts]})
+        sets = map(shingle_set, texts)
+        found = [(len(shingles), band_keys(shingles)) for shingles in sets]
+        return pd.DataFrame(found, columns=["n", "keys"])
 
     return sketch(text)
 
