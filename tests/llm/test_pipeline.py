@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.conftest import prose
 from tests.llm.test_duplicates import roots_of, simhash
-from tidelog.llm import pfair, ring_simhash, shingle_join
+from tidelog.llm import bpe, pfair, ring_simhash, shingle_join
 from tidelog.llm.common import BATCH_ROWS, CLEAN_UP, Scratch
 
 
@@ -116,3 +116,27 @@ def test_scratch_sends_small_batches_and_restores_the_settings(spark):
     table = spark.range(0, 100, 1, 1).select(batch("id").alias("n"))
     assert Scratch(spark, "batches").write(table, "small", 7).agg(F.max("n")).first()[0] == 7
     assert [spark.conf.get(key, None) for key in settings] == before
+
+
+def test_texts_of_the_last_stage_go_to_python_in_small_batches(spark, docs_of, monkeypatch):
+    class Watched(bpe.Encoder):
+        def encode(self, texts):
+            assert len(texts) <= 500
+            return super().encode(texts)
+
+    monkeypatch.setattr(bpe, "Encoder", Watched)
+    rows = docs_of([(number, f"text {number}", "en", "a") for number in range(1200)]).coalesce(1)
+    assert len(corpus_pipeline.encode(spark, rows, "").collect()) == 1200
+
+
+def test_pairs_of_texts_go_to_python_in_small_batches(spark):
+    class Watched(Scratch):
+        def write(self, table, name, rows_at_once=None):
+            batches[name] = rows_at_once
+            return super().write(table, name, rows_at_once)
+
+    batches = {}
+    texts = spark.createDataFrame([(number, "a b c d e f") for number in range(4)], "entry LONG, text STRING")
+    pairs = texts.filter("entry > 0").select("entry", F.lit(0).cast("long").alias("to_entry"))
+    assert shingle_join.similar_pairs(pairs, texts, Watched(spark, "watched"), 0.8).count() == 3
+    assert batches["similar"] <= 500

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import read_table
+from tidelog.llm.common import Scratch, read_table
 
 #: Fixed value: how the vocabulary's texts are cut into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -35,6 +35,8 @@ NEVER = np.iinfo(np.int32).max
 KNOWN_WORDS = 400_000
 WORDS_AT_ONCE = 200_000
 CHARACTERS_AT_ONCE = 1_000_000
+#: Texts that a Python process holds at once, next to its vocabulary and known words.
+TEXTS_AT_ONCE = 500
 #: Longer words are merged one by one.
 SHORT_WORD = 48
 
@@ -385,7 +387,8 @@ def round_trip_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row of ``docs``.
 
     The ids of a text are hashed where they are made; they are decoded from the ids, not
-    from the words that were encoded.
+    from the words that were encoded. The digests are written once, so that texts go to
+    Python in small batches whatever the session's setting is.
     """
     spark = docs.sparkSession
     vocabulary = read_vocabulary(path or tokenizer_path())
@@ -402,7 +405,8 @@ def round_trip_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 rows.append((len(ids) // 4, sha256(ids), sha256(decoded)))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", digests(F.col("text")).alias("found")).select("doc_id", "found.*")
+    found = docs.select("doc_id", digests(F.col("text")).alias("found")).select("doc_id", "found.*")
+    return Scratch(spark, "bpe").write(found, "digests", TEXTS_AT_ONCE)
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,8 @@ BAND_ROWS = 5
 BANDS_AT_ONCE = 10
 #: Numbers of rows that are sent to all tasks at most, eight bytes each.
 BROADCAST_ROWS = 2_000_000
+#: Pairs of texts that a Python process holds at once.
+PAIRS_AT_ONCE = 250
 #: Shingles whose random orders are computed at once.
 AT_ONCE = 2000
 DRAW = np.random.default_rng(11)
@@ -97,7 +99,7 @@ def similar_pairs(pairs: DataFrame, rows: DataFrame, scratch: Scratch, similarit
     others = texts.select(F.col("entry").alias("to_entry"), F.col("text").alias("to_text")).join(copies, "to_entry")
     joined = spread_join(pairs.join(texts, "entry"), others, ["to_entry"], ["entry"])
     similar = joined.filter(found("text", "to_text") >= similarity - 1e-9).select("entry", "to_entry")
-    found_pairs = scratch.write(similar, "similar")
+    found_pairs = scratch.write(similar, "similar", PAIRS_AT_ONCE)
     scratch.drop(texts, wanted)
     return found_pairs
 
