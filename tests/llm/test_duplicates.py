@@ -245,3 +245,20 @@ def test_empty_tables(docs_of):
         line_join.dedup_lines(empty),
     ):
         assert found.count() == 0
+
+
+def test_words_of_one_line_are_not_written(spark):
+    class Watched(Scratch):
+        def write(self, table, name, *args, **kwargs):
+            written = super().write(table, name, *args, **kwargs)
+            rows[name] = rows.get(name, 0) + written.count()
+            return written
+
+    lines = [" ".join(f"w{line}x{word}" for word in range(30)) for line in range(20)]
+    near = lines[7].replace("w7x0", "other").replace("w7x29", "more")
+    texts = ["\n".join(lines[:10]), "\n".join(lines[10:]) + "\n" + near]
+    table = spark.createDataFrame([(at, text, at) for at, text in enumerate(texts)], "doc_id LONG, text STRING, entry LONG")
+    rows = {}
+    kept = line_join.kept_lines(table, Watched(spark, "watched"))
+    assert sorted(map(tuple, kept.collect())) == [(at // 10, at % 10) for at in range(20)]
+    assert 2 <= rows["postings"] <= 14

@@ -12,33 +12,51 @@ travel with the plan. Any order of words gives the same result; rare first is fa
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log2
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import BLANKS, Scratch, read_table
 
 SIMILARITY = 0.8
 COUNT_BUCKETS = 1 << 15
+#: Numbers of sets that are sent to all tasks at most, eight bytes each.
+BROADCAST_ROWS = 2_000_000
+#: Shares of the words whose sets are joined one after the other.
+PASSES = 4
+#: Codec of the tables that hold texts.
+DENSE = "zstd"
+#: Bits of a word's hash in its token, below the seven of its class.
+HASH_BITS = 55
 #: Order of lines. Structs compare nulls as smallest, so rows without an id come first.
 PLACE = ["doc_id", "line", "entry"]
 
 
 def line_sets(rows: DataFrame) -> DataFrame:
     """(doc_id, line, entry, words): the different lower-case words of each line, in order,
-    joined by spaces. Lines without words are left out. ``rows`` (doc_id, text, entry)."""
+    joined by spaces. Lines without words are left out. ``rows`` (doc_id, text, entry).
+
+    Only lines with other blanks than single spaces pass through the pattern."""
     lines = rows.select("doc_id", "entry", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    words = F.array_sort(F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("body"), BLANKS, " ")), " ")))
-    return lines.select(*PLACE, F.array_join(words, " ").alias("words")).filter("words <> ''")
+    lower = lines.select(*PLACE, F.lower("body").alias("body"))
+    odd = F.col("body").rlike(r"[\x09-\x0D]|  ")
+    plain = F.trim(F.when(odd, F.regexp_replace("body", BLANKS, " ")).otherwise(F.col("body")))
+    words = F.sort_array(F.array_distinct(F.split(plain, " ")))
+    return lower.select(*PLACE, F.array_join(words, " ").alias("words")).filter("words <> ''")
 
 
-def numbered_sets(rows: DataFrame) -> DataFrame:
-    """(set, entry, line, words) of each different set, with the place of its first line.
-    The numbers ascend with the places; write the table before it is read twice."""
+def numbered_sets(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(set, entry, line, words) of each different set, with the place of its first line,
+    written. The numbers ascend with the places. Equal sets are written as one before they
+    are put in order, so that disk holds the words of one shuffle at a time."""
     firsts = line_sets(rows).groupBy("words").agg(F.min(F.struct(*PLACE)).alias("first"))
-    ordered = firsts.select("first.*", "words").orderBy(*PLACE)
-    return ordered.select(F.monotonically_increasing_id().alias("set"), "entry", "line", "words")
+    different = scratch.write(firsts.select("first.*", "words"), "different", codec=DENSE)
+    ordered = different.orderBy(*PLACE).select(F.monotonically_increasing_id().alias("set"), "entry", "line", "words")
+    sets = scratch.write(ordered, "sets", codec=DENSE)
+    scratch.drop(different)
+    return sets
 
 
 def bucket_of(word: Column) -> Column:
@@ -46,12 +64,12 @@ def bucket_of(word: Column) -> Column:
 
 
 def rarity_classes(sets: DataFrame) -> bytearray:
-    """One byte a bucket, larger for more frequent words; COUNT_BUCKETS bytes in all."""
+    """One byte a bucket, at most 127, larger for more frequent words; COUNT_BUCKETS bytes in all."""
     words = sets.select(F.explode(F.split("words", " ")).alias("word"))
     counts = words.groupBy(bucket_of(F.col("word")).alias("bucket")).count()
     classes = bytearray(COUNT_BUCKETS)
     for row in counts.collect():  # at most COUNT_BUCKETS rows
-        classes[row["bucket"]] = min(255, int(4 * log2(row["count"] + 1)))
+        classes[row["bucket"]] = min(127, int(4 * log2(row["count"] + 1)))
     return classes
 
 
@@ -61,24 +79,50 @@ def needed(size: Column, other: Column, similarity: float) -> Column:
 
 
 def postings(sets: DataFrame, classes: bytearray, similarity: float) -> DataFrame:
-    """(token, place, size, map, set) for each prefix word of each set."""
+    """(token, set, fit, map) for each prefix word of each set; fit: the size of the set and
+    the place of the word in one number.
+
+    A token is the class of its word and 55 bits of a hash in one number, so that sorting
+    tokens is sorting numbers. Words that share a token only add candidates.
+    """
 
-    def ranked(word: Column) -> Column:
-        return F.struct(F.substring(F.lit(classes), bucket_of(word) + 1, F.lit(1)).alias("class"), word.alias("word"))
+    def token(word: Column) -> Column:
+        kind = F.ascii(F.substring(F.lit(classes), bucket_of(word) + 1, F.lit(1)).cast("string"))
+        return F.shiftleft(kind.cast("long"), HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - HASH_BITS))
 
-    words = F.split("words", " ")
-    bit = lambda word: F.call_function(
-        "shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(word, F.lit(1)), F.lit(64)).cast("int")
+    bit = lambda one: F.call_function(
+        "shiftleft", F.lit(1).cast("long"), one.bitwiseAND(F.lit(63)).cast("int")
     )
-    arranged = sets.select(
+    ranked = sets.select("set", F.sort_array(F.transform(F.split("words", " "), token)).alias("ranked"))
+    arranged = ranked.select(
         "set",
-        F.size(words).alias("size"),
-        F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseOR(bit(word))).alias("map"),
-        F.array_sort(F.transform(words, ranked)).alias("ranked"),
+        "ranked",
+        F.size("ranked").alias("size"),
+        F.aggregate("ranked", F.lit(0).cast("long"), lambda bits, one: bits.bitwiseOR(bit(one))).alias("map"),
     )
     prefix = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
-    tokens = F.transform(F.slice("ranked", F.lit(1), prefix), lambda one: F.xxhash64(one["word"]))
-    return arranged.select("set", "size", "map", F.posexplode(tokens).alias("place", "token"))
+    tokens = F.slice("ranked", F.lit(1), prefix)
+    placed = arranged.select("set", "size", "map", F.posexplode(tokens).alias("place", "token"))
+    fit = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))
+    return placed.select("token", "set", fit.alias("fit"), "map")
+
+
+def met_postings(posted: DataFrame) -> DataFrame:
+    """(token, set, size, place, map, head) of the tokens that two sets have; head: the
+    posting of the earliest set with that token. Tokens of one set meet nothing, they are
+    not written."""
+
+    def parts(prefix: str = "") -> list[Column]:
+        size = F.shiftright(F.col(f"{prefix}fit"), 32).cast("int").alias("size")
+        place = F.col(f"{prefix}fit").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("place")
+        return [F.col(f"{prefix}set").alias("set"), size, place, F.col(f"{prefix}map").alias("map")]
+
+    ordered = Window.partitionBy("token").orderBy("set", "fit")
+    until = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = F.first(F.struct("set", "fit", "map")).over(until)
+    beside = F.coalesce(F.lag("set").over(ordered), F.lead("set").over(ordered))
+    met = posted.select("*", head.alias("head"), beside.isNotNull().alias("met")).filter("met")
+    return met.select("token", *parts(), F.struct(*parts("head.")).alias("head"))
 
 
 def may_match(a: str, b: str, similarity: float) -> Column:
@@ -93,19 +137,22 @@ def may_match(a: str, b: str, similarity: float) -> Column:
     return (col(b, "set") < col(a, "set")) & sizes & (rest >= overlap) & (apart <= col(a, "size") + col(b, "size") - 2 * overlap)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
     """(set) of the later sets of pairs (set, to_set) that are similar enough by their
-    words."""
-    later = sets.select("set", "words")
-    earlier = sets.select(F.col("set").alias("to_set"), F.col("words").alias("to_words"))
-    both = pairs.join(later, "set").join(earlier, "to_set")
+    words, written. Only the words of sets in a pair are moved, if their numbers are few
+    enough to be sent to all tasks."""
+    both_sides = pairs.select("set").unionByName(pairs.select(F.col("to_set").alias("set")))
+    wanted = scratch.write(both_sides.distinct(), "wanted")
+    few = wanted.count() <= BROADCAST_ROWS
+    chosen = sets.select("set", "words").join(F.broadcast(wanted) if few else wanted, "set", "left_semi")
+    earlier = chosen.select(F.col("set").alias("to_set"), F.col("words").alias("to_words"))
+    both = pairs.join(chosen, "set").join(earlier, "to_set")
     a, b = F.split("words", " "), F.split("to_words", " ")
     common = F.size(F.array_intersect(a, b))
-    return (
-        both.filter(common + F.lit(1e-9) >= (F.size(a) + F.size(b) - common) * F.lit(similarity))
-        .select("set")
-        .distinct()
-    )
+    similar = both.filter(common + F.lit(1e-9) >= (F.size(a) + F.size(b) - common) * F.lit(similarity))
+    found = scratch.write(similar.select("set").distinct(), "verified")
+    scratch.drop(wanted)
+    return found
 
 
 def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
@@ -114,32 +161,35 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
     First every set is compared with the earliest set of each of its prefix words. In a
     group of many near copies this decides nearly all, so only the few undecided sets
     meet all earlier sets that share a word, and not all pairs of the group are made.
+    They meet in PASSES, each for its share of the words, so that disk holds the shuffle
+    of one share at a time.
     """
-    posted = scratch.write(postings(sets, rarity_classes(sets), similarity), "postings")
+    posted = postings(sets, rarity_classes(sets), similarity)
+    met = scratch.write(met_postings(posted), "postings")
     pair = ["a.set", F.col("b.set").alias("to_set")]
-    heads = (
-        posted.groupBy("token")
-        .agg(F.min(F.struct("set", "size", "map", "place")).alias("head"), F.count("*").alias("members"))
-        .filter("members > 1")
-        .select("token", "head.*")
-    )
-    to_heads = posted.alias("a").join(heads.alias("b"), F.col("a.token") == F.col("b.token"))
+    to_heads = met.select(F.struct("set", "size", "place", "map").alias("a"), F.col("head").alias("b"))
     first_pairs = scratch.write(
         to_heads.filter(may_match("a", "b", similarity)).select(*pair).distinct(), "head-pairs"
     )
-    decided = scratch.write(verified(first_pairs, sets, similarity), "decided")
+    decided = verified(first_pairs, sets, scratch, similarity)
     scratch.drop(first_pairs)
 
-    open_ones = posted.join(decided, "set", "left_anti")
-    to_all = open_ones.alias("a").join(posted.alias("b"), F.col("a.token") == F.col("b.token"))
-    pairs = scratch.write(to_all.filter(may_match("a", "b", similarity)).select(*pair).distinct(), "pairs")
-    scratch.drop(posted)
-    return decided.unionByName(verified(pairs, sets, similarity))
+    bare = met.drop("head")
+    open_ones = met.filter("set <> head.set").drop("head").join(decided, "set", "left_anti")
+    passes = []
+    for number in range(PASSES):
+        own = F.pmod(F.col("token"), F.lit(PASSES)) == number
+        to_all = open_ones.filter(own).alias("a").join(bare.filter(own).alias("b"), F.col("a.token") == F.col("b.token"))
+        near = to_all.filter(may_match("a", "b", similarity)).select(*pair).distinct()
+        passes.append(scratch.write(near, "pairs"))
+    scratch.drop(met)
+    pairs = reduce(DataFrame.unionByName, passes).distinct()
+    return decided.unionByName(verified(pairs, sets, scratch, similarity))
 
 
 def kept_lines(rows: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
     """(entry, line) of the lines with words that stay."""
-    sets = scratch.write(numbered_sets(rows), "sets")
+    sets = numbered_sets(rows, scratch)
     gone = later_matches(sets, scratch, similarity)
     return sets.join(gone, "set", "left_anti").select("entry", "line")
 
@@ -160,6 +210,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("entry")
         ),
         "rows",
+        codec=DENSE,
     )
     kept = scratch.write(
         kept_lines(rows, scratch, similarity).groupBy("entry").agg(F.collect_list("line").alias("kept")), "kept"
