@@ -24,7 +24,7 @@ SIMILARITY = 0.8
 COUNT_BUCKETS = 1 << 15
 #: Numbers of sets that are sent to all tasks at most, eight bytes each.
 BROADCAST_ROWS = 2_000_000
-#: Shares of the words whose sets are joined one after the other.
+#: Shares of the words, and of the pairs, that are joined one after the other.
 PASSES = 4
 #: Codec of the tables that hold texts.
 DENSE = "zstd"
@@ -161,8 +161,8 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
     First every set is compared with the earliest set of each of its prefix words. In a
     group of many near copies this decides nearly all, so only the few undecided sets
     meet all earlier sets that share a word, and not all pairs of the group are made.
-    They meet in PASSES, each for its share of the words, so that disk holds the shuffle
-    of one share at a time.
+    They meet in PASSES, each for its share of the words, and are verified in as many, so
+    that disk holds the shuffle of one share at a time.
     """
     posted = postings(sets, rarity_classes(sets), similarity)
     met = scratch.write(met_postings(posted), "postings")
@@ -183,8 +183,9 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
         near = to_all.filter(may_match("a", "b", similarity)).select(*pair).distinct()
         passes.append(scratch.write(near, "pairs"))
     scratch.drop(met)
-    pairs = reduce(DataFrame.unionByName, passes).distinct()
-    return decided.unionByName(verified(pairs, sets, scratch, similarity))
+    pairs = scratch.write(reduce(DataFrame.unionByName, passes).distinct(), "all-pairs")
+    shares = [pairs.filter(F.pmod(F.col("set"), F.lit(PASSES)) == number) for number in range(PASSES)]
+    return reduce(DataFrame.unionByName, [decided, *[verified(one, sets, scratch, similarity) for one in shares]])
 
 
 def kept_lines(rows: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
