@@ -153,6 +153,83 @@ def test_ppm_matches_brute_force(docs_of, odd_rows):
     assert ppm.score_documents(docs_of([])).count() == 0
 
 
+def ppm_across_words(rows):
+    """Scores of held-out and other rows from exact contexts of whole texts, straight from counts."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+    group = lambda lang: zlib.crc32((lang or "").encode()) % ppm.GROUPS
+    spelled = []
+    for row in rows:
+        text = "".join(word + " " for word in words_of(row[1] or "")).encode()
+        spelled.append((b" " * ppm.ORDER + text, [*text, ppm.END_OF_TEXT]))
+    cells, shares = defaultdict(lambda: defaultdict(Counter)), Counter()
+    for row, (history, symbols) in zip(rows, spelled, strict=True):
+        if not held(row[0]):
+            shares[group(row[2])] += 1
+            for at, symbol in enumerate(symbols):
+                for order in range(ppm.ORDER + 1):
+                    cells[group(row[2])][history[at + ppm.ORDER - order : at + ppm.ORDER]][symbol] += 1
+
+    def log10_of(own, context, symbol):
+        excluded, total = set(), 0.0
+        for order in range(ppm.ORDER, -1, -1):
+            seen = {s: n for s, n in cells[own][context[ppm.ORDER - order :]].items() if s not in excluded}
+            if symbol in seen:
+                return total + math.log10(seen[symbol] / (sum(seen.values()) + len(seen)))
+            if seen:
+                total += math.log10(len(seen) / (sum(seen.values()) + len(seen)))
+                excluded |= seen.keys()
+        return total - math.log10(ppm.SYMBOLS - len(excluded))
+
+    found = []
+    for history, symbols in spelled:
+        by_group = [
+            sum(log10_of(g, history[at : at + ppm.ORDER], s) for at, s in enumerate(symbols)) + math.log10(n / sum(shares.values()))
+            for g, n in shares.items()
+        ]
+        top = max(by_group)
+        found.append(top + math.log10(sum(10 ** (one - top) for one in by_group)))
+    return found
+
+
+def test_ppm_contexts_run_over_words(spark, docs_of, odd_rows, tmp_path, monkeypatch):
+    texts = [prose(300 + n, 50) for n in range(30)]
+    rows = [row for row in odd_rows if row[0] != 8]
+    rows += [(200 + n, text, "en" if n % 2 else "fr", "a") for n, text in enumerate(texts)]
+    held = [n for n in range(300, 900) if zlib.crc32(str(n).encode()) % 10 == 0][:2]
+    rows += [(held[0], "of the of the\x00 x", "en", "a"), (held[1], "x the the\x00 of of", "en", "a")]
+    docs_of(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    expected = sorted(((row[0], score) for row, score in zip(rows, ppm_across_words(rows), strict=True)), key=repr)
+
+    def scores():
+        found = ppm.op7_ppm_scores(spark, str(tmp_path)).select("doc_id", "score").collect()
+        return sorted(map(tuple, found), key=repr)
+
+    def agree(found):
+        assert [one[0] for one in found] == [one[0] for one in expected]
+        assert [one[1] for one in found] == pytest.approx([one[1] for one in expected], rel=1e-5)
+
+    agree(scores())
+    assert len({score for doc_id, score in scores() if doc_id in held}) == 2
+    for name in ("PART_WORDS", "BUCKET_GRAMS", "BLOCK_DOCUMENTS"):
+        monkeypatch.setattr(ppm, name, 7)
+    agree(scores())
+
+
+def test_ppm_scores_depend_on_the_order_of_words(docs_of):
+    """Held-out texts in the order of the training texts are likelier than with turned words."""
+    phrases = ["zulu ate bread", "kilo ran home", "papa cut wood"]
+    held = [n for n in range(900) if zlib.crc32(str(n).encode()) % 10 == 0][:6]
+    learned = [n for n in range(900) if zlib.crc32(str(n).encode()) % 10][:60]
+    text = lambda n: " ".join(phrases[(n + at) % 3] for at in range(4))
+    turned = lambda n: " ".join(reversed(text(n).split()))
+    rows = [(doc_id, text(n), "en", "a") for n, doc_id in enumerate(learned)]
+    rows += [(doc_id, text(n) if n < 3 else turned(n), "en", "a") for n, doc_id in enumerate(held)]
+    found = {row["doc_id"]: row for row in ppm.score_documents(docs_of(rows), across=True).collect()}
+    for n in range(3):
+        assert found[held[n]]["score"] > found[held[n + 3]]["score"] + 5
+        assert found[held[n]]["base_score"] == pytest.approx(found[held[n + 3]]["base_score"])
+
+
 def test_ppm_probabilities_add_up_to_one():
     words = [word for word in prose(8, 300).split()]
     trie = ppm.Trie.of(ppm.counted(words, np.ones(len(words), int)))
