@@ -262,3 +262,28 @@ def test_words_of_one_line_are_not_written(spark):
     kept = line_join.kept_lines(table, Watched(spark, "watched"))
     assert sorted(map(tuple, kept.collect())) == [(at // 10, at % 10) for at in range(20)]
     assert 2 <= rows["postings"] <= 14
+
+
+def test_words_of_long_lines_are_compared_only_if_their_maps_are_near(spark):
+    """Long unrelated lines that share rare words, and lines of equal words in another order."""
+    import random
+
+    class Watched(Scratch):
+        def write(self, table, name, *args, **kwargs):
+            written = super().write(table, name, *args, **kwargs)
+            rows[name] = rows.get(name, 0) + written.count()
+            return written
+
+    draw = random.Random(6)
+    vocabulary = [f"w{word}" for word in range(700)]
+    lines = [" ".join(draw.sample(vocabulary, draw.randint(100, 180))) for _ in range(60)]
+    lines += [" ".join(draw.sample(lines[3].split(), len(lines[3].split())) + ["w1"] * at) for at in range(30)]
+    lines += [lines[5].replace("w", "v", 4), " ", "", lines[8].upper() + "  "]
+    rows, kept = {}, []
+    for at, line in enumerate(lines):
+        words = frozenset(line.lower().split())
+        if words and not any(len(words & other) >= 0.8 * len(words | other) for other in map(frozenset, map(str.split, lines[:at]))):
+            kept.append((0, at))
+    table = spark.createDataFrame([(0, "\n".join(lines), 0)], "doc_id LONG, text STRING, entry LONG")
+    assert sorted(map(tuple, line_join.kept_lines(table, Watched(spark, "watched")).collect())) == kept
+    assert len(kept) >= 60 and rows["near"] <= 100

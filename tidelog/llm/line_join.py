@@ -2,9 +2,13 @@
 
 A line is the set of its words. The words of a set are ordered by rarity; if two sets
 have Jaccard similarity t, their first few words (the prefix) have one in common. A pair
-that shares a prefix word is dropped when the sizes, the places of that word or a 64-bit
-map of the words show that the overlap cannot be large enough. What is left is verified
-on the words. A line is removed if an earlier line, removed or not, is that similar.
+that shares a prefix word is dropped when the sizes, the places of that word or a 128-bit
+map of the words show that the overlap cannot be large enough, and then when a map of
+512 bits does. What is left is verified on the words. A line is removed if an earlier
+line, removed or not, is that similar.
+
+Lines with equal words in another order or number are different texts of equal sets. They
+meet by a token of the whole set, so a line is cut into words only where its words count.
 
 Rarity is counted in a fixed number of hash buckets, so the counts have a fixed size and
 travel with the plan. Any order of words gives the same result; rare first is fast.
@@ -18,14 +22,16 @@ from math import log2
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BLANKS, Scratch, read_table
+from tidelog.llm.common import BLANK_CHARACTERS, BLANKS, Scratch, read_table
 
 SIMILARITY = 0.8
 COUNT_BUCKETS = 1 << 15
 #: Numbers of sets that are sent to all tasks at most, eight bytes each.
 BROADCAST_ROWS = 2_000_000
-#: Shares of the words, and of the pairs, that are joined one after the other.
-PASSES = 4
+#: Shares of the words that are joined one after the other.
+PASSES = 2
+#: 64-bit numbers of the wide map of the words of a set.
+WIDE = 8
 #: Codec of the tables that hold texts.
 DENSE = "zstd"
 #: Bits of a word's hash in its token, below the seven of its class.
@@ -34,24 +40,25 @@ HASH_BITS = 55
 PLACE = ["doc_id", "line", "entry"]
 
 
-def line_sets(rows: DataFrame) -> DataFrame:
-    """(doc_id, line, entry, words): the different lower-case words of each line, in order,
-    joined by spaces. Lines without words are left out. ``rows`` (doc_id, text, entry).
+def line_texts(rows: DataFrame) -> DataFrame:
+    """(doc_id, line, entry, words): the lower-case words of each line, joined by spaces.
+    ``rows`` (doc_id, text, entry).
 
     Only lines with other blanks than single spaces pass through the pattern."""
     lines = rows.select("doc_id", "entry", F.posexplode(F.split("text", "\n")).alias("line", "body"))
     lower = lines.select(*PLACE, F.lower("body").alias("body"))
-    odd = F.col("body").rlike(r"[\x09-\x0D]|  ")
+    odd = reduce(Column.__or__, [F.col("body").contains(blank) for blank in ["  ", *BLANK_CHARACTERS[1:]]])
     plain = F.trim(F.when(odd, F.regexp_replace("body", BLANKS, " ")).otherwise(F.col("body")))
-    words = F.sort_array(F.array_distinct(F.split(plain, " ")))
-    return lower.select(*PLACE, F.array_join(words, " ").alias("words")).filter("words <> ''")
+    return lower.select(*PLACE, plain.alias("words"))
 
 
 def numbered_sets(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(set, entry, line, words) of each different set, with the place of its first line,
-    written. The numbers ascend with the places. Equal sets are written as one before they
-    are put in order, so that disk holds the words of one shuffle at a time."""
-    firsts = line_sets(rows).groupBy("words").agg(F.min(F.struct(*PLACE)).alias("first"))
+    """(set, entry, line, words) of each different text of a line, with the place of its
+    first line, written. The numbers ascend with the places. Equal texts are written as one
+    before they are put in order, so that disk holds the words of one shuffle at a time.
+    Lines without words are left out, by a sum so that no filter repeats the cleaning."""
+    keyed = line_texts(rows).groupBy(F.xxhash64("words").alias("hash"), "words")  # sorted by the hash first
+    firsts = keyed.agg(F.min(F.struct(*PLACE)).alias("first"), F.sum(F.length("words")).alias("long")).filter("long > 0")
     different = scratch.write(firsts.select("first.*", "words"), "different", codec=DENSE)
     ordered = different.orderBy(*PLACE).select(F.monotonically_increasing_id().alias("set"), "entry", "line", "words")
     sets = scratch.write(ordered, "sets", codec=DENSE)
@@ -59,6 +66,11 @@ def numbered_sets(rows: DataFrame, scratch: Scratch) -> DataFrame:
     return sets
 
 
+def bit(number: Column) -> Column:
+    """The bit of a 64-bit map that the last six bits of a number name."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
+
+
 def bucket_of(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(COUNT_BUCKETS)).cast("int")
 
@@ -79,8 +91,9 @@ def needed(size: Column, other: Column, similarity: float) -> Column:
 
 
 def postings(sets: DataFrame, classes: bytearray, similarity: float) -> DataFrame:
-    """(token, set, fit, map) for each prefix word of each set; fit: the size of the set and
-    the place of the word in one number.
+    """(token, set, fit, low, high) for each prefix word of each set, and for the whole set, at
+    place 0; fit: the size of the set and the place of the word in one number; low, high:
+    a map of 128 bits, whether the words of the set that share a bit are odd in number.
 
     A token is the class of its word and 55 bits of a hash in one number, so that sorting
     tokens is sorting numbers. Words that share a token only add candidates.
@@ -90,41 +103,49 @@ def postings(sets: DataFrame, classes: bytearray, similarity: float) -> DataFram
         kind = F.ascii(F.substring(F.lit(classes), bucket_of(word) + 1, F.lit(1)).cast("string"))
         return F.shiftleft(kind.cast("long"), HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - HASH_BITS))
 
-    bit = lambda one: F.call_function(
-        "shiftleft", F.lit(1).cast("long"), one.bitwiseAND(F.lit(63)).cast("int")
+    different = F.array_distinct(F.split("words", " "))
+    ranked = sets.select("set", F.sort_array(F.transform(different, token)).alias("ranked"))
+    none = F.lit(0).cast("long")
+    high = lambda one: one.bitwiseAND(F.lit(64)) != 0
+    odd = lambda own: F.aggregate(
+        "ranked", none, lambda bits, one: F.when(own(one), bits.bitwiseXOR(bit(one))).otherwise(bits)
     )
-    ranked = sets.select("set", F.sort_array(F.transform(F.split("words", " "), token)).alias("ranked"))
     arranged = ranked.select(
         "set",
         "ranked",
         F.size("ranked").alias("size"),
-        F.aggregate("ranked", F.lit(0).cast("long"), lambda bits, one: bits.bitwiseOR(bit(one))).alias("map"),
+        odd(lambda one: ~high(one)).alias("low"),
+        odd(high).alias("high"),
     )
     prefix = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
-    tokens = F.slice("ranked", F.lit(1), prefix)
-    placed = arranged.select("set", "size", "map", F.posexplode(tokens).alias("place", "token"))
-    fit = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))
-    return placed.select("token", "set", fit.alias("fit"), "map")
+    tokens = F.concat(F.array(F.xxhash64("ranked")), F.slice("ranked", F.lit(1), prefix))
+    placed = arranged.select("set", "size", "low", "high", F.posexplode(tokens).alias("after", "token"))
+    place = F.greatest(F.col("after") - 1, F.lit(0))
+    fit = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(place.cast("long"))
+    return placed.select("token", "set", fit.alias("fit"), "low", "high")
 
 
 def met_postings(posted: DataFrame) -> DataFrame:
-    """(token, set, size, place, map, head) of the tokens that two sets have; head: the
+    """(token, set, size, place, low, high, head) of the tokens that two sets have; head: the
     posting of the earliest set with that token. Tokens of one set meet nothing, they are
     not written."""
 
     def parts(prefix: str = "") -> list[Column]:
         size = F.shiftright(F.col(f"{prefix}fit"), 32).cast("int").alias("size")
         place = F.col(f"{prefix}fit").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("place")
-        return [F.col(f"{prefix}set").alias("set"), size, place, F.col(f"{prefix}map").alias("map")]
+        return [size, place, *[F.col(f"{prefix}{name}").alias(name) for name in ("set", "low", "high")]]
 
-    ordered = Window.partitionBy("token").orderBy("set", "fit")
-    until = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head = F.first(F.struct("set", "fit", "map")).over(until)
-    beside = F.coalesce(F.lag("set").over(ordered), F.lead("set").over(ordered))
-    met = posted.select("*", head.alias("head"), beside.isNotNull().alias("met")).filter("met")
+    own = Window.partitionBy("token")
+    head = F.min(F.struct("set", "fit", "low", "high")).over(own)
+    met = posted.select("*", head.alias("head"), F.count("*").over(own).alias("times")).filter("times > 1")
     return met.select("token", *parts(), F.struct(*parts("head.")).alias("head"))
 
 
+def most_apart(size: Column, other: Column, similarity: float) -> Column:
+    """Largest number of words that only one of two sets of that similarity has."""
+    return size + other - 2 * needed(size, other, similarity)
+
+
 def may_match(a: str, b: str, similarity: float) -> Column:
     """Order, length, positional and map filter on the columns of two postings; b first."""
     col = lambda side, name: F.col(f"{side}.{name}")
@@ -133,25 +154,57 @@ def may_match(a: str, b: str, similarity: float) -> Column:
     ) * F.lit(similarity)
     overlap = needed(col(a, "size"), col(b, "size"), similarity)
     rest = F.least(col(a, "size") - col(a, "place"), col(b, "size") - col(b, "place"))
-    apart = F.bit_count(col(a, "map").bitwiseXOR(col(b, "map")))
-    return (col(b, "set") < col(a, "set")) & sizes & (rest >= overlap) & (apart <= col(a, "size") + col(b, "size") - 2 * overlap)
+    apart = sum(F.bit_count(col(a, half).bitwiseXOR(col(b, half))) for half in ("low", "high"))
+    limit = most_apart(col(a, "size"), col(b, "size"), similarity)
+    return (col(b, "set") < col(a, "set")) & sizes & (rest >= overlap) & (apart <= limit)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
-    """(set) of the later sets of pairs (set, to_set) that are similar enough by their
-    words, written. Only the words of sets in a pair are moved, if their numbers are few
-    enough to be sent to all tasks."""
+def chosen_sets(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(set, words) of the sets in some pairs. Words are moved only if the numbers of these
+    sets are too many to be sent to all tasks."""
     both_sides = pairs.select("set").unionByName(pairs.select(F.col("to_set").alias("set")))
     wanted = scratch.write(both_sides.distinct(), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
-    chosen = sets.select("set", "words").join(F.broadcast(wanted) if few else wanted, "set", "left_semi")
+    return sets.select("set", "words").join(F.broadcast(wanted) if few else wanted, "set", "left_semi")
+
+
+def wide_maps(sets: DataFrame) -> DataFrame:
+    """(set, map_0, map_1...): the hashes of the words of each set, modulo 64 * WIDE, as bits."""
+    hashes = sets.select("set", F.explode(F.split("words", " ")).alias("word")).select(
+        "set", F.xxhash64("word").alias("hash")
+    )
+    own = F.pmod(F.shiftrightunsigned("hash", 6), F.lit(WIDE))
+    part = lambda at: F.when(own == at, bit(F.col("hash"))).otherwise(F.lit(0).cast("long"))
+    return hashes.groupBy("set").agg(*[F.bit_or(part(at)).alias(f"map_{at}") for at in range(WIDE)])
+
+
+def near_by_maps(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(set, to_set) of the pairs (set, to_set, apart) whose wide maps differ in at most
+    ``apart`` bits, written: every differing bit is a word that only one of them has."""
+    maps = scratch.write(wide_maps(chosen_sets(pairs, sets, scratch)), "maps")
+    earlier = maps.select(F.col("set").alias("to_set"), *[F.col(f"map_{at}").alias(f"to_map_{at}") for at in range(WIDE)])
+    differing = sum(
+        (F.bit_count(F.col(f"map_{at}").bitwiseXOR(F.col(f"to_map_{at}"))) for at in range(WIDE)), F.lit(0)
+    )
+    both = pairs.join(maps, "set").join(earlier, "to_set").filter(differing <= F.col("apart"))
+    near = scratch.write(both.select("set", "to_set"), "near")
+    scratch.drop(maps)
+    return near
+
+
+def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(set) of the later sets of pairs (set, to_set, apart) that are similar enough by
+    their words, written. Only the words of sets in a pair of near maps are moved."""
+    near = near_by_maps(pairs, sets, scratch)
+    chosen = chosen_sets(near, sets, scratch)
     earlier = chosen.select(F.col("set").alias("to_set"), F.col("words").alias("to_words"))
-    both = pairs.join(chosen, "set").join(earlier, "to_set")
-    a, b = F.split("words", " "), F.split("to_words", " ")
-    common = F.size(F.array_intersect(a, b))
-    similar = both.filter(common + F.lit(1e-9) >= (F.size(a) + F.size(b) - common) * F.lit(similarity))
+    both = near.join(chosen, "set").join(earlier, "to_set")
+    different = lambda words: F.array_distinct(F.split(words, " "))
+    cut = both.select("set", different("words").alias("a"), different("to_words").alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    similar = cut.filter(common + F.lit(1e-9) >= (F.size("a") + F.size("b") - common) * F.lit(similarity))
     found = scratch.write(similar.select("set").distinct(), "verified")
-    scratch.drop(wanted)
+    scratch.drop(near)
     return found
 
 
@@ -161,13 +214,14 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
     First every set is compared with the earliest set of each of its prefix words. In a
     group of many near copies this decides nearly all, so only the few undecided sets
     meet all earlier sets that share a word, and not all pairs of the group are made.
-    They meet in PASSES, each for its share of the words, and are verified in as many, so
-    that disk holds the shuffle of one share at a time.
+    They meet in PASSES, each for its share of the words, so that disk holds the shuffle of
+    one share at a time.
     """
     posted = postings(sets, rarity_classes(sets), similarity)
     met = scratch.write(met_postings(posted), "postings")
-    pair = ["a.set", F.col("b.set").alias("to_set")]
-    to_heads = met.select(F.struct("set", "size", "place", "map").alias("a"), F.col("head").alias("b"))
+    apart = most_apart(F.col("a.size"), F.col("b.size"), similarity).cast("int").alias("apart")
+    pair = ["a.set", F.col("b.set").alias("to_set"), apart]
+    to_heads = met.select(F.struct("set", "size", "place", "low", "high").alias("a"), F.col("head").alias("b"))
     first_pairs = scratch.write(
         to_heads.filter(may_match("a", "b", similarity)).select(*pair).distinct(), "head-pairs"
     )
@@ -184,8 +238,8 @@ def later_matches(sets: DataFrame, scratch: Scratch, similarity: float = SIMILAR
         passes.append(scratch.write(near, "pairs"))
     scratch.drop(met)
     pairs = scratch.write(reduce(DataFrame.unionByName, passes).distinct(), "all-pairs")
-    shares = [pairs.filter(F.pmod(F.col("set"), F.lit(PASSES)) == number) for number in range(PASSES)]
-    return reduce(DataFrame.unionByName, [decided, *[verified(one, sets, scratch, similarity) for one in shares]])
+    scratch.drop(*passes)
+    return decided.unionByName(verified(pairs, sets, scratch, similarity))
 
 
 def kept_lines(rows: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
